@@ -1,9 +1,9 @@
-"""Row order within a card: previous rows and running sums.
+"""Row order within a card: previous rows and trailing totals.
 
-A window over a card puts all its rows into one task. To stay safe when one card
-holds a large share of the data, the time range of such hot cards is cut into
-slices. Windows run per slice, and what a slice must know about earlier ones is
-computed from one row per slice and joined back.
+A window over a card puts all its rows into one task. That is fine for a small
+table. Otherwise one card may hold a large share of the data, so the time range
+of such hot cards is cut into slices: windows run per slice, and what a slice
+must know about earlier ones is computed from one row per slice and joined back.
 
 A card is hot above ``1 / HOT_SHARE`` of all rows, so there are never more than
 HOT_SHARE hot cards, and their slices number at most
@@ -14,26 +14,35 @@ strength of these bounds.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlens.functions.timeparts import epoch_us
+from cardlens.sources.scratch import ONE_TASK_BYTES, fits_one_task, store
 
 HOT_SHARE = 50_000
-HOT_MIN_ROWS = 1_000_000
 SLICES_PER_SHARE = 2
 KEYLESS_SPREAD = 4096
 
 
+@dataclass(frozen=True)
+class Slicing:
+    """When to slice: tables above ``small_bytes``, keys above ``hot_min_rows``."""
+
+    small_bytes: int = ONE_TASK_BYTES
+    hot_min_rows: int = 1_000_000
+
+
 def previous_row(
     df: DataFrame,
     keys: Sequence[str],
     at: str,
     carry: Sequence[str],
     tiebreak: Sequence[str] = (),
-    hot_min_rows: int = HOT_MIN_ROWS,
+    slicing: Slicing = Slicing(),
 ) -> DataFrame:
     """Add ``prev_<column>`` for each carried column: its value one row earlier.
 
@@ -41,30 +50,35 @@ def previous_row(
     ``tiebreak`` (by a hash of the row where none is given). Rows without a key
     belong to no sequence and get NULL.
     """
-    columns = df.columns
-    tiebreak = [F.col(c) for c in tiebreak] or [F.xxhash64(*columns)]
-    rows = df.withColumns({"_at": epoch_us(F.col(at)), "_tie": F.struct(*tiebreak)})
-    rows = _sliced(rows, keys, hot_min_rows, ["_at", "_tie"])
+    keys = list(keys)
+    ties = list(tiebreak) or ["_tie"]
+    rows = df if tiebreak else df.withColumn("_tie", F.xxhash64(*df.columns))
     payload = F.struct(*carry)
 
-    order = Window.partitionBy(*keys, "_slice").orderBy(F.col("_at").asc_nulls_last(), "_tie")
-    rows = rows.withColumn("_prev", F.lag(payload).over(order))
-
-    last = (
-        rows.where("_hot")
-        .groupBy(*keys, "_slice")
-        .agg(
-            F.max_by(payload, F.struct(F.col("_at").isNull(), F.col("_at"), F.col("_tie")))
-            .alias("_last")
+    if fits_one_task(df, slicing.small_bytes):
+        order = Window.partitionBy(*keys).orderBy(F.col(at).asc_nulls_last(), *ties)
+        rows = rows.withColumn("_prev", F.when(_has_key(keys), F.lag(payload).over(order)))
+    else:
+        rows = rows.withColumn("_at", epoch_us(F.col(at)))
+        hot = _hot_keys(rows, keys, 1, F.min("_at"), F.max("_at"), slicing)
+        rows = _sliced(rows, keys, hot, ["_at", *ties])
+        order = Window.partitionBy(*keys, "_slice").orderBy(F.col("_at").asc_nulls_last(), *ties)
+        last_first = F.struct(F.col("_at").isNull(), "_at", *ties)
+        last = (
+            rows.where("_hot")
+            .groupBy(*keys, "_slice")
+            .agg(F.max_by(payload, last_first).alias("_last"))
         )
-    )
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    carried = last.select(*keys, "_slice", F.lag("_last").over(across).alias("_carried"))
-
-    prev = F.when(_has_key(keys), F.coalesce(F.col("_prev"), F.col("_carried")))
-    joined = rows.join(F.broadcast(carried), [*keys, "_slice"], "left").withColumn("_prev", prev)
-    return joined.select(
-        *columns, *[F.col("_prev").getField(c).alias(f"prev_{c}") for c in carry]
+        across = Window.partitionBy(*keys).orderBy("_slice")
+        carried = last.select(*keys, "_slice", F.lag("_last").over(across).alias("_carried"))
+        prev = F.when(_has_key(keys), F.coalesce(F.col("_prev"), F.col("_carried")))
+        rows = (
+            rows.withColumn("_prev", F.lag(payload).over(order))
+            .join(F.broadcast(carried), [*keys, "_slice"], "left")
+            .withColumn("_prev", prev)
+        )
+    return rows.select(
+        *df.columns, *[F.col("_prev").getField(c).alias(f"prev_{c}") for c in carry]
     )
 
 
@@ -74,78 +88,96 @@ def trailing_totals(
     second: Column,
     amount: Column,
     span_seconds: int,
-    hot_min_rows: int = HOT_MIN_ROWS,
+    slicing: Slicing = Slicing(),
 ) -> DataFrame:
     """Add ``trailing_sum`` and ``trailing_count`` of ``amount`` over the
     ``span_seconds`` before each row's second, that second itself left out.
 
-    Every row adds its amount one second later and takes it away once the span
-    has passed; a running sum of these changes, read at the row itself, is the
-    trailing total. Sums are decimal, so adding and taking away leaves no residue
-    and the result does not depend on how the rows are split.
+    Sums are exact decimals, so they depend neither on the order of addition nor
+    on how the rows are split. Rows without a key or a time get NULL.
     """
-    columns = df.columns
-    exact = F.coalesce(amount.cast("decimal(24,6)"), F.lit(0).cast("decimal(24,6)"))
-    one = amount.isNotNull().cast("bigint")
-    zero = F.lit(0).cast("bigint")
+    keys = list(keys)
+    rows = df.withColumns(
+        {
+            "_second": second,
+            "_sum": F.coalesce(amount.cast("decimal(24,6)"), F.lit(0).cast("decimal(24,6)")),
+            "_count": amount.isNotNull().cast("bigint"),
+        }
+    )
+    usable = _has_key(keys) & F.col("_second").isNotNull()
+    if fits_one_task(df, slicing.small_bytes):
+        span = Window.partitionBy(*keys).orderBy("_second").rangeBetween(-span_seconds, -1)
+        totals = {
+            name: F.coalesce(F.sum(f"_{name}").over(span), F.lit(0)) for name in ("sum", "count")
+        }
+        rows = rows.withColumns({f"_trailing_{name}": total for name, total in totals.items()})
+    else:
+        rows = _trailing_sliced(rows, df.columns, keys, span_seconds, slicing)
+    return rows.select(
+        *df.columns,
+        F.when(usable, F.col("_trailing_sum")).cast("double").alias("trailing_sum"),
+        F.when(usable, F.col("_trailing_count")).cast("bigint").alias("trailing_count"),
+    )
+
 
-    def change(at: Column, sign: int, row: Column) -> Column:
-        # changes sort before the row that reads them
+def _trailing_sliced(
+    rows: DataFrame, columns: list[str], keys: list[str], span: int, slicing: Slicing
+) -> DataFrame:
+    """A sweep over changes: every row adds its amount one second later and takes it
+    away once the span has passed. A running sum of the changes, read at the row
+    itself, is its trailing total. Running sums, unlike range frames, can be cut
+    into slices."""
+    whole = F.struct(*columns)
+    nothing = F.lit(None).cast(rows.select(whole.alias("r")).schema["r"].dataType)
+
+    def event(at: Column, sign: int, row: Column) -> Column:
         return F.struct(
             at.alias("_at"),
-            F.lit(int(sign == 0)).alias("_tie"),
-            (exact * sign).cast("decimal(24,6)").alias("_sum"),
-            (one * sign if sign else zero).alias("_count"),
+            F.lit(int(sign == 0)).alias("_reads"),  # at one second, changes go first
+            (F.col("_sum") * sign).cast("decimal(24,6)").alias("_sum"),
+            (F.col("_count") * F.lit(sign).cast("bigint")).alias("_count"),
             row.alias("_row"),
         )
 
-    whole = F.struct(*columns)
-    nothing = F.lit(None).cast(df.select(whole.alias("r")).schema["r"].dataType)
-    timed = F.col("_second").isNotNull()
-    # a row without a time reads nothing and changes nothing
-    changes = df.withColumn("_second", second).select(
-        *keys,
-        F.explode(
-            F.when(
-                timed,
-                F.array(
-                    change(F.col("_second") + 1, 1, nothing),
-                    change(F.col("_second") + 1 + span_seconds, -1, nothing),
-                    change(F.col("_second"), 0, whole),
-                ),
-            ).otherwise(F.array(change(F.col("_second"), 0, whole)))
-        ).alias("_c"),
-    )
-    changes = _sliced(changes.select(*keys, "_c.*"), keys, hot_min_rows, ["_at", "_row"])
-
-    order = (
+    second = F.col("_second")
+    reading = event(second, 0, whole)
+    events = F.when(
+        second.isNotNull(),
+        F.array(event(second + 1, 1, nothing), event(second + 1 + span, -1, nothing), reading),
+    ).otherwise(F.array(reading))  # without a time: nothing to add anywhere
+    changes = rows.select(*keys, F.explode(events).alias("_e")).select(*keys, "_e.*")
+    first, last = F.min("_second"), F.max("_second") + 1 + span
+    hot = _hot_keys(rows, keys, 3, first, last, slicing)
+    changes = _sliced(changes, keys, hot, ["_at", "_row"])
+
+    so_far = (
         Window.partitionBy(*keys, "_slice")
-        .orderBy(F.col("_at").asc_nulls_last(), "_tie")
+        .orderBy(F.col("_at").asc_nulls_last(), "_reads")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    rows = changes.withColumns(
-        {"_in_sum": F.sum("_sum").over(order), "_in_count": F.sum("_count").over(order)}
-    ).where(F.col("_row").isNotNull())
+    read = changes.withColumns(
+        {"_in_sum": F.sum("_sum").over(so_far), "_in_count": F.sum("_count").over(so_far)}
+    ).where(F.col("_reads") == 1)
 
-    per_slice = (
+    slices = (
         changes.where("_hot")
         .groupBy(*keys, "_slice")
         .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
     )
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_slice.select(
+    carried = slices.select(
         *keys,
         "_slice",
         F.sum("_sum").over(before).alias("_old_sum"),
         F.sum("_count").over(before).alias("_old_count"),
     )
-
-    usable = _has_key(keys) & F.col("_at").isNotNull()
-    total = lambda a, b: F.when(usable, F.col(a) + F.coalesce(F.col(b), F.lit(0)))
-    return rows.join(F.broadcast(carried), [*keys, "_slice"], "left").select(
-        *[F.col("_row").getField(c).alias(c) for c in columns],
-        total("_in_sum", "_old_sum").cast("double").alias("trailing_sum"),
-        total("_in_count", "_old_count").cast("bigint").alias("trailing_count"),
+    joined = read.join(F.broadcast(carried), [*keys, "_slice"], "left")
+    total = lambda name: F.col(f"_in_{name}") + F.coalesce(F.col(f"_old_{name}"), F.lit(0))
+    return joined.select(
+        F.col("_at").alias("_second"),
+        "_row.*",
+        total("sum").alias("_trailing_sum"),
+        total("count").alias("_trailing_count"),
     )
 
 
@@ -153,30 +185,24 @@ def _has_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def _sliced(
-    rows: DataFrame, keys: Sequence[str], hot_min_rows: int, spread_by: Sequence[str]
+def _hot_keys(
+    rows: DataFrame, keys: list[str], weight: int, first: Column, last: Column, slicing: Slicing
 ) -> DataFrame:
-    """Add ``_slice`` (never decreasing in ``_at`` within a key) and ``_hot``.
+    """The keys with more than their share of rows, and how to slice each.
 
-    All inputs of a slice number are exact counts and extremes, so it comes out
-    the same wherever Spark recomputes it. Rows of a hot key without a time go to
-    slices of their own after all others; rows without a key are spread freely.
+    ``weight`` is the number of rows the caller makes of one. The list is short
+    and used several times, so it is stored.
     """
-    load = (
+    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar() * weight
+    share = F.greatest(F.lit(slicing.hot_min_rows), F.ceil(total / HOT_SHARE))
+    slices = F.ceil(F.col("_rows") * SLICES_PER_SHARE / F.col("_share"))
+    hot = (
         rows.where(_has_key(keys))
         .groupBy(*keys)
         .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.min("_at").alias("_from"),
-            F.max("_at").alias("_to"),
+            (F.count(F.lit(1)) * weight).alias("_rows"), first.alias("_from"), last.alias("_to")
         )
-    )
-    share = F.greatest(
-        F.lit(hot_min_rows), F.ceil(load.agg(F.sum("_rows").alias("n")).scalar() / HOT_SHARE)
-    )
-    slices = F.ceil(F.col("_rows") * SLICES_PER_SHARE / F.col("_share"))
-    hot = (
-        load.withColumn("_share", share)
+        .withColumn("_share", share)
         .where(F.col("_rows") > F.col("_share"))
         .select(
             *keys,
@@ -185,6 +211,17 @@ def _sliced(
             F.ceil((F.col("_to") - F.col("_from") + 1) / slices).alias("_width"),
         )
     )
+    return store(hot, "hot-keys")
+
+
+def _sliced(
+    rows: DataFrame, keys: list[str], hot: DataFrame, spread_by: Sequence[str]
+) -> DataFrame:
+    """Add ``_slice`` (never decreasing in ``_at`` within a key) and ``_hot``.
+
+    Rows of a hot key without a time go to slices of their own after all others;
+    rows without a key are spread freely.
+    """
     spread = F.xxhash64(*spread_by)
     timeless = F.col("_slices") + F.pmod(spread, F.col("_slices"))
     slice_no = (
@@ -195,7 +232,7 @@ def _sliced(
         .cast("bigint")
     )
     return (
-        rows.join(F.broadcast(hot), list(keys), "left")
+        rows.join(F.broadcast(hot), keys, "left")
         .withColumns({"_slice": slice_no, "_hot": F.col("_slices").isNotNull()})
         .drop("_from", "_slices", "_width")
     )

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.functions.cleaning import trim_flag
-from cardlens.operators.history import HOT_MIN_ROWS
+from cardlens.operators.history import Slicing
 from cardlens.operators.rules import card_hour_counts, card_previous_txn, is_state_change
-from cardlens.operators.selection import exact_quantiles
+from cardlens.operators.selection import quantiles_of, value_counts
+from cardlens.sources.scratch import ONE_TASK_BYTES, fits_one_task, store
 
 # Percentiles and limits of the distribution reports.
 CARD_HOUR_PERCENTILES = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
@@ -110,18 +111,21 @@ def state_changes(
     df: DataFrame,
     card_keys: Sequence[str] = ("card_id",),
     tiebreak: Sequence[str] = (),
-    hot_min_rows: int = HOT_MIN_ROWS,
+    slicing: Slicing = Slicing(),
 ) -> DataFrame:
     """Transactions in another state than the card's previous one, with the gap."""
-    return card_previous_txn(df, card_keys, tiebreak, hot_min_rows).where(is_state_change())
+    return card_previous_txn(df, card_keys, tiebreak, slicing).where(is_state_change())
 
 
 def state_change_gap_distribution(
-    df: DataFrame, card_keys: Sequence[str] = ("card_id",), tiebreak: Sequence[str] = ()
+    df: DataFrame,
+    card_keys: Sequence[str] = ("card_id",),
+    tiebreak: Sequence[str] = (),
+    slicing: Slicing = Slicing(),
 ) -> DataFrame:
     """One row describing the minutes between transactions that change state."""
-    changes = state_changes(_narrow(df, card_keys, tiebreak), card_keys, tiebreak)
-    return describe(changes, F.col("gap_min"), GAP_PERCENTILES)
+    changes = state_changes(_narrow(df, card_keys, tiebreak), card_keys, tiebreak, slicing)
+    return describe(changes, F.col("gap_min"), GAP_PERCENTILES, small_bytes=slicing.small_bytes)
 
 
 def state_change_share(
@@ -149,13 +153,17 @@ def state_change_within(
     return _shares(changes, within, limits, "within_minutes", "pct_of_changes")
 
 
-def amount_by_label(df: DataFrame) -> DataFrame:
+def amount_by_label(df: DataFrame, small_bytes: int = ONE_TASK_BYTES) -> DataFrame:
     """Amounts of legitimate and of fraudulent transactions, one row each."""
-    return describe(df, F.col("amount"), AMOUNT_PERCENTILES, ["is_fraud"])
+    return describe(df, F.col("amount"), AMOUNT_PERCENTILES, ["is_fraud"], small_bytes)
 
 
 def describe(
-    df: DataFrame, value: Column, percentiles: Mapping[str, float], by: Sequence[str] = ()
+    df: DataFrame,
+    value: Column,
+    percentiles: Mapping[str, float],
+    by: Sequence[str] = (),
+    small_bytes: int = ONE_TASK_BYTES,
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact percentiles of ``value``.
 
@@ -163,28 +171,59 @@ def describe(
     label are left out.
     """
     by = list(by)
-    rows = df.select(*by, value.alias("_v")).dropna(subset=by) if by else df.select(value.alias("_v"))
-    moments = rows.groupBy(*by).agg(
-        F.count("_v").alias("count"),
-        F.round(F.avg("_v"), 6).alias("mean"),
-        F.round(F.stddev_samp("_v"), 6).alias("std"),
-        F.min("_v").alias("min"),
-        F.max("_v").alias("max"),
-    )
-    found = exact_quantiles(rows, F.col("_v"), percentiles, by)
-    values = F.struct(*[F.round(F.col(name), 6).alias(name) for name in percentiles])
-    if by:
-        joined = moments.join(found.select(*by, values.alias("_q")), by, "left")
+    rows = df.select(*by, value.alias("v"))
+    rows = rows.dropna(subset=by) if by else rows
+    if fits_one_task(rows, small_bytes):
+        moments = [
+            F.count("v").alias("count"),
+            F.avg("v").alias("mean"),
+            F.stddev_samp("v").alias("std"),
+            F.min("v").alias("min"),
+            F.max("v").alias("max"),
+        ]
+        found = F.percentile("v", list(percentiles.values()))
+        described = rows.groupBy(*by).agg(*moments, found.alias("_q"))
+        values = {name: F.col("_q")[i] for i, name in enumerate(percentiles)}
     else:
-        joined = moments.withColumn("_q", found.select(values).scalar())
-    return joined.select(
+        counts = store(value_counts(rows, F.col("v"), by), "value-counts")
+        quantiles = F.struct(*percentiles).alias("_q")
+        found = quantiles_of(counts, percentiles, by).select(*by, quantiles)
+        described = _with_facts(_moments_of(counts, by), found, by, "_q")
+        values = {name: F.col("_q").getField(name) for name in percentiles}
+    return described.select(
         *by,
-        *["count", "mean", "std", "min"],
-        *[F.col("_q").getField(name).alias(name) for name in percentiles],
+        "count",
+        F.round("mean", 6).alias("mean"),
+        F.round("std", 6).alias("std"),
+        "min",
+        *[F.round(column, 6).alias(name) for name, column in values.items()],
         "max",
     )
 
 
+def _moments_of(counts: DataFrame, by: list[str]) -> DataFrame:
+    """Moments from stored ``value_counts``; the deviation takes a second pass over them."""
+    n, v = F.col("n"), F.col("v")
+    first = counts.groupBy(*by).agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("count"),
+        (F.sum(n * v) / F.sum(n)).alias("mean"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+    )
+    means = first.select(*by, F.struct("mean", "count").alias("_m"))
+    mean, count = F.col("_m").getField("mean"), F.col("_m").getField("count")
+    spread = F.sum(n * F.pow(v - mean, 2)) / F.nullif(F.max(count) - 1, F.lit(0))
+    second = _with_facts(counts, means, by, "_m").groupBy(*by).agg(F.sqrt(spread).alias("std"))
+    return _with_facts(first, second, by, "std")
+
+
+def _with_facts(df: DataFrame, facts: DataFrame, by: list[str], column: str) -> DataFrame:
+    """Add a column of ``facts``, which has one row, or one row per label."""
+    if by:  # few labels, see describe
+        return df.join(F.broadcast(facts), by, "left")
+    return df.withColumn(column, facts.select(column).scalar())
+
+
 def _narrow(df: DataFrame, card_keys: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
     """Only what state changes need, so that no other column is shuffled."""
     if not tiebreak:  # ties are then broken by the whole row

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cardlens.config import RuleConfig
 from cardlens.functions.geo import haversine_km
 from cardlens.functions.timeparts import epoch_hour, epoch_second, minutes_between
-from cardlens.operators.history import HOT_MIN_ROWS, previous_row, trailing_totals
+from cardlens.operators.history import Slicing, previous_row, trailing_totals
 from cardlens.operators.selection import exact_quantiles
 
 DEFAULTS = RuleConfig()
@@ -52,15 +52,17 @@ def with_card_stats(df: DataFrame, card_keys: Sequence[str] = ("card_id",)) -> D
 
 
 def amount_ceilings(df: DataFrame, config: RuleConfig = DEFAULTS) -> DataFrame:
-    """Per card, the amount above which a transaction is unusual.
+    """Per card, the amount above which a transaction is unusual, if below the limit.
 
     Rounded to a millionth: the last bits of a mean depend on summation order,
     and must not decide over a card that always pays the same amount.
     """
     ceiling = F.col("card_mean") + config.amount_std_factor * F.col("card_std")
-    return card_stats(df, config.card_keys).select(
+    ceilings = card_stats(df, config.card_keys).select(
         *config.card_keys, F.round(ceiling, 6).alias("amount_ceiling")
     )
+    # from the limit upwards a ceiling changes nothing, so such cards are left out
+    return ceilings.where(F.col("amount_ceiling") < config.amount_limit)
 
 
 def rule_amount_anomaly(
@@ -176,12 +178,12 @@ def rule_amount_rolling(
     customer_keys: Sequence[str] = ("user_id",),
     factor: float = 3.0,
     days: int = 30,
-    hot_min_rows: int = HOT_MIN_ROWS,
+    slicing: Slicing = Slicing(),
 ) -> DataFrame:
     """Amount above ``factor`` times the customer's mean of the preceding days."""
     rows = trailing_totals(
         df, customer_keys, epoch_second(F.col("event_ts")), F.col("amount"),
-        days * SECONDS_PER_DAY, hot_min_rows,
+        days * SECONDS_PER_DAY, slicing,
     )
     # dividing by NULL instead of 0: nothing before means no flag
     mean = F.col("trailing_sum") / F.nullif(F.col("trailing_count"), F.lit(0))
@@ -195,10 +197,10 @@ def rule_state_change(
     card_keys: Sequence[str] = ("card_id",),
     max_minutes: float = 60.0,
     tiebreak: Sequence[str] = (),
-    hot_min_rows: int = HOT_MIN_ROWS,
+    slicing: Slicing = Slicing(),
 ) -> DataFrame:
     """Another state than the card's previous transaction, less than an hour later."""
-    rows = card_previous_txn(df, card_keys, tiebreak, hot_min_rows)
+    rows = card_previous_txn(df, card_keys, tiebreak, slicing)
     hit = is_state_change() & (F.col("gap_min") < max_minutes)
     return rows.withColumn("r3_state_change", flag(hit)).drop("prev_ts", "prev_state", "gap_min")
 
@@ -211,10 +213,10 @@ def rule_geo_impossible(
     max_km: float = 500.0,
     max_minutes: float = 60.0,
     tiebreak: Sequence[str] = (),
-    hot_min_rows: int = HOT_MIN_ROWS,
+    slicing: Slicing = Slicing(),
 ) -> DataFrame:
     """Further from the card's previous transaction than one can travel in the time."""
-    rows = previous_row(df, card_keys, "event_ts", ["event_ts", lat, lon], tiebreak, hot_min_rows)
+    rows = previous_row(df, card_keys, "event_ts", ["event_ts", lat, lon], tiebreak, slicing)
     distance = haversine_km(
         F.col(f"prev_{lat}"), F.col(f"prev_{lon}"), F.col(lat), F.col(lon)
     )
@@ -227,11 +229,11 @@ def card_previous_txn(
     df: DataFrame,
     card_keys: Sequence[str] = ("card_id",),
     tiebreak: Sequence[str] = (),
-    hot_min_rows: int = HOT_MIN_ROWS,
+    slicing: Slicing = Slicing(),
 ) -> DataFrame:
     """Time and state of the card's previous transaction, and minutes since then."""
     rows = previous_row(
-        df, card_keys, "event_ts", ["event_ts", "merchant_state"], tiebreak, hot_min_rows
+        df, card_keys, "event_ts", ["event_ts", "merchant_state"], tiebreak, slicing
     )
     return rows.withColumnsRenamed(
         {"prev_event_ts": "prev_ts", "prev_merchant_state": "prev_state"}

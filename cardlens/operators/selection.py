@@ -1,9 +1,10 @@
 """Exact order statistics without sorting everything or gathering it in one task.
 
-Values are counted once (partial aggregation keeps repeats local), then located
-by two rounds of ever finer ordered cells. Only the few cells that hold a wanted
-rank are looked into, so no task sees more than one narrow cell or one list of
-cell totals, both limited by the cell counts below.
+Values are counted once (partial aggregation keeps repeats local) and the counts
+are stored. Wanted ranks are then located by two rounds of ever finer ordered
+cells. Only the few cells that hold a wanted rank are looked into, so no task
+sees more than one narrow cell or one list of cell totals, both limited by the
+cell counts below.
 """
 
 from __future__ import annotations
@@ -15,9 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlens.functions.cleaning import no_nan
-from cardlens.sources.scratch import estimated_bytes
+from cardlens.sources.scratch import ONE_TASK_BYTES, fits_one_task, store
 
-SMALL_BYTES = 256 << 20  # input up to this size may leave its distinct values in one task
 CELLS_PER_E_FOLD = 4096  # first round: logarithmic cells, about 57,000 up to a million
 CELLS_PER_CELL = 1 << 20  # second round: equal steps inside one first-round cell
 
@@ -27,7 +27,7 @@ def exact_quantiles(
     value: Column,
     probabilities: Mapping[str, float],
     by: Sequence[str] = (),
-    small_bytes: int = SMALL_BYTES,
+    small_bytes: int = ONE_TASK_BYTES,
 ) -> DataFrame:
     """Linearly interpolated quantiles of ``value``, one column per name.
 
@@ -38,32 +38,39 @@ def exact_quantiles(
     The built-in ``percentile`` keeps every distinct value in one task. It is
     used only where the optimizer's size estimate shows that this stays small.
     """
-    values = df.select(*by, no_nan(value.cast("double")).alias("_v"))
-    values = values.where(F.col("_v").isNotNull())
-    size = estimated_bytes(values)
-    if size is not None and size <= small_bytes:
-        return _in_one_pass(values, probabilities, list(by))
-    return _by_cells(values, probabilities, list(by))
+    if fits_one_task(df, small_bytes):
+        return _in_one_pass(_values(df, value, by), probabilities, list(by))
+    return quantiles_of(store(value_counts(df, value, by), "value-counts"), probabilities, by)
+
+
+def value_counts(df: DataFrame, value: Column, by: Sequence[str] = ()) -> DataFrame:
+    """How often (``n``) each value (``v``) occurs, per label."""
+    return _values(df, value, by).groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _values(df: DataFrame, value: Column, by: Sequence[str]) -> DataFrame:
+    values = df.select(*by, no_nan(value.cast("double")).alias("v"))
+    return values.where(F.col("v").isNotNull())
 
 
 def _in_one_pass(
     values: DataFrame, probabilities: Mapping[str, float], by: list[str]
 ) -> DataFrame:
     found = values.groupBy(*by).agg(
-        F.percentile("_v", list(probabilities.values())).alias("_q")
+        F.percentile("v", list(probabilities.values())).alias("_q")
     )
     return found.where(F.col("_q").isNotNull()).select(
         *by, *[F.col("_q")[i].alias(name) for i, name in enumerate(probabilities)]
     )
 
 
-def _by_cells(
-    values: DataFrame, probabilities: Mapping[str, float], by: list[str]
+def quantiles_of(
+    counts: DataFrame, probabilities: Mapping[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
-    counts = (
-        values.groupBy(*by, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_cell", _log_cell(F.col("_v")))
+    """``exact_quantiles`` of stored ``value_counts``."""
+    by = list(by)
+    counts = counts.select(
+        *by, F.col("v").alias("_v"), F.col("n").alias("_n"), _log_cell(F.col("v")).alias("_cell")
     )
     wanted = list(probabilities.values())
 

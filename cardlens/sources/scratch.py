@@ -7,6 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# What Spark gives one task of a file scan by default. A table no larger than this
+# may be handled by one task without further thought.
+ONE_TASK_BYTES = 128 << 20
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
@@ -50,3 +54,9 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return int(str(stats.sizeInBytes()))
     except Exception:  # no JVM handle, for example over Spark Connect
         return None
+
+
+def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
+    """Whether all of ``df`` is known to be small; False when nothing is known."""
+    size = estimated_bytes(df)
+    return size is not None and size <= limit

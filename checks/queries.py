@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from cardlens.functions.cleaning import parse_amount, parse_fraud_flag
 from cardlens.operators import cleaning, profiling, reports, rules, windows
+from cardlens.operators.history import Slicing
 from cardlens.operators.sampling import sample_keep_fraud
+from cardlens.operators.selection import exact_quantiles
 from cardlens.plans.daily import gold_tables, run_daily_batch
 from cardlens.plans.prepare import prepare_dataset
 from cardlens.plans.scoring import rule_inputs, score_transactions, store_rule_inputs
@@ -23,6 +25,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 TIE = ("txn_id",)
 ID_TYPE = {"txn_id": "bigint"}
 ORDER_YEARS = (1996, 1998, 2000)
+# Takes the path for large tables with hot cards, however small the table is.
+HOT = Slicing(small_bytes=-1, hot_min_rows=20)
 
 
 # --- building blocks ---------------------------------------------------------
@@ -296,6 +300,16 @@ def card_previous_txn(spark, sf_dir):
     )
 
 
+def card_previous_txn_sliced(spark, sf_dir):
+    rows = rules.card_previous_txn(transactions(spark, sf_dir), tiebreak=TIE, slicing=HOT)
+    return rows.select("txn_id", "prev_ts", "prev_state", "gap_min")
+
+
+def amount_quantile_by_cells(spark, sf_dir):
+    rows = transactions(spark, sf_dir)
+    return exact_quantiles(rows, F.col("amount"), {"amount_quantile": 0.9}, small_bytes=-1)
+
+
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "read_source": read_source,
@@ -327,6 +341,7 @@ QUERIES: dict[str, Query] = {
     "rule_amount_anomaly": rule_alone(rules.rule_amount_anomaly, "r1_amount_anomaly", CONFIG),
     "txns_per_card_hour": txns_per_card_hour,
     "rule_velocity": rule_alone(rules.rule_velocity, "r2_velocity", CONFIG),
+    "amount_quantile_by_cells": amount_quantile_by_cells,
     "amount_quantile": on_transactions(rules.amount_quantile, CONFIG),
     "rule_odd_hour": rule_alone(rules.rule_odd_hour, "r4_odd_hour", CONFIG),
     "risk_score": scored_columns("risk_score"),
@@ -336,6 +351,9 @@ QUERIES: dict[str, Query] = {
     # rules outside the default score
     "rule_amount_rolling": rule_alone(rules.rule_amount_rolling, "r_amount_rolling"),
     "rule_amount_rolling_3d": rule_alone(rules.rule_amount_rolling, "r_amount_rolling", days=3),
+    "rule_amount_rolling_sliced": rule_alone(
+        rules.rule_amount_rolling, "r_amount_rolling", days=3, slicing=HOT
+    ),
     "rule_velocity_5": rule_alone(
         rules.rule_velocity, "r2_velocity", rules.RuleConfig(velocity_max=5)
     ),
@@ -366,14 +384,19 @@ QUERIES: dict[str, Query] = {
     "card_hour_distribution": on_transactions(profiling.card_hour_distribution),
     "card_hour_exceedance": on_transactions(profiling.card_hour_exceedance, limits=(1, 2, 5, 20, 50)),
     "card_previous_txn": card_previous_txn,
+    "card_previous_txn_sliced": card_previous_txn_sliced,
     "state_change_gap_distribution": on_transactions(
         profiling.state_change_gap_distribution, tiebreak=TIE
     ),
+    "state_change_gap_distribution_sliced": on_transactions(
+        profiling.state_change_gap_distribution, tiebreak=TIE, slicing=HOT
+    ),
     "state_change_share": on_transactions(profiling.state_change_share, tiebreak=TIE),
     "state_change_within": on_transactions(
         profiling.state_change_within, tiebreak=TIE, limits=(5, 10, 15, 30, 600)
     ),
     "amount_by_label": on_transactions(profiling.amount_by_label),
+    "amount_by_label_by_cells": on_transactions(profiling.amount_by_label, small_bytes=-1),
     # windows, order, sampling
     "pick_fraud_window": pick_fraud_window,
     "pick_fraud_window_years": pick_fraud_window_years,

@@ -475,3 +475,13 @@ SQL: dict[str, str] = {
         SAMPLED, "SELECT is_fraud, count(*) AS n FROM kept GROUP BY is_fraud"
     ),
 }
+
+# The same results by the paths for large tables.
+for _variant, _name in {
+    "card_previous_txn_sliced": "card_previous_txn",
+    "rule_amount_rolling_sliced": "rule_amount_rolling_3d",
+    "state_change_gap_distribution_sliced": "state_change_gap_distribution",
+    "amount_quantile_by_cells": "amount_quantile",
+    "amount_by_label_by_cells": "amount_by_label",
+}.items():
+    SQL[_variant] = SQL[_name]

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from cardlens.functions.timeparts import epoch_second
 from cardlens.operators import history
-from cardlens.operators.history import previous_row, trailing_totals
+from cardlens.operators.history import Slicing, previous_row, trailing_totals
+
+SLICINGS = [Slicing(-1, 5), Slicing(-1, 40), Slicing(-1), Slicing(1 << 62)]
 
 START = datetime(2016, 7, 1)
 
@@ -24,11 +26,11 @@ def random_rows(n, seed):
     return rows
 
 
-@pytest.mark.parametrize("hot_min_rows", [5, 40, 10**6])
-def test_previous_row(make, hot_min_rows):
+@pytest.mark.parametrize("slicing", SLICINGS)
+def test_previous_row(make, slicing):
     rows = random_rows(400, 3)
     result = previous_row(
-        make(rows), ["card_id"], "event_ts", ["merchant_state", "txn_id"], ["txn_id"], hot_min_rows
+        make(rows), ["card_id"], "event_ts", ["merchant_state", "txn_id"], ["txn_id"], slicing
     )
     got = {r["txn_id"]: (r["prev_merchant_state"], r["prev_txn_id"]) for r in result.collect()}
     assert len(got) == len(rows)
@@ -51,10 +53,9 @@ def test_previous_row(make, hot_min_rows):
 
 
 def test_hot_card_is_cut_into_slices(make):
-    rows = make(random_rows(400, 3)).withColumns(
-        {"_at": epoch_second(F.col("event_ts")), "_tie": F.col("txn_id")}
-    )
-    sliced = history._sliced(rows, ["card_id"], 40, ["_at", "_tie"])
+    rows = make(random_rows(400, 3)).withColumn("_at", epoch_second(F.col("event_ts")))
+    hot = history._hot_keys(rows, ["card_id"], 1, F.min("_at"), F.max("_at"), Slicing(-1, 40))
+    sliced = history._sliced(rows, ["card_id"], hot, ["_at", "txn_id"])
     counts = {
         (r["card_id"], r["_hot"]): r["n"]
         for r in sliced.groupBy("card_id", "_hot").agg(F.countDistinct("_slice").alias("n")).collect()
@@ -66,17 +67,17 @@ def test_hot_card_is_cut_into_slices(make):
 
 def test_ties_without_a_tiebreaker_keep_all_rows(make):
     rows = [(i, 1, "2016-07-01 10:00", 1.0, "AB"[i % 2], 0) for i in range(20)]
-    result = previous_row(make(rows), ["card_id"], "event_ts", ["txn_id"], hot_min_rows=3)
+    result = previous_row(make(rows), ["card_id"], "event_ts", ["txn_id"], slicing=Slicing(-1, 3))
     prev = [r["prev_txn_id"] for r in result.collect()]
     assert prev.count(None) == 1 and len(set(prev)) == 20
 
 
-@pytest.mark.parametrize("hot_min_rows", [5, 10**6])
+@pytest.mark.parametrize("slicing", [SLICINGS[0], *SLICINGS[2:]])
 @pytest.mark.parametrize("span", [3600, 86400 * 3])
-def test_trailing_totals(make, span, hot_min_rows):
+def test_trailing_totals(make, span, slicing):
     rows = random_rows(300, 5)
     result = trailing_totals(
-        make(rows), ["card_id"], epoch_second(F.col("event_ts")), F.col("amount"), span, hot_min_rows
+        make(rows), ["card_id"], epoch_second(F.col("event_ts")), F.col("amount"), span, slicing
     )
     got = {r["txn_id"]: (r["trailing_sum"], r["trailing_count"]) for r in result.collect()}
     assert len(got) == len(rows)
