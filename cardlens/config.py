@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from cardlens.sources.scratch import BROADCAST_BYTES, ONE_TASK_BYTES
+
 
 @dataclass(frozen=True)
 class RuleConfig:
@@ -34,6 +36,8 @@ class RuleConfig:
     quantile_mode: str = "exact"
     quantile_accuracy: int = 10_000
 
-    # Inputs whose plan is estimated above this size get their rule inputs
-    # written out first, so that join strategies are chosen from real file sizes.
-    store_inputs_above_bytes: int = 1 << 30
+    # Data known to be no larger than this is scored by one plan. Beyond it, what
+    # the rules learn from the data is stored first.
+    small_bytes: int = ONE_TASK_BYTES
+    # What was learnt is broadcast up to this size and joined by shuffle beyond it.
+    broadcast_bytes: int = BROADCAST_BYTES

@@ -2,9 +2,7 @@
 
 Per-card figures come from an aggregate that is joined back, not from a window
 over the card: partial aggregation shrinks even a card that holds a third of all
-rows before anything is shuffled. The joins carry no hint. Catalyst broadcasts
-the aggregate when its size is under the session's threshold, otherwise adaptive
-execution splits the partitions of a heavy card.
+rows before anything is shuffled. See ``joinable`` for how the join is planned.
 """
 
 from __future__ import annotations
@@ -20,6 +18,7 @@ from cardlens.functions.geo import haversine_km
 from cardlens.functions.timeparts import epoch_hour, epoch_second, minutes_between
 from cardlens.operators.history import Slicing, previous_row, trailing_totals
 from cardlens.operators.selection import exact_quantiles
+from cardlens.sources.scratch import joinable
 
 DEFAULTS = RuleConfig()
 SECONDS_PER_DAY = 86_400
@@ -46,9 +45,10 @@ def card_stats(df: DataFrame, card_keys: Sequence[str] = ("card_id",)) -> DataFr
     )
 
 
-def with_card_stats(df: DataFrame, card_keys: Sequence[str] = ("card_id",)) -> DataFrame:
+def with_card_stats(df: DataFrame, config: RuleConfig = DEFAULTS) -> DataFrame:
     """Every transaction with the mean and deviation of its card."""
-    return _attach(df, card_stats(df, card_keys), card_keys, ["card_mean", "card_std"])
+    stats = _joinable(card_stats(df, config.card_keys), df, config)
+    return _attach(df, stats, config.card_keys, ["card_mean", "card_std"])
 
 
 def amount_ceilings(df: DataFrame, config: RuleConfig = DEFAULTS) -> DataFrame:
@@ -69,7 +69,8 @@ def rule_amount_anomaly(
     df: DataFrame, config: RuleConfig = DEFAULTS, ceilings: DataFrame | None = None
 ) -> DataFrame:
     """R1: far above the card's mean, or above a fixed limit."""
-    ceilings = amount_ceilings(df, config) if ceilings is None else ceilings
+    if ceilings is None:
+        ceilings = _joinable(amount_ceilings(df, config), df, config)
     amount = F.col("amount")
     unusual = amount > F.col("amount_ceiling")
     rows = _attach(df, ceilings, config.card_keys, ["amount_ceiling"])
@@ -90,11 +91,11 @@ def card_hour_counts(df: DataFrame, card_keys: Sequence[str] = ("card_id",)) ->
     )
 
 
-def txns_per_card_hour(df: DataFrame, card_keys: Sequence[str] = ("card_id",)) -> DataFrame:
+def txns_per_card_hour(df: DataFrame, config: RuleConfig = DEFAULTS) -> DataFrame:
     """Every transaction with the number its card made in that hour."""
     rows = df.withColumn("hour_bucket", epoch_hour(F.col("event_ts")))
-    counts = card_hour_counts(df, card_keys)
-    return _attach(rows, counts, [*card_keys, "hour_bucket"], ["txn_in_hour"])
+    counts = _joinable(card_hour_counts(df, config.card_keys), df, config)
+    return _attach(rows, counts, [*config.card_keys, "hour_bucket"], ["txn_in_hour"])
 
 
 def busy_hours(df: DataFrame, config: RuleConfig = DEFAULTS) -> DataFrame:
@@ -107,7 +108,8 @@ def rule_velocity(
     df: DataFrame, config: RuleConfig = DEFAULTS, busy: DataFrame | None = None
 ) -> DataFrame:
     """R2: more than ``velocity_max`` transactions of the card in one clock hour."""
-    busy = busy_hours(df, config) if busy is None else busy
+    if busy is None:
+        busy = _joinable(busy_hours(df, config), df, config)
     rows = df.withColumn("hour_bucket", epoch_hour(F.col("event_ts")))
     rows = _attach(rows, busy, [*config.card_keys, "hour_bucket"], ["txn_in_hour"])
     return rows.withColumn("r2_velocity", F.col("txn_in_hour").isNotNull().cast("int")).drop(
@@ -124,7 +126,9 @@ def amount_quantile(df: DataFrame, config: RuleConfig = DEFAULTS) -> DataFrame:
     if config.quantile_mode == "approx":
         sketch = F.percentile_approx("amount", q, config.quantile_accuracy)
         return df.agg(sketch.alias("amount_quantile"))
-    return exact_quantiles(df, F.col("amount"), {"amount_quantile": q})
+    return exact_quantiles(
+        df, F.col("amount"), {"amount_quantile": q}, small_bytes=config.small_bytes
+    )
 
 
 def rule_odd_hour(
@@ -253,6 +257,10 @@ def _known(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
+def _joinable(facts: DataFrame, df: DataFrame, config: RuleConfig) -> DataFrame:
+    return joinable(facts, df, config.small_bytes, config.broadcast_bytes)
+
+
 def _attach(
     df: DataFrame, facts: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:

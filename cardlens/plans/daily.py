@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cardlens.config import RuleConfig
 from cardlens.operators import reports
 from cardlens.operators.cleaning import with_event_ts
-from cardlens.plans.scoring import rule_inputs, score_transactions, store_rule_inputs
+from cardlens.plans.scoring import rule_inputs, score_transactions
 from cardlens.sources.catalog import register_curated_table
 from cardlens.sources.readers import read_raw_transactions
 from cardlens.sources.scratch import store
@@ -34,13 +34,16 @@ def run_daily_batch(
 
     A failing step raises and later steps do not run. The raw text is parsed once:
     the rules look at the data several times, and typed columns are far cheaper to
-    read again than CSV.
+    read again than CSV. Rows come from daily folders, so unless a join shuffles
+    them they are written as they come, without regrouping them by day.
     """
     config = config or RuleConfig()
     raw = read_raw_transactions(spark, raw_root, extra_types=extra_types)
     typed = store(with_event_ts(raw), "typed-transactions")
-    inputs = store_rule_inputs(rule_inputs(typed, config))
-    write_curated(score_transactions(typed, config, inputs), curated_root, dynamic)
+    inputs = rule_inputs(typed, config)
+    scored = score_transactions(typed, config, inputs)
+    in_place = inputs.small(config.broadcast_bytes)
+    write_curated(scored, curated_root, dynamic, rebalance=not in_place)
     return register_curated_table(spark, table, curated_root)
 
 

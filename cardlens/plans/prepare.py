@@ -10,7 +10,8 @@ from cardlens.operators.cleaning import clean_source
 from cardlens.operators.profiling import day_fraud_profile
 from cardlens.operators.sampling import sample_keep_fraud
 from cardlens.operators.windows import checked_window, extract_window, pick_fraud_window
-from cardlens.sources.readers import NoInput, read_source
+from cardlens.sources.readers import NoInput, read_raw_transactions, read_source
+from cardlens.sources.scratch import store
 from cardlens.sources.writers import write_raw_partitions
 
 # Defaults of the preparation step.
@@ -31,16 +32,16 @@ def prepare_dataset(
 ) -> DataFrame:
     """Pick the richest days, keep all their frauds, fill up to ``target``, write by day.
 
-    Returns the rows as they were chosen. The picked window is one row; knowing it
-    before the second pass turns it into plain filters.
+    Two passes over the source: one to pick the days, one to extract them. The
+    picked window is a single row, and knowing it turns the second pass into plain
+    filters. The extract is stored, since sampling looks at it several times.
+    Returns the raw zone as it can be read back.
     """
     rows = clean_source(read_source(spark, source))
     window = checked_window(pick_fraud_window(day_fraud_profile(rows, years), days))
     if not window["frauds"] and target < 1:
         raise NoInput("nothing to keep: the picked days have no fraud and the target is 0")
-    chosen = extract_window(
-        rows, window["year"], window["month"], range(window["first_day"], window["last_day"] + 1)
-    )
-    sample = sample_keep_fraud(chosen, target, seed)
-    write_raw_partitions(sample, raw_root)
-    return sample
+    picked = range(window["first_day"], window["last_day"] + 1)
+    chosen = store(extract_window(rows, window["year"], window["month"], picked), "picked-days")
+    write_raw_partitions(sample_keep_fraud(chosen, target, seed), raw_root)
+    return read_raw_transactions(spark, raw_root)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from cardlens.config import RuleConfig
 from cardlens.operators import rules
-from cardlens.sources.scratch import estimated_bytes, store
+from cardlens.sources.scratch import fits_one_task, joinable, kept
 
 
 @dataclass(frozen=True)
@@ -24,28 +24,21 @@ class RuleInputs:
     busy: DataFrame
     quantile: DataFrame
 
+    def small(self, limit: int) -> bool:
+        """Whether applying the inputs leaves the rows where they are."""
+        return fits_one_task(self.ceilings, limit) and fits_one_task(self.busy, limit)
 
-def rule_inputs(df: DataFrame, config: RuleConfig = rules.DEFAULTS) -> RuleInputs:
-    """The inputs as plans that run inside the query using them."""
-    return RuleInputs(
-        rules.amount_ceilings(df, config),
-        rules.busy_hours(df, config),
-        rules.amount_quantile(df, config),
-    )
 
+def rule_inputs(df: DataFrame, config: RuleConfig = rules.DEFAULTS) -> RuleInputs:
+    """Learn the inputs: inside the query for small data, else computed now and stored."""
 
-def store_rule_inputs(inputs: RuleInputs) -> RuleInputs:
-    """The same inputs, computed now and kept as files.
+    def ready(facts: DataFrame) -> DataFrame:
+        return joinable(facts, df, config.small_bytes, config.broadcast_bytes)
 
-    As part of one large plan, Catalyst can only guess the size of an aggregate
-    and would start to shuffle the wide rows before it knows better. Files have
-    a size, so a small table is broadcast from the start and a large one is
-    joined by shuffle.
-    """
     return RuleInputs(
-        store(inputs.ceilings, "amount-ceilings"),
-        store(inputs.busy, "busy-hours"),
-        store(inputs.quantile, "amount-quantile"),
+        ready(rules.amount_ceilings(df, config)),
+        ready(rules.busy_hours(df, config)),
+        kept(rules.amount_quantile(df, config), df, config.small_bytes),
     )
 
 
@@ -55,13 +48,9 @@ def score_transactions(
     """Add the three flags, ``risk_score`` and ``risk_level``.
 
     ``inputs`` may come from other data, for example from a longer history. If
-    left out they are learnt from ``df``, and for large data also stored.
+    left out they are learnt from ``df``.
     """
-    if inputs is None:
-        inputs = rule_inputs(df, config)
-        size = estimated_bytes(df)
-        if size is None or size > config.store_inputs_above_bytes:
-            inputs = store_rule_inputs(inputs)
+    inputs = inputs or rule_inputs(df, config)
     return (
         df.transform(rules.rule_amount_anomaly, config, inputs.ceilings)
         .transform(rules.rule_velocity, config, inputs.busy)

@@ -6,11 +6,16 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # What Spark gives one task of a file scan by default. A table no larger than this
 # may be handled by one task without further thought.
 ONE_TASK_BYTES = 128 << 20
 
+# Files up to this size are broadcast. Decoded and hashed they take some ten times
+# as much, which every executor can hold.
+BROADCAST_BYTES = 32 << 20
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
@@ -60,3 +65,28 @@ def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
     """Whether all of ``df`` is known to be small; False when nothing is known."""
     size = estimated_bytes(df)
     return size is not None and size <= limit
+
+
+def kept(facts: DataFrame, source: DataFrame, small_bytes: int = ONE_TASK_BYTES) -> DataFrame:
+    """``facts`` learnt from ``source``: part of the plan if that is small, else stored."""
+    return facts if fits_one_task(source, small_bytes) else store(facts, "facts")
+
+
+def joinable(
+    facts: DataFrame,
+    source: DataFrame,
+    small_bytes: int = ONE_TASK_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``facts`` learnt from ``source``, ready to be joined back to it.
+
+    For a large source they are stored, for two reasons. Their size is then known
+    before the join is planned, so a small table is broadcast and the wide rows
+    are not shuffled at all. And where the table is too large for that, both sides
+    of the join are plain shuffles, which adaptive execution needs to split the
+    rows of a heavy key; it cannot when one side is still an aggregate.
+    """
+    if fits_one_task(source, small_bytes):
+        return facts
+    stored = store(facts, "facts")
+    return F.broadcast(stored) if fits_one_task(stored, broadcast_bytes) else stored

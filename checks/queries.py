@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from cardlens.operators.sampling import sample_keep_fraud
 from cardlens.operators.selection import exact_quantiles
 from cardlens.plans.daily import gold_tables, run_daily_batch
 from cardlens.plans.prepare import prepare_dataset
-from cardlens.plans.scoring import rule_inputs, score_transactions, store_rule_inputs
+from cardlens.plans.scoring import score_transactions
 from cardlens.sources import readers, writers
 from cardlens.sources.catalog import register_curated_table
 from cardlens.sources.scratch import new_path
@@ -155,9 +156,8 @@ def gold(spark, sf_dir):
 
 
 def prepare(spark, sf_dir):
-    root = new_path(spark, "raw")
-    prepare_dataset(spark, source_file(spark, sf_dir), root, years=[2024])
-    return readers.read_raw_transactions(spark, root)
+    source = source_file(spark, sf_dir)
+    return prepare_dataset(spark, source, new_path(spark, "raw"), years=[2024])
 
 
 # --- cleaning ------------------------------------------------------------------
@@ -208,10 +208,9 @@ def drop_helpers(spark, sf_dir):
 # --- scoring ---------------------------------------------------------------------
 
 
-def score_with_stored_inputs(spark, sf_dir):
-    rows = transactions(spark, sf_dir)
-    inputs = store_rule_inputs(rule_inputs(rows, CONFIG))
-    return score_transactions(rows, CONFIG, inputs)
+def scored_with(**changes) -> Query:
+    config = replace(CONFIG, **changes)
+    return on_transactions(lambda rows: score_transactions(rows, config))
 
 
 def card_stats(spark, sf_dir):
@@ -347,7 +346,8 @@ QUERIES: dict[str, Query] = {
     "risk_score": scored_columns("risk_score"),
     "risk_level": scored_columns("risk_level"),
     "score_transactions": on_scored(lambda scored: scored),
-    "score_transactions_stored_inputs": score_with_stored_inputs,
+    "score_transactions_stored_inputs": scored_with(small_bytes=-1),
+    "score_transactions_shuffled": scored_with(small_bytes=-1, broadcast_bytes=-1),
     # rules outside the default score
     "rule_amount_rolling": rule_alone(rules.rule_amount_rolling, "r_amount_rolling"),
     "rule_amount_rolling_3d": rule_alone(rules.rule_amount_rolling, "r_amount_rolling", days=3),

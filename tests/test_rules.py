@@ -1,5 +1,6 @@
 import itertools
 import random
+from dataclasses import replace
 
 import pandas as pd
 import pytest
@@ -7,7 +8,6 @@ from pyspark.sql import functions as F
 
 from cardlens import RuleConfig, score_transactions
 from cardlens.operators import rules
-from cardlens.plans.scoring import rule_inputs, store_rule_inputs
 
 DAY = "2016-07-04 "
 
@@ -123,41 +123,54 @@ def test_scoring_matches_a_plain_computation(make):
     assert flags(score_transactions(make(rows), config), "risk_score") == expected
 
 
-def test_all_ways_to_get_the_inputs_agree(make):
-    df = make(random_transactions())
-    config = RuleConfig(velocity_max=4)
-    stored_on_size = RuleConfig(velocity_max=4, store_inputs_above_bytes=0)
-    expected = sorted(map(tuple, score_transactions(df, config).collect()))
-    assert sorted(map(tuple, score_transactions(df, stored_on_size).collect())) == expected
-    inputs = store_rule_inputs(rule_inputs(df, config))
-    assert sorted(map(tuple, score_transactions(df, config, inputs).collect())) == expected
+BIG = 1 << 62
 
 
-def test_shuffled_joins_give_the_same_scores(spark, make):
-    """Beyond the broadcast threshold the inputs are joined by shuffle."""
-    rows = random_transactions()
+@pytest.mark.parametrize("small_bytes, broadcast_bytes", [(BIG, BIG), (-1, BIG), (-1, -1)])
+def test_inputs_in_plan_stored_or_shuffled(spark, make, small_bytes, broadcast_bytes):
+    df = make(random_transactions())
     config = RuleConfig(velocity_max=4)
-    expected = sorted(map(tuple, score_transactions(make(rows), config).collect()))
-    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
-    try:
-        for key in keys:
-            spark.conf.set(key, "-1")
-        scored = score_transactions(make(rows), config)
-        assert "BroadcastHashJoin" not in scored._jdf.queryExecution().executedPlan().toString()
-        assert sorted(map(tuple, scored.collect())) == expected
-    finally:
-        for key in keys:
-            spark.conf.unset(key)
+    expected = sorted(map(tuple, score_transactions(df, config).collect()))
+    config = replace(config, small_bytes=small_bytes, broadcast_bytes=broadcast_bytes)
+    assert sorted(map(tuple, score_transactions(df, config).collect())) == expected
 
 
-def test_stored_inputs_keep_wide_rows_in_place(spark, make):
-    df = make(random_transactions())
-    config = RuleConfig(velocity_max=4)
-    scored = score_transactions(df, config, store_rule_inputs(rule_inputs(df, config)))
+def test_stored_inputs_keep_wide_rows_in_place(make):
+    config = RuleConfig(velocity_max=4, small_bytes=-1)
+    scored = score_transactions(make(random_transactions()), config)
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in plan
 
 
+def test_a_heavy_card_is_split_between_tasks(spark, tmp_path):
+    """Too large to broadcast: adaptive execution has to see and split the heavy card."""
+    spark.range(400_000).selectExpr(
+        "id AS txn_id", "if(id % 3 = 0, 7, id % 5000) AS card_id", "id % 250 + 0.5D AS amount",
+        "timestamp_ntz'2016-07-04 10:00:00' AS event_ts", "repeat(cast(id AS string), 20) AS pad",
+    ).repartition(16).write.parquet(str(tmp_path / "t"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = spark.read.parquet(str(tmp_path / "t"))
+        config = RuleConfig(small_bytes=-1, broadcast_bytes=-1, amount_limit=1e9)
+        flagged = rules.rule_amount_anomaly(df, config)
+        assert flagged.select("pad", "r1_amount_anomaly").toPandas()["r1_amount_anomaly"].sum() == 0
+        plan = flagged.select("pad", "r1_amount_anomaly")
+        plan.collect()
+        assert "skewed" in plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_cards_within_users(make):
     rows = [(i, 0, DAY + "10:00", 10.0 + i % 2, None, 0) for i in range(20)]
     df = make(rows + [(50, 0, DAY + "10:30", 90.0, None, 0)]).withColumn(
