@@ -219,8 +219,8 @@ def _moments_of(counts: DataFrame, by: list[str]) -> DataFrame:
 
 def _with_facts(df: DataFrame, facts: DataFrame, by: list[str], column: str) -> DataFrame:
     """Add a column of ``facts``, which has one row, or one row per label."""
-    if by:  # few labels, see describe
-        return df.join(F.broadcast(facts), by, "left")
+    if by:
+        return df.join(facts, by, "left")
     return df.withColumn(column, facts.select(column).scalar())
 
 

@@ -85,14 +85,16 @@ def quantiles_of(
         *by, "_cell", "_lo", "_hi", "_total", F.col("_before").alias("_base")
     )
 
-    # Round two: totals per step inside the chosen cells. At most two ranks per
-    # probability and label were chosen, which bounds what is broadcast.
+    # Round two: totals per step inside the chosen cells. At most two cells per
+    # probability and label were chosen. Only the labels are not counted beforehand,
+    # so without labels the bound is known and the cells can be broadcast.
+    spread = (lambda few: few) if by else F.broadcast
     step = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
         F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * CELLS_PER_CELL)
     )
     known = ["_lo", "_hi", "_total", "_base"]
     steps = (
-        counts.join(F.broadcast(cells), [*by, "_cell"])
+        counts.join(spread(cells), [*by, "_cell"])
         .groupBy(*by, "_cell", *known, step.alias("_step"))
         .agg(F.sum("_n").alias("_n"))
     )
@@ -102,7 +104,7 @@ def quantiles_of(
     )
 
     # The values of the chosen steps, then the two neighbours of every position.
-    near = counts.join(F.broadcast(steps), [*by, "_cell"]).where(F.col("_step") == step)
+    near = counts.join(spread(steps), [*by, "_cell"]).where(F.col("_step") == step)
     near = _ranked(near, [*by, "_cell", "_step"], "_v", F.col("_base"))
 
     def at(rank: Column) -> Column:

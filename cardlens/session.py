@@ -15,6 +15,8 @@ def session_builder(app_name: str = "cardlens") -> SparkSession.Builder:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # size of the pieces into which large days and heavy keys are split
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128MB")
         # lets a shuffled join hash its small side instead of sorting the wide one
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     )

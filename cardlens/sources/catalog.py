@@ -13,7 +13,7 @@ def register_curated_table(
 ) -> DataFrame:
     """Create ``table`` over ``root`` if needed and find its day partitions.
 
-    An existing table keeps its columns and learns about new days. With
+    An existing table keeps its columns and learns about new and vanished days. With
     ``merge_schema=True`` the columns of all files are united, and the table is
     declared anew when they differ from the known ones; the files are external
     and stay as they are.
@@ -29,6 +29,6 @@ def register_curated_table(
             f"CREATE TABLE {table} ({ddl}) USING parquet "
             f"PARTITIONED BY ({', '.join(DAY_COLUMNS)}) LOCATION '{root}'"
         )
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
     return spark.table(table)

@@ -333,6 +333,9 @@ SQL: dict[str, str] = {
     ),
     "rule_velocity": _velocity(1),
     "amount_quantile": _with(TX, "SELECT quantile_cont(amount, 0.9) AS amount_quantile FROM tx"),
+    "amount_quantile_approx": _with(
+        TX, "SELECT quantile_disc(amount, 0.9) AS amount_quantile FROM tx"
+    ),
     "rule_odd_hour": _odd_hour(0),
     "risk_score": _with(SCORED, "SELECT txn_id, risk_score FROM scored"),
     "risk_level": _with(SCORED, "SELECT txn_id, risk_level FROM scored"),

@@ -118,6 +118,8 @@ def test_table_learns_new_days_and_columns(spark, tmp_path):
     merged = register_curated_table(spark, table, root, merge_schema=True)
     assert sorted((r.day, r.note or "") for r in merged.collect()) == [(3, ""), (3, ""), (14, "new")]
     assert Path(root).exists()
+    writers.write_curated(df.where("day = 14").withColumn("note", F.lit("new")), root)
+    assert register_curated_table(spark, table, root).count() == 1  # the 3rd has vanished
     spark.sql(f"DROP TABLE {table}")
 
 
