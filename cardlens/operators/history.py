@@ -1,14 +1,18 @@
 """Row order within a card: previous rows and trailing totals.
 
 A window over a card puts all its rows into one task. That is fine for a small
-table. Otherwise one card may hold a large share of the data, so the time range
-of such hot cards is cut into slices: windows run per slice, and what a slice
-must know about earlier ones is computed from one row per slice and joined back.
-
-A card is hot above ``1 / HOT_SHARE`` of all rows, so there are never more than
-HOT_SHARE hot cards, and their slices number at most
-``2 * (SLICES_PER_SHARE + 1) * HOT_SHARE``. Both lists are broadcast on the
-strength of these bounds.
+table. In a large one a card may hold a large share of all rows, so cards above
+``1 / HEAVY_SHARE`` of the rows are cut into slices along their order: windows run
+per slice, and what a slice must know about earlier ones is computed from one
+row per slice and joined back.
+
+Slices are cut by time, and again where a burst leaves one heavy, down to a
+single instant, which is cut by the tiebreaker. Only rows that agree in time and
+tiebreaker stay together.
+
+No more than HEAVY_SHARE groups can be heavy at a time, and a round cuts them into
+at most ``(MIN_PARTS + SLICES_PER_SHARE + 1) * HEAVY_SHARE`` slices. Both lists are
+broadcast on the strength of these bounds.
 """
 
 from __future__ import annotations
@@ -23,17 +27,22 @@ from pyspark.sql import functions as F
 from cardlens.functions.timeparts import epoch_us
 from cardlens.sources.scratch import ONE_TASK_BYTES, fits_one_task, store
 
-HOT_SHARE = 50_000
+HEAVY_SHARE = 20_000
 SLICES_PER_SHARE = 2
+MIN_PARTS = 16
+ROUNDS = 4
+SLICE_STEP = 1 << 15  # more than the parts of one group; ROUNDS steps fit a BIGINT
 KEYLESS_SPREAD = 4096
+TIE_RANGE = 1 << 61
+WHOLE_NUMBERS = ("bigint", "int", "smallint", "tinyint")
 
 
 @dataclass(frozen=True)
 class Slicing:
-    """When to slice: tables above ``small_bytes``, keys above ``hot_min_rows``."""
+    """When to slice: tables above ``small_bytes``, groups above ``heavy_rows``."""
 
     small_bytes: int = ONE_TASK_BYTES
-    hot_min_rows: int = 1_000_000
+    heavy_rows: int = 1_000_000
 
 
 def previous_row(
@@ -46,40 +55,41 @@ def previous_row(
 ) -> DataFrame:
     """Add ``prev_<column>`` for each carried column: its value one row earlier.
 
-    Rows of one key are ordered by the timestamp ``at``, NULL last, then by
-    ``tiebreak`` (by a hash of the row where none is given). Rows without a key
-    belong to no sequence and get NULL.
+    Rows of one key are ordered by the timestamp ``at``, NULL last. Rows of one
+    instant follow ``tiebreak`` if that is one whole number, otherwise a hash of
+    the tiebreak columns, or of the whole row if there are none. Rows without a
+    key belong to no sequence and get NULL.
     """
-    keys = list(keys)
-    ties = list(tiebreak) or ["_tie"]
-    rows = df if tiebreak else df.withColumn("_tie", F.xxhash64(*df.columns))
+    keys, ties = list(keys), list(tiebreak)
+    if len(ties) == 1 and dict(df.dtypes)[ties[0]] in WHOLE_NUMBERS:
+        tie = F.col(ties[0]).cast("bigint")
+    else:
+        tie = F.xxhash64(*(ties or df.columns))
+    rows = df.withColumns({"_at": epoch_us(F.col(at)), "_tie": tie})
+    order = [F.col("_at").asc_nulls_last(), "_tie", *ties]
     payload = F.struct(*carry)
 
     if fits_one_task(df, slicing.small_bytes):
-        order = Window.partitionBy(*keys).orderBy(F.col(at).asc_nulls_last(), *ties)
-        rows = rows.withColumn("_prev", F.when(_has_key(keys), F.lag(payload).over(order)))
+        prev = F.lag(payload).over(Window.partitionBy(*keys).orderBy(*order))
+        rows = rows.withColumn("_prev", prev)
     else:
-        rows = rows.withColumn("_at", epoch_us(F.col(at)))
-        hot = _hot_keys(rows, keys, 1, F.min("_at"), F.max("_at"), slicing)
-        rows = _sliced(rows, keys, hot, ["_at", *ties])
-        order = Window.partitionBy(*keys, "_slice").orderBy(F.col("_at").asc_nulls_last(), *ties)
-        last_first = F.struct(F.col("_at").isNull(), "_at", *ties)
+        rows = _sliced(rows, keys, slicing)
+        last_first = F.struct(F.col("_at").isNull(), "_at", "_tie", *ties)
         last = (
-            rows.where("_hot")
+            rows.where("_heavy")
             .groupBy(*keys, "_slice")
             .agg(F.max_by(payload, last_first).alias("_last"))
         )
         across = Window.partitionBy(*keys).orderBy("_slice")
         carried = last.select(*keys, "_slice", F.lag("_last").over(across).alias("_carried"))
-        prev = F.when(_has_key(keys), F.coalesce(F.col("_prev"), F.col("_carried")))
+        prev = F.lag(payload).over(Window.partitionBy(*keys, "_slice").orderBy(*order))
         rows = (
-            rows.withColumn("_prev", F.lag(payload).over(order))
+            rows.withColumn("_prev", prev)
             .join(F.broadcast(carried), [*keys, "_slice"], "left")
-            .withColumn("_prev", prev)
+            .withColumn("_prev", F.coalesce("_prev", "_carried"))
         )
-    return rows.select(
-        *df.columns, *[F.col("_prev").getField(c).alias(f"prev_{c}") for c in carry]
-    )
+    prev = F.when(_has_key(keys), F.col("_prev"))
+    return rows.select(*df.columns, *[prev.getField(c).alias(f"prev_{c}") for c in carry])
 
 
 def trailing_totals(
@@ -131,9 +141,12 @@ def _trailing_sliced(
     nothing = F.lit(None).cast(rows.select(whole.alias("r")).schema["r"].dataType)
 
     def event(at: Column, sign: int, row: Column) -> Column:
+        tie = F.pmod(F.col("_hash"), F.lit(TIE_RANGE))
         return F.struct(
             at.alias("_at"),
-            F.lit(int(sign == 0)).alias("_reads"),  # at one second, changes go first
+            # at one second, changes come before the rows that read them
+            (tie if sign else tie + TIE_RANGE).alias("_tie"),
+            F.lit(sign == 0).alias("_reads"),
             (F.col("_sum") * sign).cast("decimal(24,6)").alias("_sum"),
             (F.col("_count") * F.lit(sign).cast("bigint")).alias("_count"),
             row.alias("_row"),
@@ -145,22 +158,21 @@ def _trailing_sliced(
         second.isNotNull(),
         F.array(event(second + 1, 1, nothing), event(second + 1 + span, -1, nothing), reading),
     ).otherwise(F.array(reading))  # without a time: nothing to add anywhere
-    changes = rows.select(*keys, F.explode(events).alias("_e")).select(*keys, "_e.*")
-    first, last = F.min("_second"), F.max("_second") + 1 + span
-    hot = _hot_keys(rows, keys, 3, first, last, slicing)
-    changes = _sliced(changes, keys, hot, ["_at", "_row"])
+    hashed = rows.withColumn("_hash", F.xxhash64(*columns))
+    changes = hashed.select(*keys, F.explode(events).alias("_e")).select(*keys, "_e.*")
+    changes = _sliced(changes, keys, slicing)
 
     so_far = (
         Window.partitionBy(*keys, "_slice")
-        .orderBy(F.col("_at").asc_nulls_last(), "_reads")
+        .orderBy(F.col("_at").asc_nulls_last(), "_tie")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     read = changes.withColumns(
         {"_in_sum": F.sum("_sum").over(so_far), "_in_count": F.sum("_count").over(so_far)}
-    ).where(F.col("_reads") == 1)
+    ).where("_reads")
 
     slices = (
-        changes.where("_hot")
+        changes.where("_heavy")
         .groupBy(*keys, "_slice")
         .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
     )
@@ -185,54 +197,73 @@ def _has_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def _hot_keys(
-    rows: DataFrame, keys: list[str], weight: int, first: Column, last: Column, slicing: Slicing
-) -> DataFrame:
-    """The keys with more than their share of rows, and how to slice each.
+def _sliced(rows: DataFrame, keys: list[str], slicing: Slicing) -> DataFrame:
+    """Add ``_slice``, never decreasing in (``_at``, ``_tie``) within a key, and
+    ``_heavy``, whether the key was cut at all.
 
-    ``weight`` is the number of rows the caller makes of one. The list is short
-    and used several times, so it is stored.
+    Each round stores the short list of groups that are still too large and how to
+    cut them; mostly the second list is empty and ends it. Cuts depend on exact
+    counts and extremes only, so rows fall into the same slices whenever Spark
+    computes them again. Rows without a key are spread freely.
     """
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar() * weight
-    share = F.greatest(F.lit(slicing.hot_min_rows), F.ceil(total / HOT_SHARE))
-    slices = F.ceil(F.col("_rows") * SLICES_PER_SHARE / F.col("_share"))
-    hot = (
-        rows.where(_has_key(keys))
-        .groupBy(*keys)
+    keyless = F.when(~_has_key(keys), F.pmod("_tie", F.lit(KEYLESS_SPREAD)))
+    rows = rows.withColumns(
+        {"_slice": F.coalesce(keyless, F.lit(0)).cast("bigint"), "_heavy": F.lit(False)}
+    )
+    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    share = F.greatest(F.lit(slicing.heavy_rows), F.ceil(total / HEAVY_SHARE))
+    for round_number in range(ROUNDS):
+        candidates = rows.where(_has_key(keys) if round_number == 0 else F.col("_heavy"))
+        heavy = store(_heavy_groups(candidates, [*keys, "_slice"], share), "heavy-groups")
+        if heavy.isEmpty():
+            break
+        rows = _cut(rows, heavy, [*keys, "_slice"])
+    return rows
+
+
+def _heavy_groups(rows: DataFrame, group: list[str], share: Column) -> DataFrame:
+    """Groups above their share, the range they span, and the number of slices."""
+    measured = (
+        rows.groupBy(*group)
         .agg(
-            (F.count(F.lit(1)) * weight).alias("_rows"), first.alias("_from"), last.alias("_to")
-        )
-        .withColumn("_share", share)
-        .where(F.col("_rows") > F.col("_share"))
-        .select(
-            *keys,
-            F.coalesce(F.col("_from"), F.lit(0)).alias("_from"),
-            slices.alias("_slices"),
-            F.ceil((F.col("_to") - F.col("_from") + 1) / slices).alias("_width"),
+            F.count(F.lit(1)).alias("_rows"),
+            F.count("_at").alias("_timed"),
+            F.min("_at").alias("_from"),
+            F.max("_at").alias("_to"),
+            F.min("_tie").alias("_first_tie"),
+            F.max("_tie").alias("_last_tie"),
         )
+        .where(F.col("_rows") > share)
+    )
+    one_instant = (F.col("_timed") == 0) | (
+        (F.col("_timed") == F.col("_rows")) & (F.col("_from") == F.col("_to"))
+    )
+    pick = lambda tie, at: F.when(F.col("_by_tie"), F.col(tie)).otherwise(F.col(at)).cast("double")
+    return measured.withColumn("_by_tie", one_instant).select(
+        *group,
+        "_by_tie",
+        pick("_first_tie", "_from").alias("_low"),
+        pick("_last_tie", "_to").alias("_high"),
+        F.least(
+            F.greatest(F.lit(MIN_PARTS), F.ceil(F.col("_rows") * SLICES_PER_SHARE / share)),
+            F.lit(SLICE_STEP - 2),
+        ).alias("_parts"),
     )
-    return store(hot, "hot-keys")
-
 
-def _sliced(
-    rows: DataFrame, keys: list[str], hot: DataFrame, spread_by: Sequence[str]
-) -> DataFrame:
-    """Add ``_slice`` (never decreasing in ``_at`` within a key) and ``_hot``.
 
-    Rows of a hot key without a time go to slices of their own after all others;
-    rows without a key are spread freely.
-    """
-    spread = F.xxhash64(*spread_by)
-    timeless = F.col("_slices") + F.pmod(spread, F.col("_slices"))
-    slice_no = (
-        F.when(~_has_key(keys), F.pmod(spread, F.lit(KEYLESS_SPREAD)))
-        .when(F.col("_slices").isNull(), F.lit(0))
-        .when(F.col("_at").isNull(), timeless)
-        .otherwise(F.floor((F.col("_at") - F.col("_from")) / F.col("_width")))
-        .cast("bigint")
-    )
+def _cut(rows: DataFrame, heavy: DataFrame, group: list[str]) -> DataFrame:
+    """Cut the listed groups into equal steps of time, or of the tiebreaker."""
+    place = F.when(F.col("_by_tie"), F.col("_tie")).otherwise(F.col("_at")).cast("double")
+    width = F.nullif((F.col("_high") - F.col("_low")) / F.col("_parts"), F.lit(0.0))
+    step = F.least(F.floor((place - F.col("_low")) / width), F.col("_parts") - 1)
+    # untimed rows come after all timed ones; a group without width stays whole
+    untimed = F.when(~F.col("_by_tie") & F.col("_at").isNull(), F.col("_parts"))
+    part = F.coalesce(untimed, step, F.lit(0))
+    # all slices of a card that was ever cut move together, and stay in order
+    moved = F.col("_heavy") | F.col("_parts").isNotNull()
+    finer = F.when(moved, F.col("_slice") * SLICE_STEP + part).otherwise(F.col("_slice"))
     return (
-        rows.join(F.broadcast(hot), keys, "left")
-        .withColumns({"_slice": slice_no, "_hot": F.col("_slices").isNotNull()})
-        .drop("_from", "_slices", "_width")
+        rows.join(F.broadcast(heavy), group, "left")
+        .withColumns({"_slice": finer.cast("bigint"), "_heavy": moved})
+        .drop("_by_tie", "_low", "_high", "_parts")
     )

@@ -29,8 +29,8 @@ ID_TYPE = {"txn_id": "bigint"}
 ORDER_YEARS = (1996, 1998, 2000)
 # A sketch finer than the test tables have rows, which makes its answer exact.
 FINE_SKETCH = replace(CONFIG, quantile_mode="approx", quantile_accuracy=10_000_000)
-# Takes the path for large tables with hot cards, however small the table is.
-HOT = Slicing(small_bytes=-1, hot_min_rows=20)
+# Takes the path for large tables with heavy cards, however small the table is.
+HOT = Slicing(small_bytes=-1, heavy_rows=20)
 
 
 # --- building blocks ---------------------------------------------------------

@@ -8,7 +8,7 @@ from cardlens.functions.timeparts import epoch_second
 from cardlens.operators import history
 from cardlens.operators.history import Slicing, previous_row, trailing_totals
 
-SLICINGS = [Slicing(-1, 5), Slicing(-1, 40), Slicing(-1), Slicing(1 << 62)]
+SLICINGS = [Slicing(-1, 2), Slicing(-1, 10), Slicing(-1, 40), Slicing(-1), Slicing(1 << 62)]
 
 START = datetime(2016, 7, 1)
 
@@ -52,17 +52,39 @@ def test_previous_row(make, slicing):
     assert all(got[r[0]] == (None, None) for r in rows if r[1] is None)
 
 
-def test_hot_card_is_cut_into_slices(make):
+def slice_sizes(rows, slicing):
+    sliced = history._sliced(rows.withColumn("_tie", F.col("txn_id")), ["card_id"], slicing)
+    per_slice = sliced.groupBy("card_id", "_heavy", "_slice").count().collect()
+    sizes = {}
+    for r in per_slice:
+        sizes.setdefault((r["card_id"], r["_heavy"]), []).append(r["count"])
+    return sizes
+
+
+def test_heavy_card_is_cut_into_slices(make):
     rows = make(random_rows(400, 3)).withColumn("_at", epoch_second(F.col("event_ts")))
-    hot = history._hot_keys(rows, ["card_id"], 1, F.min("_at"), F.max("_at"), Slicing(-1, 40))
-    sliced = history._sliced(rows, ["card_id"], hot, ["_at", "txn_id"])
-    counts = {
-        (r["card_id"], r["_hot"]): r["n"]
-        for r in sliced.groupBy("card_id", "_hot").agg(F.countDistinct("_slice").alias("n")).collect()
-    }
-    assert counts[(1, True)] > 5
-    assert {k[0] for k in counts if k[1]} <= {1, 2, 3}
-    assert counts.get((3, False), 1) == 1
+    sizes = slice_sizes(rows, Slicing(-1, 80))
+    assert max(sizes[(1, True)]) <= 80 and sum(sizes[(1, True)]) > 200
+    assert len(sizes[(2, False)]) == len(sizes[(3, False)]) == 1  # others stay whole
+    assert len(sizes[(None, False)]) > 20  # rows without a card are spread
+
+
+@pytest.mark.parametrize("at", ["cast(60 AS bigint)", "cast(NULL AS bigint)"])
+def test_one_instant_is_cut_by_the_tiebreaker(spark, at):
+    rows = spark.range(300).selectExpr("id AS txn_id", "1 AS card_id", f"{at} AS _at")
+    (sizes,) = slice_sizes(rows, Slicing(-1, 50)).values()
+    assert max(sizes) <= 50
+
+
+def test_bursts_are_cut_again(spark):
+    """Most rows fall into a short part of the range, and most of these into one instant."""
+    rows = spark.range(20_000).selectExpr(
+        "id AS txn_id", "1 AS card_id",
+        "CASE WHEN id % 10 = 0 THEN id * 300 WHEN id % 10 < 4 THEN 1000000 + id % 1000 "
+        "ELSE 1000500 END AS _at",
+    )
+    (sizes,) = slice_sizes(rows, Slicing(-1, 100)).values()
+    assert max(sizes) <= 100
 
 
 def test_ties_without_a_tiebreaker_keep_all_rows(make):
@@ -72,7 +94,20 @@ def test_ties_without_a_tiebreaker_keep_all_rows(make):
     assert prev.count(None) == 1 and len(set(prev)) == 20
 
 
-@pytest.mark.parametrize("slicing", [SLICINGS[0], *SLICINGS[2:]])
+def test_both_paths_order_ties_alike(make):
+    rows = [(i, i % 2, "2016-07-01 10:00", 1.0, "ABC"[i % 3], 0) for i in range(60)]
+    for tiebreak in ([], ["txn_id"], ["merchant_state", "txn_id"]):
+        prev = [
+            {r["txn_id"]: r["prev_txn_id"] for r in
+             previous_row(make(rows), ["card_id"], "event_ts", ["txn_id"], tiebreak, s).collect()}
+            for s in (Slicing(-1, 5), Slicing(1 << 62))
+        ]
+        assert prev[0] == prev[1]
+        if tiebreak == ["txn_id"]:
+            assert prev[0] == {i: i - 2 if i > 1 else None for i in range(60)}
+
+
+@pytest.mark.parametrize("slicing", [SLICINGS[0], SLICINGS[2], *SLICINGS[3:]])
 @pytest.mark.parametrize("span", [3600, 86400 * 3])
 def test_trailing_totals(make, span, slicing):
     rows = random_rows(300, 5)
