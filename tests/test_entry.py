@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import difference, sql_connection
+from checks.queries import QUERIES
+from checks.sql import SQL
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -21,10 +23,12 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, connection, name):
-    result = entry.queries()[name](spark, SF_DIR).toPandas()
-    assert difference(result, connection.sql(entry.oracle_sql()[name]).df()) is None
+    result = QUERIES[name](spark, SF_DIR).toPandas()
+    assert difference(result, connection.sql(SQL[name]).df()) is None
