@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.llm import language_id, mixing, quality
+from cardlens.llm import jaccard_join, language_id, mixing, quality
 from cardlens.llm.tables import table
 
 
@@ -32,6 +32,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     learning = docs.filter(remainder(3) != 1)
@@ -46,5 +50,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
+    "op4_jaccard_join": op4_jaccard_join,
     "op10_quality": op10_quality,
 }
