@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.llm import jaccard_join, language_id, mixing, quality
+from cardlens.llm import jaccard_join, language_id, mixing, quality, sentencepiece_codec
 from cardlens.llm.tables import table
 
 
@@ -14,6 +14,21 @@ def remainder(divisor: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor, F.lit(-1))
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of ids, a hash of them, and whether decoding them gives the text again."""
+    codec = sentencepiece_codec.SentencePiece(sentencepiece_codec.default_model_path(spark))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = docs.withColumn("ids", codec.encode(F.col("text")))
+    # the blank sign of the pieces stands for a blank in a text as well
+    same = codec.decode(F.col("ids")).eqNullSafe(F.translate("text", "\u2581", " "))
+    return encoded.select(
+        "doc_id",
+        F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("bigint").alias("n_tokens"),
+        F.xxhash64("ids").alias("ids_hash"),
+        same.alias("round_trip"),
+    )
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.train(docs.filter(remainder(5) != 0).select("text", "lang"))
@@ -48,6 +63,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
     "op4_jaccard_join": op4_jaccard_join,
