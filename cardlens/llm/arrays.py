@@ -20,7 +20,7 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
 # Bytes handled at once. The work arrays take some thirty times as much.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))

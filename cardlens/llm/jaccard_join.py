@@ -26,11 +26,14 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType
 
 from cardlens.llm.arrays import fold_case, mixed, row_slices, span_hashes, text_bytes, words
-from cardlens.llm.tables import fresh, joinable, union_find
+from cardlens.llm.tables import BROADCAST_ROWS, fresh, joinable, union_find
 from cardlens.sources.scratch import store
 
 BUCKETS = 1 << 16  # size of each count table, whatever the corpus has
@@ -73,10 +76,7 @@ def _counts(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
             chained = _chain(h, k)
             for i in range(len(at) - 1):
                 own = np.unique(_row_shingles(h, at, k, chained, i))
-                by_shingle += np.bincount((own >> _SHIFT).astype(np.int64), minlength=BUCKETS) \
-                    if len(own) > BUCKETS else 0
-                if len(own) <= BUCKETS:
-                    np.add.at(by_shingle, (own >> _SHIFT).astype(np.int64), 1)
+                np.add.at(by_shingle, (own >> _SHIFT).astype(np.int64), 1)
     both = np.concatenate([by_word, by_shingle])
     some = np.flatnonzero(both)
     yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(both[some])], ["bucket", "n"])
@@ -122,9 +122,13 @@ def _least_overlap(n: int, percent: int) -> int:
 
 
 def _signatures(batches, k: int, percent: int, order) -> Iterator[pa.RecordBatch]:
-    """(tk, doc_id, text) to one row of set size, set hashes, group hash and prefix."""
+    """(tk, doc_id, text) to one row of set size, set hashes, group hash, prefix and histogram.
+
+    ``row`` numbers the rows; the table is stored, so a number stays with its row.
+    """
+    row = TaskContext.get().partitionId() << 40
     for batch in batches:
-        n, s1, s2, g, prefixes = [], [], [], [], []
+        n, s1, s2, g, prefixes, histograms = [], [], [], [], [], []
         for keys in _ordered_sets(batch.column("text"), k, order):
             size = len(keys)
             prefix = keys[: size - _least_overlap(size, percent) + 1] if size else keys
@@ -134,47 +138,69 @@ def _signatures(batches, k: int, percent: int, order) -> Iterator[pa.RecordBatch
             spread = mixed(prefix + np.uint64(0x94D049BB133111EB) * np.arange(len(prefix), dtype=np.uint64))
             g.append(mixed(np.array([spread.sum(dtype=np.uint64) + np.uint64(size)], np.uint64))[0])
             prefixes.append(prefix.astype(np.int64))
+            counts = np.bincount(((keys >> np.uint64(20)) & np.uint64(255)).astype(np.int64), minlength=256)
+            histograms.append(np.minimum(counts, 65535).astype(np.uint16).tobytes())
         longs = [pa.array(np.array(v, np.uint64).view(np.int64)) for v in (s1, s2, g)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("tk"), pa.array(n, pa.int32()), *longs,
-             pa.array(prefixes, pa.list_(pa.int64()))],
-            ["doc_id", "tk", "n", "s1", "s2", "g", "prefix"],
+             pa.array(prefixes, pa.list_(pa.int64())), pa.array(histograms, pa.binary()),
+             pa.array(row + np.arange(len(n)))],
+            ["doc_id", "tk", "n", "s1", "s2", "g", "prefix", "histogram", "row"],
         )
+        row += len(n)
 
 
 def _sets(batches, k: int, order) -> Iterator[pa.RecordBatch]:
+    seen: set[int] = set()  # classes a task has met, for copies of one text
     for batch in batches:
-        got = [s.astype(np.int64) for s in _ordered_sets(batch.column("text"), k, order)]
+        classes = batch.column("c").to_pylist()
+        new = [i for i, c in enumerate(classes) if not (c in seen or seen.add(c))]
+        text = batch.column("text").take(pa.array(new, pa.int64()))
+        got = [s.astype(np.int64) for s in _ordered_sets(text, k, order)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("c"), batch.column("to"), pa.array(got, pa.list_(pa.int64()))], ["c", "to", "keys"]
+            [pa.array([classes[i] for i in new], pa.int64()), pa.array(got, pa.list_(pa.int64()))], ["c", "keys"]
         )
 
 
+@arrow_udf(LongType())
+def _overlap_bound(x: pa.Array, y: pa.Array) -> pa.Array:
+    """No two sets share more than the smaller counts of their histograms together."""
+    if not len(x):
+        return pa.array([], pa.int64())
+    a = np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(len(x), 256)
+    b = np.frombuffer(b"".join(y.to_pylist()), np.uint16).reshape(len(x), 256)
+    full = (a == 65535) & (b == 65535)  # counts that did not fit
+    return pa.array(np.minimum(a, b).sum(axis=1, dtype=np.int64) + full.sum(axis=1) * (1 << 40))
+
+
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int, order) -> DataFrame:
     """Pairs of classes (a, b) whose whole sets are similar enough, stored.
 
-    Sets are made anew from one text of each class that occurs in a pair. A set goes
-    to the classes it is to be compared with, so each pair moves one set.
+    Histograms first rule out most pairs. For the rest sets are made anew from one text
+    of each class, and each pair moves one set, that of ``b``.
     """
-    pairs = store(pairs, "pairs")
-    wanted = pairs.select(F.col("b").alias("c"), F.col("a").alias("to")).unionByName(
-        pairs.select(F.col("a").alias("c"), F.col("a").alias("to")).distinct()
+    side = classes.select("c", "n", "histogram")
+    x = side.select(F.col("c").alias("a"), F.col("n").alias("a_n"), F.col("histogram").alias("a_h"))
+    y = side.select(F.col("c").alias("b"), F.col("n").alias("b_n"), F.col("histogram").alias("b_h"))
+    bounded = pairs.join(y, "b").join(x, "a").withColumn("bound", _overlap_bound("a_h", "b_h"))
+    possible = F.lit(100 + percent) * F.col("bound") >= F.lit(percent) * (F.col("a_n") + F.col("b_n"))
+    pairs = store(bounded.filter(possible).select("a", "b"), "pairs")
+    wanted = store(
+        pairs.select(F.col("b").alias("c"), F.col("a").alias("to"))
+        .unionByName(pairs.select(F.col("a").alias("c"), F.col("a").alias("to")).distinct()), "wanted",
     )
-    named = store(wanted.join(classes.select("c", "tk"), "c"), "wanted")
-    of_text = joinable(store(named.select("tk", "c").distinct(), "wanted-texts"))
-    texts = docs.select("text", F.xxhash64("text").alias("tk")).join(of_text, "tk")
-    texts = texts.groupBy("c").agg(F.min("text").alias("text"))  # copies of a text count once
-    made = (
-        texts.withColumn("to", F.lit(0).cast("bigint"))
-        .select("c", "to", "text").mapInArrow(partial(_sets, k=k, order=order), "c bigint, to bigint, keys array<bigint>")
-    )
-    sets = store(made.select("c", "keys"), "sets")
-    members = pairs.join(sets.withColumnRenamed("c", "b"), "b")
-    hubs = sets.select(F.col("c").alias("a"), F.col("keys").alias("hub_keys"))
+    involved = store(wanted.select("c").distinct().join(classes.select("c", "tk", "doc_id"), "c"), "involved")
+    named = joinable(involved).select("c", F.col("tk").alias("_tk"), F.col("doc_id").alias("_id"))
+    texts = docs.join(
+        named, (F.xxhash64("text") == F.col("_tk")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    ).select("c", "text")
+    sets = texts.mapInArrow(partial(_sets, k=k, order=order), "c bigint, keys array<bigint>")
+    sent = store(sets.join(joinable(wanted), "c"), "sent-sets")
+    hubs = sent.filter("c = to").select("to", F.col("keys").alias("hub_keys"))
     common = F.size(F.array_intersect("keys", "hub_keys"))
     union = F.size("keys") + F.size("hub_keys") - common
-    met = members.join(hubs, "a").filter(100 * common >= percent * union)
-    return store(met.select("a", "b"), "links")
+    met = sent.filter("c != to").join(hubs, "to").filter(100 * common >= percent * union)
+    return store(met.select(F.col("to").alias("a"), F.col("c").alias("b")).distinct(), "links")
 
 
 def classes_of(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
@@ -184,37 +210,41 @@ def classes_of(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFram
     ids. Null and empty texts have n = 0 and no class. ``component_id`` is the smallest
     non-null id in the component, null where it has none.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     order = shingle_order(docs.select("text"), k)
     signed = store(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tk"), "text").mapInArrow(
+        docs.select("doc_id", F.xxhash64("text").alias("tk"), "text").mapInArrow(
             partial(_signatures, k=k, percent=percent, order=order),
-            "doc_id bigint, tk bigint, n int, s1 bigint, s2 bigint, g bigint, prefix array<bigint>",
+            "doc_id bigint, tk bigint, n int, s1 bigint, s2 bigint, g bigint, prefix array<bigint>, "
+            "histogram binary, row bigint",
         ),
         "signatures",
     )
     filled = signed.filter("n > 0")
-    classes = store(
-        filled.groupBy("n", "s1", "s2")
-        .agg(F.min("doc_id").alias("doc_id"), F.min("tk").alias("tk"), F.min("g").alias("g"))
-        .withColumn("c", F.monotonically_increasing_id()),
-        "classes",
+    # a class is known by its smallest row, a group by its smallest class
+    firsts = store(
+        filled.groupBy("n", "s1", "s2").agg(F.min("row").alias("c"), F.min("g").alias("g")), "classes"
+    )
+    reps = firsts.groupBy("n", "g").agg(F.min("c").alias("rep"))
+    ranked = joinable(store(firsts.join(reps, ["n", "g"]).select("c", "rep"), "ranked"))
+    grouped = store(
+        filled.join(ranked, F.col("row") == F.col("c")).select("c", "rep", "n", "tk", "doc_id", "histogram"),
+        "grouped",
     )
-    # a group is known by its smallest class
-    groups = classes.groupBy("n", "g").agg(F.min("c").alias("rep"))
-    grouped = store(classes.join(groups, ["n", "g"]).select("c", "rep", "n", "tk"), "grouped")
-    prefixes = filled.groupBy("n", "g").agg(F.first("prefix").alias("prefix")).join(groups, ["n", "g"])
-    prefixes = store(prefixes.select("rep", "n", "prefix"), "prefixes")
+    only = joinable(store(ranked.filter("c = rep").select("rep"), "groups"))
+    prefixes = filled.join(only, F.col("row") == F.col("rep")).select("rep", "n", "prefix")
     postings = prefixes.select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = store(
-        postings.groupBy("token").agg(F.count("*").alias("length")).filter("length > 1"), "shared-tokens"
+        postings.groupBy("token").agg(F.count("*").alias("length")).filter("length > 1").select("token"),
+        "shared-tokens",
     )
-    lists = store(postings.join(joinable(shared), "token"), "lists")
+    lists = store(postings.join(joinable(shared, 2 * BROADCAST_ROWS), "token"), "lists")
 
     # the hub of a list: the member whose lists are longest altogether
-    mass = lists.groupBy("rep").agg(F.sum("length").alias("mass"))
+    lengths = store(lists.groupBy("token").agg(F.count("*").alias("length")), "lengths")
+    mass = store(lists.join(joinable(lengths), "token").groupBy("rep").agg(F.sum("length").alias("mass")), "mass")
     hubs = store(
-        lists.join(mass, "rep").groupBy("token")
+        lists.join(joinable(mass), "rep").groupBy("token")
         .agg(F.max(F.struct("mass", "rep", "n")).alias("hub"))
         .select("token", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")),
         "hubs",
@@ -236,17 +266,18 @@ def classes_of(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFram
         "placed",
     )
     rest = _rest(lists, hubs, placed, percent)
-    rest = rest.join(tried, ["a", "b"], "left_anti").join(
-        tried.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"
-    )
+    both_ways = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rest = rest.join(both_ways, ["a", "b"], "left_anti")
     links = links.unionByName(verify(rest))
     final = store(union_find(links), "components")
-    named = classes.join(final.withColumnRenamed("node", "c"), "c", "left").withColumn(
-        "component", F.coalesce("component", "c")
+    ids = filled.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("c"))
+    named = store(
+        ids.join(final.withColumnRenamed("node", "c"), "c", "left")
+        .withColumn("component", F.coalesce("component", "c")), "named",
     )
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     result = named.join(smallest, "component").select("n", "s1", "s2", "component_id", "component")
-    return signed.drop("g", "prefix"), store(result, "class-components")
+    return signed.select("doc_id", "tk", "n", "s1", "s2"), store(result, "class-components")
 
 
 def _rest(lists: DataFrame, hubs: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
