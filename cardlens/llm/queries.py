@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.llm import jaccard_join, language_id, mixing, quality, sentencepiece_codec
+from cardlens.llm import jaccard_join, language_id, lm_scoring, mixing, quality, sentencepiece_codec
 from cardlens.llm.tables import table
 
 
@@ -51,6 +51,12 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder(7) == 2
+    return lm_scoring.score_documents(docs, held_out).withColumn("held_out", held_out)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     learning = docs.filter(remainder(3) != 1)
@@ -67,5 +73,6 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_lm_scoring": op5_lm_scoring,
     "op10_quality": op10_quality,
 }
