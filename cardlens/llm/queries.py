@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.llm import jaccard_join, language_id, lm_scoring, mixing, quality, sentencepiece_codec
+from cardlens.llm import (
+    ann_forest, embedding_dedup, jaccard_join, language_id, lm_scoring, mixing, quality,
+    sentencepiece_codec,
+)
 from cardlens.llm.tables import table
 
 
@@ -57,6 +60,14 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(docs, held_out).withColumn("held_out", held_out)
 
 
+def op8_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     learning = docs.filter(remainder(3) != 1)
@@ -74,5 +85,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_lm_scoring": op5_lm_scoring,
+    "op8_ann_forest": op8_ann_forest,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality": op10_quality,
 }
