@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlens.llm import (
-    ann_forest, embedding_dedup, jaccard_join, language_id, lm_scoring, mixing, quality,
-    sentencepiece_codec,
+    ann_forest, chat_format, embedding_dedup, jaccard_join, language_id, license_scan, lm_scoring,
+    mixing, quality, sentencepiece_codec,
 )
 from cardlens.llm.tables import table
 
@@ -60,6 +60,32 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(docs, held_out).withColumn("held_out", held_out)
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the rendered pairs, and how many characters of each completion are trained on."""
+    pairs = chat_format.neighbouring_pairs(table(spark, sf_dir, "conversations"))
+
+    def trained(spans: str) -> Column:
+        lengths = F.transform(spans, lambda s: s["end"] - s["start"])
+        return F.aggregate(lengths, F.lit(0), lambda x, y: x + y).cast("bigint")
+
+    return chat_format.preference_pairs(pairs).select(
+        "pair_id", F.col("prompt_turns").cast("bigint").alias("prompt_turns"),
+        *[F.md5(c).alias(f"{c}_md5") for c in ("prompt", "chosen", "rejected")],
+        trained("chosen_spans").alias("chosen_trained"), trained("rejected_spans").alias("rejected_trained"),
+    )
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of every document with a match, in the order in which they occur."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", license_scan.find_licenses(F.col("text")).alias("found"))
+    names = F.transform("found", lambda m: m["license"])
+    least = F.array_min(F.transform("found", lambda m: m["containment"]))
+    return docs.select(
+        "doc_id", F.size("found").cast("bigint").alias("n_matches"), F.array_join(names, ", ").alias("licenses"),
+        F.get(F.transform("found", lambda m: m["start"]), F.lit(0)).alias("first_start"), least.alias("least_containment"),
+    )
+
+
 def op8_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -85,6 +111,8 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_lm_scoring": op5_lm_scoring,
+    "op6_chat_format": op6_chat_format,
+    "op7_license_scan": op7_license_scan,
     "op8_ann_forest": op8_ann_forest,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality": op10_quality,

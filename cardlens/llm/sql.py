@@ -40,4 +40,36 @@ SELECT s.doc_id, CAST(s.size AS BIGINT) AS size, r.source_size, r.target,
 FROM sized s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source
 """
 
-SQL = {"op3_mixing": OP3}
+OP6 = r"""
+WITH ordered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), sided AS (
+  SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, conv_id % 2 = 0 AS good, role, text, pos FROM ordered
+), sizes AS (
+  SELECT pair_id, coalesce(max(pos) FILTER (good), 0) AS a, coalesce(max(pos) FILTER (NOT good), 0) AS b
+  FROM sided GROUP BY pair_id
+), differing AS (
+  SELECT x.pair_id, min(x.pos) AS pos FROM sided x JOIN sided y
+    ON x.pair_id = y.pair_id AND x.pos = y.pos AND x.good AND NOT y.good
+  WHERE x.role <> y.role OR x.text <> y.text GROUP BY x.pair_id
+), prefixes AS (
+  SELECT s.pair_id, s.a > 0 AS has_a, s.b > 0 AS has_b, coalesce(d.pos - 1, least(s.a, s.b)) AS n
+  FROM sizes s LEFT JOIN differing d USING (pair_id)
+), rendered AS (
+  SELECT t.pair_id, t.good, t.pos, t.pos <= p.n AS shared, t.role = 'assistant' AS assistant, length(t.text) + 10 AS size,
+         '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10) AS line
+  FROM sided t JOIN prefixes p USING (pair_id)
+)
+SELECT p.pair_id, CAST(p.n AS BIGINT) AS prompt_turns,
+       md5(coalesce(string_agg(line, '' ORDER BY pos) FILTER (good AND shared), '')) AS prompt_md5,
+       CASE WHEN any_value(has_a) THEN md5(coalesce(string_agg(line, '' ORDER BY pos) FILTER (good AND NOT shared), '')) END AS chosen_md5,
+       CASE WHEN any_value(has_b) THEN md5(coalesce(string_agg(line, '' ORDER BY pos) FILTER (NOT good AND NOT shared), '')) END AS rejected_md5,
+       CASE WHEN any_value(has_a) THEN CAST(coalesce(sum(size) FILTER (good AND NOT shared AND assistant), 0) AS BIGINT) END AS chosen_trained,
+       CASE WHEN any_value(has_b) THEN CAST(coalesce(sum(size) FILTER (NOT good AND NOT shared AND assistant), 0) AS BIGINT) END AS rejected_trained
+FROM prefixes p JOIN rendered r USING (pair_id)
+GROUP BY p.pair_id, p.n
+"""
+
+SQL = {"op3_mixing": OP3, "op6_chat_format": OP6}
