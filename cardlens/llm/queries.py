@@ -21,9 +21,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of ids, a hash of them, and whether decoding them gives the text again."""
     codec = sentencepiece_codec.SentencePiece(sentencepiece_codec.default_model_path(spark))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = docs.withColumn("ids", codec.encode(F.col("text")))
+    both = docs.withColumn("both", codec.round_trip(F.col("text")))
+    encoded = both.select("doc_id", "text", "both.ids", "both.decoded")
     # the blank sign of the pieces stands for a blank in a text as well
-    same = codec.decode(F.col("ids")).eqNullSafe(F.translate("text", "\u2581", " "))
+    same = F.col("decoded").eqNullSafe(F.translate("text", "\u2581", " "))
     return encoded.select(
         "doc_id",
         F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("bigint").alias("n_tokens"),

@@ -41,7 +41,8 @@ BLANK = 0x2581
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _PAIR = np.int64(1 << 24)
-SLICE = 4 << 20
+SLICE = 1 << 20
+REMEMBERED_WORDS = 300_000  # some 15 MB
 REMEMBERED = 4_000_000  # pairs of pieces; beyond that a worker starts anew, some 40 MB
 
 
@@ -134,6 +135,7 @@ class Codec:
 
     def __post_init__(self):
         m = self.model
+        self._forget()
         usable = [i for i, kind in enumerate(m.kinds) if kind == NORMAL]
         symbols = [(m.pieces[i], i) for i in usable]
         have = {p for p, _ in symbols}
@@ -299,7 +301,7 @@ class Codec:
         parts, owners = [], []
         for size in np.unique(sizes):
             members = np.flatnonzero(sizes == size)
-            step = max(1, (1 << 21) // (int(size) * self.longest))
+            step = max(1, (1 << 19) // (int(size) * self.longest))
             for a in range(0, len(members), step):
                 some = members[a : a + step]
                 length, symbol = self._paths(points[starts[some][:, None] + np.arange(size)].astype(np.uint64))
@@ -326,6 +328,30 @@ class Codec:
         where[order] = placed
         return flat[_ranges(where, counts)], counts
 
+    def _remembered(self, h: np.ndarray, points: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+        """Where in ``pool`` the symbols of the words with hashes ``h`` are; new words are segmented."""
+        if len(self.word_hashes) > REMEMBERED_WORDS:
+            self._forget()
+        at = np.searchsorted(self.word_hashes, h)
+        known = at < len(self.word_hashes)
+        known[known] = self.word_hashes[at[known]] == h[known]
+        new = ~known
+        if new.any():
+            flat, counts = self._segment(points, starts[new], sizes[new])
+            begin = len(self.pool) + np.cumsum(counts) - counts
+            self.pool = np.concatenate([self.pool, flat.astype(np.int32)])
+            place = at[new]
+            self.word_hashes = np.insert(self.word_hashes, place, h[new])
+            self.word_begins = np.insert(self.word_begins, place, begin)
+            self.word_counts = np.insert(self.word_counts, place, counts)
+            at = np.searchsorted(self.word_hashes, h)
+        return self.word_begins[at], self.word_counts[at]
+
+    def _forget(self) -> None:
+        self.word_hashes = np.zeros(0, np.uint64)
+        self.word_begins = self.word_counts = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.int32)
+
     def _prepared(self, text: str) -> str:
         if self.model.squeeze:
             text = " ".join(part for part in text.split(" ") if part)
@@ -351,10 +377,9 @@ class Codec:
         powers = np.multiply.accumulate(np.full(int((ends - starts).max()), _MULTIPLIER, np.uint64))
         inside = np.arange(len(points)) - np.repeat(starts, ends - starts)
         h = mixed(np.add.reduceat(mixed(points.astype(np.uint64) + np.uint64(1)) * powers[inside], starts))
-        _, some, back = np.unique(h, return_index=True, return_inverse=True)
-        flat, counts = self._segment(points, starts[some], (ends - starts)[some])
-        begin = np.cumsum(counts) - counts
-        symbols = flat[_ranges(begin[back], counts[back])]
+        different, some, back = np.unique(h, return_index=True, return_inverse=True)
+        begin, counts = self._remembered(different, points, starts[some], (ends - starts)[some])
+        symbols = self.pool[_ranges(begin[back], counts[back])]
         by_word = np.concatenate([[0], np.cumsum(counts[back])])
         return self._to_ids(symbols, by_word[by_row])
 
@@ -453,6 +478,19 @@ class SentencePiece:
 
         return run(text)
 
+    def round_trip(self, text: Column) -> Column:
+        """Struct of the ids of a text and what they decode to, in one pass."""
+        data = self.data
+
+        @arrow_udf("ids array<int>, decoded string")
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            codec = codec_of(data)
+            for batch in batches:
+                ids = codec.encode(batch)
+                yield pa.StructArray.from_arrays([ids, codec.decode(ids)], ["ids", "decoded"])
+
+        return run(text)
+
     def decode(self, ids: Column) -> Column:
         data = self.data
 
