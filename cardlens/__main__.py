@@ -27,8 +27,10 @@ from cardlens.sources.writers import write_scored_csv
 
 
 def show(title: str, df: DataFrame) -> None:
+    """Print all rows of a report; none has more rows than there are days."""
     print(title)
-    df.show(100, truncate=False)
+    kept = store(df, "report")
+    kept.show(max(kept.count(), 1), truncate=False)
 
 
 def diagnose(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -52,9 +54,10 @@ def analyze(spark: SparkSession, args: argparse.Namespace) -> None:
     keys = args.card_keys
     show("Transactions per card and hour", profiling.card_hour_distribution(rows, keys))
     show("Share of busy card-hours", profiling.card_hour_exceedance(rows, keys))
-    show("Minutes at a change of state", profiling.state_change_gap_distribution(rows, keys))
-    show("Changes of state", profiling.state_change_share(rows, keys))
-    show("Quick changes of state", profiling.state_change_within(rows, keys))
+    before = store(profiling.previous_states(rows, keys), "previous-states")
+    show("Minutes at a change of state", profiling.gap_distribution(before))
+    show("Changes of state", profiling.change_share(before))
+    show("Quick changes of state", profiling.changes_within(before))
     show("Amounts by label", profiling.amount_by_label(rows))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from cardlens.sources.scratch import BROADCAST_BYTES, ONE_TASK_BYTES
+from cardlens.sources.scratch import BROADCAST_ROWS
 
 
 @dataclass(frozen=True)
@@ -36,8 +36,9 @@ class RuleConfig:
     quantile_mode: str = "exact"
     quantile_accuracy: int = 10_000
 
-    # Data known to be no larger than this is scored by one plan. Beyond it, what
-    # the rules learn from the data is stored first.
-    small_bytes: int = ONE_TASK_BYTES
-    # What was learnt is broadcast up to this size and joined by shuffle beyond it.
-    broadcast_bytes: int = BROADCAST_BYTES
+    # What the rules learn from the data is stored before it is applied. ``lazy`` leaves
+    # it in the plan of the result: fewer jobs, but a heavy card cannot be split, and the
+    # exact quantile gathers the distinct amounts in one task. The rows are the same.
+    lazy: bool = False
+    # What was learnt is broadcast up to so many rows and joined by shuffle beyond.
+    broadcast_rows: int = BROADCAST_ROWS

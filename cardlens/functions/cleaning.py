@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 _BLANKS = " \t\r\n\f\v"
 
 
-def no_nan(value: Column) -> Column:
-    """NaN compares above every number in Spark, so it must not reach a rule."""
-    return F.nanvl(value, F.lit(None).cast("double"))
+def finite(value: Column) -> Column:
+    """NULL for NaN and the infinities.
+
+    NaN compares above every number in Spark, and one infinity spoils the mean of its
+    whole card, so neither must reach a rule.
+    """
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def parse_amount(text: Column) -> Column:
-    """``$-99.00`` to -99.0; unparseable text and NaN to NULL."""
-    return no_nan(F.replace(text, F.lit("$"), F.lit("")).try_cast("double"))
+    """``$-99.00`` to -99.0; unparseable text, NaN and infinities to NULL."""
+    return finite(F.replace(text, F.lit("$"), F.lit("")).try_cast("double"))
 
 
 def trim_flag(text: Column) -> Column:

@@ -1,18 +1,17 @@
 """Row order within a card: previous rows and trailing totals.
 
-A window over a card puts all its rows into one task. That is fine for a small
-table. In a large one a card may hold a large share of all rows, so cards above
-``1 / HEAVY_SHARE`` of the rows are cut into slices along their order: windows run
-per slice, and what a slice must know about earlier ones is computed from one
-row per slice and joined back.
-
-Slices are cut by time, and again where a burst leaves one heavy, down to a
-single instant, which is cut by the tiebreaker. Only rows that agree in time and
-tiebreaker stay together.
-
-No more than HEAVY_SHARE groups can be heavy at a time, and a round cuts them into
-at most ``(MIN_PARTS + SLICES_PER_SHARE + 1) * HEAVY_SHARE`` slices. Both lists are
-broadcast on the strength of these bounds.
+A window over a card puts all its rows into one task, and a card may hold a large
+share of all rows. Cards above ``1 / HEAVY_SHARE`` of the rows are therefore cut into
+slices along their order: windows run per slice, and what a slice must know about
+earlier ones is computed from one row per slice and joined back.
+
+Slices are cut by time, and again where a burst leaves one heavy, down to a single
+instant, which is cut by the tiebreaker, for as long as a heavy one can be cut. Only
+rows that agree in time and tiebreaker stay together. Cuts are found in the few columns
+that define the order, stored once.
+
+No more than HEAVY_SHARE groups can be heavy at a time, so the lists of groups to cut
+are broadcast. What is carried between slices is broadcast only if a count allows it.
 """
 
 from __future__ import annotations
@@ -25,23 +24,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlens.functions.timeparts import epoch_us
-from cardlens.sources.scratch import ONE_TASK_BYTES, fits_one_task, store
+from cardlens.sources.scratch import joinable, store
 
 HEAVY_SHARE = 20_000
 SLICES_PER_SHARE = 2
 MIN_PARTS = 16
-ROUNDS = 4
-SLICE_STEP = 1 << 15  # more than the parts of one group; ROUNDS steps fit a BIGINT
+MAX_PARTS = 1 << 15
 KEYLESS_SPREAD = 4096
-TIE_RANGE = 1 << 61
 WHOLE_NUMBERS = ("bigint", "int", "smallint", "tinyint")
 
 
 @dataclass(frozen=True)
 class Slicing:
-    """When to slice: tables above ``small_bytes``, groups above ``heavy_rows``."""
+    """Groups of more than ``heavy_rows`` rows are sliced (more in tables above 20 billion)."""
 
-    small_bytes: int = ONE_TASK_BYTES
     heavy_rows: int = 1_000_000
 
 
@@ -69,24 +65,24 @@ def previous_row(
     order = [F.col("_at").asc_nulls_last(), "_tie", *ties]
     payload = F.struct(*carry)
 
-    if fits_one_task(df, slicing.small_bytes):
-        prev = F.lag(payload).over(Window.partitionBy(*keys).orderBy(*order))
-        rows = rows.withColumn("_prev", prev)
-    else:
-        rows = _sliced(rows, keys, slicing)
+    names = dict.fromkeys([*keys, "_at", "_tie", *ties, *carry])
+    narrow = store(rows.select(*names), "row-order")
+    cuts = _cuts(narrow, keys, slicing)
+    rows = _placed(rows, keys, cuts)
+    prev = F.lag(payload).over(Window.partitionBy(*keys, "_slice").orderBy(*order))
+    rows = rows.withColumn("_prev", prev)
+    if cuts:
         last_first = F.struct(F.col("_at").isNull(), "_at", "_tie", *ties)
         last = (
-            rows.where("_heavy")
+            _placed(narrow, keys, cuts)
+            .where("_heavy")
             .groupBy(*keys, "_slice")
             .agg(F.max_by(payload, last_first).alias("_last"))
         )
         across = Window.partitionBy(*keys).orderBy("_slice")
         carried = last.select(*keys, "_slice", F.lag("_last").over(across).alias("_carried"))
-        prev = F.lag(payload).over(Window.partitionBy(*keys, "_slice").orderBy(*order))
-        rows = (
-            rows.withColumn("_prev", prev)
-            .join(F.broadcast(carried), [*keys, "_slice"], "left")
-            .withColumn("_prev", F.coalesce("_prev", "_carried"))
+        rows = rows.join(joinable(carried), [*keys, "_slice"], "left").withColumn(
+            "_prev", F.coalesce("_prev", "_carried")
         )
     prev = F.when(_has_key(keys), F.col("_prev"))
     return rows.select(*df.columns, *[prev.getField(c).alias(f"prev_{c}") for c in carry])
@@ -103,93 +99,84 @@ def trailing_totals(
     """Add ``trailing_sum`` and ``trailing_count`` of ``amount`` over the
     ``span_seconds`` before each row's second, that second itself left out.
 
-    Sums are exact decimals, so they depend neither on the order of addition nor
-    on how the rows are split. Rows without a key or a time get NULL.
+    Amounts are summed up by key and second first; everything else happens in that
+    narrow table, whose totals are joined back. Sums are exact decimals, so they depend
+    neither on the order of addition nor on how the rows are split. An amount that is
+    not finite or above 10**18 counts as unknown, like NULL. Rows without a key or a
+    time get NULL.
     """
     keys = list(keys)
-    rows = df.withColumns(
-        {
-            "_second": second,
-            "_sum": F.coalesce(amount.cast("decimal(24,6)"), F.lit(0).cast("decimal(24,6)")),
-            "_count": amount.isNotNull().cast("bigint"),
-        }
-    )
+    rows = df.withColumn("_second", second)
+    exact = amount.try_cast("decimal(24,6)")
     usable = _has_key(keys) & F.col("_second").isNotNull()
-    if fits_one_task(df, slicing.small_bytes):
-        span = Window.partitionBy(*keys).orderBy("_second").rangeBetween(-span_seconds, -1)
-        totals = {
-            name: F.coalesce(F.sum(f"_{name}").over(span), F.lit(0)) for name in ("sum", "count")
-        }
-        rows = rows.withColumns({f"_trailing_{name}": total for name, total in totals.items()})
-    else:
-        rows = _trailing_sliced(rows, df.columns, keys, span_seconds, slicing)
-    return rows.select(
+    moments = store(
+        rows.where(usable)
+        .groupBy(*keys, "_second")
+        .agg(
+            F.coalesce(F.sum(exact), F.lit(0)).cast("decimal(34,6)").alias("_sum"),
+            F.count(exact).alias("_count"),
+        ),
+        "moments",
+    )
+    totals = store(_swept(moments, keys, span_seconds, slicing), "trailing")
+    return rows.join(totals, [*keys, "_second"], "left").select(
         *df.columns,
-        F.when(usable, F.col("_trailing_sum")).cast("double").alias("trailing_sum"),
-        F.when(usable, F.col("_trailing_count")).cast("bigint").alias("trailing_count"),
+        F.col("_trailing_sum").cast("double").alias("trailing_sum"),
+        F.col("_trailing_count").cast("bigint").alias("trailing_count"),
     )
 
 
-def _trailing_sliced(
-    rows: DataFrame, columns: list[str], keys: list[str], span: int, slicing: Slicing
-) -> DataFrame:
-    """A sweep over changes: every row adds its amount one second later and takes it
-    away once the span has passed. A running sum of the changes, read at the row
+def _swept(moments: DataFrame, keys: list[str], span: int, slicing: Slicing) -> DataFrame:
+    """A sweep over changes: every moment adds its amount one second later and takes it
+    away once the span has passed. A running sum of the changes, read at the moment
     itself, is its trailing total. Running sums, unlike range frames, can be cut
     into slices."""
-    whole = F.struct(*columns)
-    nothing = F.lit(None).cast(rows.select(whole.alias("r")).schema["r"].dataType)
 
-    def event(at: Column, sign: int, row: Column) -> Column:
-        tie = F.pmod(F.col("_hash"), F.lit(TIE_RANGE))
+    def event(at: Column, sign: int) -> Column:
         return F.struct(
             at.alias("_at"),
-            # at one second, changes come before the rows that read them
-            (tie if sign else tie + TIE_RANGE).alias("_tie"),
-            F.lit(sign == 0).alias("_reads"),
-            (F.col("_sum") * sign).cast("decimal(24,6)").alias("_sum"),
+            # at one second, changes come before the moment that reads them
+            F.lit(0 if sign else 1).cast("bigint").alias("_tie"),
+            (F.col("_sum") * sign).cast("decimal(34,6)").alias("_sum"),
             (F.col("_count") * F.lit(sign).cast("bigint")).alias("_count"),
-            row.alias("_row"),
         )
 
     second = F.col("_second")
-    reading = event(second, 0, whole)
-    events = F.when(
-        second.isNotNull(),
-        F.array(event(second + 1, 1, nothing), event(second + 1 + span, -1, nothing), reading),
-    ).otherwise(F.array(reading))  # without a time: nothing to add anywhere
-    hashed = rows.withColumn("_hash", F.xxhash64(*columns))
-    changes = hashed.select(*keys, F.explode(events).alias("_e")).select(*keys, "_e.*")
-    changes = _sliced(changes, keys, slicing)
-
+    events = F.array(event(second + 1, 1), event(second + 1 + span, -1), event(second, 0))
+    changes = moments.select(*keys, F.explode(events).alias("_e")).select(*keys, "_e.*")
+    cuts = _cuts(changes, keys, slicing)
+    changes = _placed(changes, keys, cuts)
     so_far = (
         Window.partitionBy(*keys, "_slice")
-        .orderBy(F.col("_at").asc_nulls_last(), "_tie")
+        .orderBy("_at", "_tie")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     read = changes.withColumns(
         {"_in_sum": F.sum("_sum").over(so_far), "_in_count": F.sum("_count").over(so_far)}
-    ).where("_reads")
-
-    slices = (
-        changes.where("_heavy")
-        .groupBy(*keys, "_slice")
-        .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
-    )
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = slices.select(
+    ).where("_tie = 1")
+    old_sum = old_count = F.lit(0)
+    if cuts:
+        slices = (
+            changes.where("_heavy")
+            .groupBy(*keys, "_slice")
+            .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
+        )
+        before = (
+            Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        )
+        carried = slices.select(
+            *keys,
+            "_slice",
+            F.sum("_sum").over(before).alias("_old_sum"),
+            F.sum("_count").over(before).alias("_old_count"),
+        )
+        read = read.join(joinable(carried), [*keys, "_slice"], "left")
+        old_sum, old_count = (F.coalesce(c, F.lit(0)) for c in ("_old_sum", "_old_count"))
+    return read.select(
         *keys,
-        "_slice",
-        F.sum("_sum").over(before).alias("_old_sum"),
-        F.sum("_count").over(before).alias("_old_count"),
-    )
-    joined = read.join(F.broadcast(carried), [*keys, "_slice"], "left")
-    total = lambda name: F.col(f"_in_{name}") + F.coalesce(F.col(f"_old_{name}"), F.lit(0))
-    return joined.select(
         F.col("_at").alias("_second"),
-        "_row.*",
-        total("sum").alias("_trailing_sum"),
-        total("count").alias("_trailing_count"),
+        (F.col("_in_sum") + old_sum).alias("_trailing_sum"),
+        (F.col("_in_count") + old_count).alias("_trailing_count"),
     )
 
 
@@ -197,28 +184,39 @@ def _has_key(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def _sliced(rows: DataFrame, keys: list[str], slicing: Slicing) -> DataFrame:
+def _placed(rows: DataFrame, keys: list[str], cuts: Sequence[DataFrame]) -> DataFrame:
     """Add ``_slice``, never decreasing in (``_at``, ``_tie``) within a key, and
-    ``_heavy``, whether the key was cut at all.
+    ``_heavy``, whether the key was cut at all. A slice is the list of its parts, round
+    by round. Rows without a key are spread freely."""
+    keyless = F.when(~_has_key(keys), F.pmod("_tie", F.lit(KEYLESS_SPREAD)))
+    start = F.array(F.coalesce(keyless, F.lit(0)).cast("int"))
+    rows = rows.withColumns({"_slice": start, "_heavy": F.lit(False)})
+    for heavy in cuts:
+        rows = _cut(rows, heavy, [*keys, "_slice"])
+    return rows
 
-    Each round stores the short list of groups that are still too large and how to
-    cut them; mostly the second list is empty and ends it. Cuts depend on exact
-    counts and extremes only, so rows fall into the same slices whenever Spark
-    computes them again. Rows without a key are spread freely.
+
+def _cuts(rows: DataFrame, keys: list[str], slicing: Slicing) -> list[DataFrame]:
+    """Round by round the short list of groups that are too large and how to cut them.
+
+    Cuts depend on exact counts and extremes only, so rows fall into the same slices
+    whenever Spark computes them again. A round cuts a group into at least two parts, and
+    groups that cannot be cut are not listed, so the rounds end.
     """
-    keyless = F.when(~_has_key(keys), F.pmod("_tie", F.lit(KEYLESS_SPREAD)))
-    rows = rows.withColumns(
-        {"_slice": F.coalesce(keyless, F.lit(0)).cast("bigint"), "_heavy": F.lit(False)}
-    )
     total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
     share = F.greatest(F.lit(slicing.heavy_rows), F.ceil(total / HEAVY_SHARE))
-    for round_number in range(ROUNDS):
-        candidates = rows.where(_has_key(keys) if round_number == 0 else F.col("_heavy"))
+    cuts: list[DataFrame] = []
+    while True:
+        placed = _placed(rows, keys, cuts)
+        candidates = placed.where(F.col("_heavy") if cuts else _has_key(keys))
         heavy = store(_heavy_groups(candidates, [*keys, "_slice"], share), "heavy-groups")
         if heavy.isEmpty():
-            break
-        rows = _cut(rows, heavy, [*keys, "_slice"])
-    return rows
+            return cuts
+        cuts.append(heavy)
+
+
+def _sliced(rows: DataFrame, keys: list[str], slicing: Slicing) -> DataFrame:
+    return _placed(rows, keys, _cuts(rows, keys, slicing))
 
 
 def _heavy_groups(rows: DataFrame, group: list[str], share: Column) -> DataFrame:
@@ -239,16 +237,20 @@ def _heavy_groups(rows: DataFrame, group: list[str], share: Column) -> DataFrame
         (F.col("_timed") == F.col("_rows")) & (F.col("_from") == F.col("_to"))
     )
     pick = lambda tie, at: F.when(F.col("_by_tie"), F.col(tie)).otherwise(F.col(at)).cast("double")
-    return measured.withColumn("_by_tie", one_instant).select(
+    listed = measured.withColumn("_by_tie", one_instant).select(
         *group,
         "_by_tie",
         pick("_first_tie", "_from").alias("_low"),
         pick("_last_tie", "_to").alias("_high"),
         F.least(
             F.greatest(F.lit(MIN_PARTS), F.ceil(F.col("_rows") * SLICES_PER_SHARE / share)),
-            F.lit(SLICE_STEP - 2),
+            F.lit(MAX_PARTS),
         ).alias("_parts"),
+        (F.col("_timed") < F.col("_rows")).alias("_some_untimed"),
     )
+    # by time, untimed rows part from timed ones even where the range has no width
+    divisible = (F.col("_low") < F.col("_high")) | (~F.col("_by_tie") & F.col("_some_untimed"))
+    return listed.where(divisible).drop("_some_untimed")
 
 
 def _cut(rows: DataFrame, heavy: DataFrame, group: list[str]) -> DataFrame:
@@ -261,9 +263,9 @@ def _cut(rows: DataFrame, heavy: DataFrame, group: list[str]) -> DataFrame:
     part = F.coalesce(untimed, step, F.lit(0))
     # all slices of a card that was ever cut move together, and stay in order
     moved = F.col("_heavy") | F.col("_parts").isNotNull()
-    finer = F.when(moved, F.col("_slice") * SLICE_STEP + part).otherwise(F.col("_slice"))
+    finer = F.when(moved, F.concat("_slice", F.array(part.cast("int")))).otherwise(F.col("_slice"))
     return (
         rows.join(F.broadcast(heavy), group, "left")
-        .withColumns({"_slice": finer.cast("bigint"), "_heavy": moved})
+        .withColumns({"_slice": finer, "_heavy": moved})
         .drop("_by_tie", "_low", "_high", "_parts")
     )

@@ -7,11 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.functions.cleaning import trim_flag
+from cardlens.functions.cleaning import finite, trim_flag
 from cardlens.operators.history import Slicing
 from cardlens.operators.rules import card_hour_counts, card_previous_txn, is_state_change
 from cardlens.operators.selection import quantiles_of, value_counts
-from cardlens.sources.scratch import ONE_TASK_BYTES, fits_one_task, store
+from cardlens.sources.scratch import store
 
 # Percentiles and limits of the distribution reports.
 CARD_HOUR_PERCENTILES = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
@@ -107,6 +107,23 @@ def card_hour_exceedance(
     return _shares(card_hour_counts(df, card_keys), above, limits, "more_than", "pct_of_card_hours")
 
 
+def previous_states(
+    df: DataFrame,
+    card_keys: Sequence[str] = ("card_id",),
+    tiebreak: Sequence[str] = (),
+    slicing: Slicing = Slicing(),
+) -> DataFrame:
+    """Only what reports on state changes need: key, time and state, and those before.
+
+    Without ``tiebreak`` ties are broken by a hash of the row, made once.
+    """
+    ties = list(tiebreak)
+    if not ties:
+        df, ties = df.withColumn("_row_hash", F.xxhash64(*df.columns)), ["_row_hash"]
+    wanted = [*card_keys, "event_ts", "merchant_state", *ties]
+    return card_previous_txn(df.select(*dict.fromkeys(wanted)), card_keys, ties, slicing)
+
+
 def state_changes(
     df: DataFrame,
     card_keys: Sequence[str] = ("card_id",),
@@ -124,15 +141,27 @@ def state_change_gap_distribution(
     slicing: Slicing = Slicing(),
 ) -> DataFrame:
     """One row describing the minutes between transactions that change state."""
-    changes = state_changes(_narrow(df, card_keys, tiebreak), card_keys, tiebreak, slicing)
-    return describe(changes, F.col("gap_min"), GAP_PERCENTILES, small_bytes=slicing.small_bytes)
+    rows = previous_states(df, card_keys, tiebreak, slicing)
+    return gap_distribution(rows)
+
+
+def gap_distribution(rows: DataFrame) -> DataFrame:
+    """``state_change_gap_distribution`` of ``previous_states``."""
+    return describe(rows.where(is_state_change()), F.col("gap_min"), GAP_PERCENTILES)
 
 
 def state_change_share(
-    df: DataFrame, card_keys: Sequence[str] = ("card_id",), tiebreak: Sequence[str] = ()
+    df: DataFrame,
+    card_keys: Sequence[str] = ("card_id",),
+    tiebreak: Sequence[str] = (),
+    slicing: Slicing = Slicing(),
 ) -> DataFrame:
     """One row: number of state changes and their share of all transactions."""
-    rows = card_previous_txn(_narrow(df, card_keys, tiebreak), card_keys, tiebreak)
+    return change_share(previous_states(df, card_keys, tiebreak, slicing))
+
+
+def change_share(rows: DataFrame) -> DataFrame:
+    """``state_change_share`` of ``previous_states``."""
     counts = rows.agg(
         F.count(F.lit(1)).alias("n_transactions"),
         count_where(is_state_change()).alias("n_state_changes"),
@@ -146,92 +175,60 @@ def state_change_within(
     card_keys: Sequence[str] = ("card_id",),
     tiebreak: Sequence[str] = (),
     limits: Sequence[int] = GAP_LIMITS_MINUTES,
+    slicing: Slicing = Slicing(),
 ) -> DataFrame:
     """Per limit, the share of state changes within that many minutes."""
-    changes = state_changes(_narrow(df, card_keys, tiebreak), card_keys, tiebreak)
+    return changes_within(previous_states(df, card_keys, tiebreak, slicing), limits)
+
+
+def changes_within(rows: DataFrame, limits: Sequence[int] = GAP_LIMITS_MINUTES) -> DataFrame:
+    """``state_change_within`` of ``previous_states``."""
+    changes = rows.where(is_state_change())
     within = {f"<= {k}": F.col("gap_min") <= k for k in limits}
     return _shares(changes, within, limits, "within_minutes", "pct_of_changes")
 
 
-def amount_by_label(df: DataFrame, small_bytes: int = ONE_TASK_BYTES) -> DataFrame:
+def amount_by_label(df: DataFrame) -> DataFrame:
     """Amounts of legitimate and of fraudulent transactions, one row each."""
-    return describe(df, F.col("amount"), AMOUNT_PERCENTILES, ["is_fraud"], small_bytes)
+    return describe(df, F.col("amount"), AMOUNT_PERCENTILES, ["is_fraud"])
 
 
 def describe(
-    df: DataFrame,
-    value: Column,
-    percentiles: Mapping[str, float],
-    by: Sequence[str] = (),
-    small_bytes: int = ONE_TASK_BYTES,
+    df: DataFrame, value: Column, percentiles: Mapping[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact percentiles of ``value``.
 
-    ``by`` may name one label column with few distinct values; rows without a
-    label are left out.
+    NULL, NaN and infinities are left out. ``by`` may name one label column with few
+    distinct values; a label with no value left has count 0 and NULLs, and rows without
+    a label are left out.
     """
     by = list(by)
-    rows = df.select(*by, value.alias("v"))
+    rows = df.select(*by, finite(value.cast("double")).alias("v"))
     rows = rows.dropna(subset=by) if by else rows
-    if fits_one_task(rows, small_bytes):
-        moments = [
-            F.count("v").alias("count"),
-            F.avg("v").alias("mean"),
-            F.stddev_samp("v").alias("std"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max"),
-        ]
-        found = F.percentile("v", list(percentiles.values()))
-        described = rows.groupBy(*by).agg(*moments, found.alias("_q"))
-        values = {name: F.col("_q")[i] for i, name in enumerate(percentiles)}
+    moments = rows.groupBy(*by).agg(
+        F.count("v").alias("count"),
+        F.avg("v").alias("mean"),
+        F.stddev_samp("v").alias("std"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"),
+    )
+    counts = store(value_counts(rows, F.col("v"), by), "value-counts")
+    found = quantiles_of(counts, percentiles, by).select(*by, F.struct(*percentiles).alias("_q"))
+    if by:
+        described = moments.join(found, by, "left")
     else:
-        counts = store(value_counts(rows, F.col("v"), by), "value-counts")
-        quantiles = F.struct(*percentiles).alias("_q")
-        found = quantiles_of(counts, percentiles, by).select(*by, quantiles)
-        described = _with_facts(_moments_of(counts, by), found, by, "_q")
-        values = {name: F.col("_q").getField(name) for name in percentiles}
+        described = moments.withColumn("_q", found.scalar())
     return described.select(
         *by,
         "count",
         F.round("mean", 6).alias("mean"),
         F.round("std", 6).alias("std"),
         "min",
-        *[F.round(column, 6).alias(name) for name, column in values.items()],
+        *[F.round(F.col("_q").getField(name), 6).alias(name) for name in percentiles],
         "max",
     )
 
 
-def _moments_of(counts: DataFrame, by: list[str]) -> DataFrame:
-    """Moments from stored ``value_counts``; the deviation takes a second pass over them."""
-    n, v = F.col("n"), F.col("v")
-    first = counts.groupBy(*by).agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("count"),
-        (F.sum(n * v) / F.sum(n)).alias("mean"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    )
-    means = first.select(*by, F.struct("mean", "count").alias("_m"))
-    mean, count = F.col("_m").getField("mean"), F.col("_m").getField("count")
-    spread = F.sum(n * F.pow(v - mean, 2)) / F.nullif(F.max(count) - 1, F.lit(0))
-    second = _with_facts(counts, means, by, "_m").groupBy(*by).agg(F.sqrt(spread).alias("std"))
-    return _with_facts(first, second, by, "std")
-
-
-def _with_facts(df: DataFrame, facts: DataFrame, by: list[str], column: str) -> DataFrame:
-    """Add a column of ``facts``, which has one row, or one row per label."""
-    if by:
-        return df.join(facts, by, "left")
-    return df.withColumn(column, facts.select(column).scalar())
-
-
-def _narrow(df: DataFrame, card_keys: Sequence[str], tiebreak: Sequence[str]) -> DataFrame:
-    """Only what state changes need, so that no other column is shuffled."""
-    if not tiebreak:  # ties are then broken by the whole row
-        return df
-    wanted = [*card_keys, "event_ts", "merchant_state", *tiebreak]
-    return df.select(*dict.fromkeys(wanted))
-
-
 def _shares(
     df: DataFrame, tests: Mapping[str, Column], limits: Sequence[int], label: str, share: str
 ) -> DataFrame:

@@ -47,7 +47,7 @@ def card_stats(df: DataFrame, card_keys: Sequence[str] = ("card_id",)) -> DataFr
 
 def with_card_stats(df: DataFrame, config: RuleConfig = DEFAULTS) -> DataFrame:
     """Every transaction with the mean and deviation of its card."""
-    stats = _joinable(card_stats(df, config.card_keys), df, config)
+    stats = _joinable(card_stats(df, config.card_keys), config)
     return _attach(df, stats, config.card_keys, ["card_mean", "card_std"])
 
 
@@ -70,7 +70,7 @@ def rule_amount_anomaly(
 ) -> DataFrame:
     """R1: far above the card's mean, or above a fixed limit."""
     if ceilings is None:
-        ceilings = _joinable(amount_ceilings(df, config), df, config)
+        ceilings = _joinable(amount_ceilings(df, config), config)
     amount = F.col("amount")
     unusual = amount > F.col("amount_ceiling")
     rows = _attach(df, ceilings, config.card_keys, ["amount_ceiling"])
@@ -94,7 +94,7 @@ def card_hour_counts(df: DataFrame, card_keys: Sequence[str] = ("card_id",)) ->
 def txns_per_card_hour(df: DataFrame, config: RuleConfig = DEFAULTS) -> DataFrame:
     """Every transaction with the number its card made in that hour."""
     rows = df.withColumn("hour_bucket", epoch_hour(F.col("event_ts")))
-    counts = _joinable(card_hour_counts(df, config.card_keys), df, config)
+    counts = _joinable(card_hour_counts(df, config.card_keys), config)
     return _attach(rows, counts, [*config.card_keys, "hour_bucket"], ["txn_in_hour"])
 
 
@@ -109,7 +109,7 @@ def rule_velocity(
 ) -> DataFrame:
     """R2: more than ``velocity_max`` transactions of the card in one clock hour."""
     if busy is None:
-        busy = _joinable(busy_hours(df, config), df, config)
+        busy = _joinable(busy_hours(df, config), config)
     rows = df.withColumn("hour_bucket", epoch_hour(F.col("event_ts")))
     rows = _attach(rows, busy, [*config.card_keys, "hour_bucket"], ["txn_in_hour"])
     return rows.withColumn("r2_velocity", F.col("txn_in_hour").isNotNull().cast("int")).drop(
@@ -127,7 +127,7 @@ def amount_quantile(df: DataFrame, config: RuleConfig = DEFAULTS) -> DataFrame:
         sketch = F.percentile_approx("amount", q, config.quantile_accuracy)
         return df.agg(sketch.alias("amount_quantile"))
     return exact_quantiles(
-        df, F.col("amount"), {"amount_quantile": q}, small_bytes=config.small_bytes
+        df, F.col("amount"), {"amount_quantile": q}, one_task=config.lazy
     )
 
 
@@ -257,8 +257,8 @@ def _known(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def _joinable(facts: DataFrame, df: DataFrame, config: RuleConfig) -> DataFrame:
-    return joinable(facts, df, config.small_bytes, config.broadcast_bytes)
+def _joinable(facts: DataFrame, config: RuleConfig) -> DataFrame:
+    return joinable(facts, config.lazy, config.broadcast_rows)
 
 
 def _attach(

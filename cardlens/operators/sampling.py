@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS = 1 << 20
+from cardlens.sources.scratch import store
+
+CELL_BITS = 20
+RANK_BITS = 60
+EDGE_ROWS = 100_000  # so many rows one task orders
 COPIES_PER_CHUNK = 1 << 16
 
 
@@ -16,48 +22,62 @@ def sample_keep_fraud(
 
     Legitimate rows are taken in the order of a hash of the row and the seed, so
     the same data gives the same sample however it is split. ``rank_by`` replaces
-    the hash by another BIGINT in [0, 2**60), ideally evenly spread.
+    the hash by another BIGINT in [0, 2**60), ideally evenly spread; rows that agree
+    in it follow a hash of the row.
 
-    Counting rows per hash cell finds the cell in which the target is reached;
-    rows of lower cells pass by a filter alone. Inside that one cell, equal rows
-    are first merged into a count, so copies cannot pile up in a task.
+    Counting rows per cell of the order finds the cell in which the target is reached;
+    rows of lower cells pass by a filter alone, and the cell is stored and counted in
+    finer cells, until it is small enough to be ordered in one task. Equal rows are
+    first merged into a count, so copies cannot pile up there.
     """
     columns = df.columns
-    if rank_by is None:
-        rank_by = F.xxhash64(F.lit(seed), *columns).bitwiseAND(F.lit((1 << 60) - 1))
-    ranked = df.withColumn("_rank", rank_by)
-    legit_cell = F.shiftright(F.col("_rank"), 60 - 20)
-    # frauds come first, in a cell of their own
-    ranked = ranked.withColumn(
-        "_cell", F.when(F.col("is_fraud") == 1, F.lit(-1)).otherwise(legit_cell)
-    )
+    own = F.xxhash64(F.lit(seed), *columns).bitwiseAND(F.lit((1 << RANK_BITS) - 1))
+    ranks = df.withColumns({"_rank": own if rank_by is None else rank_by, "_row_rank": own})
+    # frauds come first, in a cell of their own that is never cut
+    fraud = F.coalesce(F.col("is_fraud") == 1, F.lit(False))
+    cells = [
+        F.shiftright(F.col(rank), low).bitwiseAND(F.lit((1 << CELL_BITS) - 1))
+        for rank in ("_rank", "_row_rank")
+        for low in range(RANK_BITS - CELL_BITS, -1, -CELL_BITS)
+    ]
+    cells[0] = F.when(fraud, F.lit(-1)).otherwise(cells[0])
+
+    room, edge, parts = target, ranks, []
+    for cell in cells:
+        found = _cut(edge, cell, room)
+        if found is None:  # everything fits
+            return reduce(DataFrame.unionByName, [*parts, edge.select(columns)])
+        cut, before = found
+        parts.append(edge.where(cell < cut).select(columns))
+        room, edge = room - before, store(edge.where(cell == cut), "sample-edge")
+        if room <= 0 or edge.count() <= EDGE_ROWS:
+            break
+    if room > 0:
+        parts.append(_first_rows(edge, columns, room))
+    return reduce(DataFrame.unionByName, parts)
 
-    cells = ranked.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
+
+def _cut(rows: DataFrame, cell: Column, room: int) -> tuple[int, int] | None:
+    """The cell in which ``room`` is passed, and the number of rows in lower ones."""
+    counts = rows.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
     running = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_n").over(running), F.lit(0))
-    full = (
-        cells.withColumn("_before", before)  # at most CELLS + 1 rows
-        .where((F.col("_cell") >= 0) & (F.col("_before") + F.col("_n") > target))
-        .agg(
-            F.min(F.struct("_cell", F.greatest(target - F.col("_before"), F.lit(0)).alias("room")))
-            .alias("cut")
-        )
+    before = F.coalesce(F.sum("_n").over(running), F.lit(0))  # at most 2**CELL_BITS + 1 rows
+    passed = counts.withColumn("_before", before).where(
+        (F.col("_cell") >= 0) & (F.col("_before") + F.col("_n") > room)
     )
-    cut = full.scalar()  # NULL when everything fits
-    cut_cell, room = cut.getField("_cell"), cut.getField("room")
+    first = passed.agg(F.min(F.struct("_cell", "_before")).alias("cut")).first()["cut"]
+    return None if first is None else (first["_cell"], first["_before"])
 
-    whole = ranked.where(cut.isNull() | (F.col("_cell") < cut_cell))
-    edge = ranked.where(F.col("_cell") == cut_cell)
-    return whole.select(columns).unionByName(_first_rows(edge, columns, room))
 
-
-def _first_rows(edge: DataFrame, columns: list[str], room: Column) -> DataFrame:
+def _first_rows(edge: DataFrame, columns: list[str], room: int) -> DataFrame:
     """The first ``room`` rows by rank, counting copies of one row as separate rows."""
-    merged = edge.groupBy("_rank", *columns).agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.orderBy("_rank", *columns).rowsBetween(Window.unboundedPreceding, -1)
+    merged = edge.groupBy("_rank", "_row_rank", *columns).agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.orderBy("_rank", "_row_rank", *columns).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
     before = F.coalesce(F.sum("_n").over(running), F.lit(0))
     taken = (
-        merged.withColumn("_take", F.least(F.col("_n"), room - before))
+        merged.withColumn("_take", F.least(F.col("_n"), F.lit(room) - before))
         .where(F.col("_take") > 0)
     )
     # repeat merged copies in chunks, so that no single array gets long

@@ -15,8 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardlens.functions.cleaning import no_nan
-from cardlens.sources.scratch import ONE_TASK_BYTES, fits_one_task, store
+from cardlens.functions.cleaning import finite
+from cardlens.sources.scratch import store
 
 CELLS_PER_E_FOLD = 4096  # first round: logarithmic cells, about 57,000 up to a million
 CELLS_PER_CELL = 1 << 20  # second round: equal steps inside one first-round cell
@@ -27,18 +27,18 @@ def exact_quantiles(
     value: Column,
     probabilities: Mapping[str, float],
     by: Sequence[str] = (),
-    small_bytes: int = ONE_TASK_BYTES,
+    one_task: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles of ``value``, one column per name.
 
-    NULL and NaN are left out. ``by`` may name label columns with few distinct
+    NULL, NaN and infinities are left out. ``by`` may name label columns with few distinct
     values; there is one row per label, and without ``by`` one row, or none if
     there are no values.
 
-    The built-in ``percentile`` keeps every distinct value in one task. It is
-    used only where the optimizer's size estimate shows that this stays small.
+    ``one_task`` uses the built-in ``percentile``, a single lazy aggregate that keeps
+    every distinct value of a label in one task. Both forms give the same rows.
     """
-    if fits_one_task(df, small_bytes):
+    if one_task:
         return _in_one_pass(_values(df, value, by), probabilities, list(by))
     return quantiles_of(store(value_counts(df, value, by), "value-counts"), probabilities, by)
 
@@ -49,7 +49,7 @@ def value_counts(df: DataFrame, value: Column, by: Sequence[str] = ()) -> DataFr
 
 
 def _values(df: DataFrame, value: Column, by: Sequence[str]) -> DataFrame:
-    values = df.select(*by, no_nan(value.cast("double")).alias("v"))
+    values = df.select(*by, finite(value.cast("double")).alias("v"))
     return values.where(F.col("v").isNotNull())
 
 

@@ -10,7 +10,7 @@ from cardlens.operators.cleaning import with_event_ts
 from cardlens.plans.scoring import rule_inputs, score_transactions
 from cardlens.sources.catalog import register_curated_table
 from cardlens.sources.readers import read_raw_transactions
-from cardlens.sources.scratch import store
+from cardlens.sources.scratch import discard, new_path
 from cardlens.sources.writers import write_curated
 
 GOLD_REPORTS = {
@@ -34,16 +34,17 @@ def run_daily_batch(
 
     A failing step raises and later steps do not run. The raw text is parsed once:
     the rules look at the data several times, and typed columns are far cheaper to
-    read again than CSV. Rows come from daily folders, so unless a join shuffles
-    them they are written as they come, without regrouping them by day.
+    read again than CSV; the typed copy is freed once the result is written. Rows
+    are regrouped by day for the write, whatever files they came from.
     """
     config = config or RuleConfig()
     raw = read_raw_transactions(spark, raw_root, extra_types=extra_types)
-    typed = store(with_event_ts(raw), "typed-transactions")
-    inputs = rule_inputs(typed, config)
-    scored = score_transactions(typed, config, inputs)
-    in_place = inputs.small(config.broadcast_bytes)
-    write_curated(scored, curated_root, dynamic, rebalance=not in_place)
+    path = new_path(spark, "typed-transactions")
+    with_event_ts(raw).write.parquet(path)
+    typed = spark.read.parquet(path)
+    scored = score_transactions(typed, config, rule_inputs(typed, config))
+    write_curated(scored, curated_root, dynamic)
+    discard(typed, path)
     return register_curated_table(spark, table, curated_root)
 
 

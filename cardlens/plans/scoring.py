@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from cardlens.config import RuleConfig
 from cardlens.operators import rules
-from cardlens.sources.scratch import fits_one_task, joinable, kept
+from cardlens.sources.scratch import joinable, store
 
 
 @dataclass(frozen=True)
@@ -24,21 +24,18 @@ class RuleInputs:
     busy: DataFrame
     quantile: DataFrame
 
-    def small(self, limit: int) -> bool:
-        """Whether applying the inputs leaves the rows where they are."""
-        return fits_one_task(self.ceilings, limit) and fits_one_task(self.busy, limit)
-
 
 def rule_inputs(df: DataFrame, config: RuleConfig = rules.DEFAULTS) -> RuleInputs:
-    """Learn the inputs: inside the query for small data, else computed now and stored."""
+    """Learn the inputs: computed now and stored, or with ``config.lazy`` inside the query."""
 
     def ready(facts: DataFrame) -> DataFrame:
-        return joinable(facts, df, config.small_bytes, config.broadcast_bytes)
+        return joinable(facts, config.lazy, config.broadcast_rows)
 
+    quantile = rules.amount_quantile(df, config)
     return RuleInputs(
         ready(rules.amount_ceilings(df, config)),
         ready(rules.busy_hours(df, config)),
-        kept(rules.amount_quantile(df, config), df, config.small_bytes),
+        quantile if config.lazy else store(quantile, "quantile"),
     )
 
 

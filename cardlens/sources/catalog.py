@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cardlens.sources.readers import read_curated
@@ -13,22 +15,45 @@ def register_curated_table(
 ) -> DataFrame:
     """Create ``table`` over ``root`` if needed and find its day partitions.
 
-    An existing table keeps its columns and learns about new and vanished days. With
-    ``merge_schema=True`` the columns of all files are united, and the table is
-    declared anew when they differ from the known ones; the files are external
-    and stay as they are.
+    An existing external table keeps its columns and learns about new and vanished
+    days. With ``merge_schema=True`` the columns of all files are united. The table is
+    declared anew when they differ from the known ones, or when it stood for another
+    folder; files stay as they are. A managed table or view of that name is not touched:
+    it raises.
     """
+    name = ".".join(f"`{part.replace('`', '``')}`" for part in table.replace("`", "").split("."))
     columns = read_curated(spark, root, merge_schema).dtypes
     known = spark.catalog.tableExists(table)
-    if known and merge_schema and spark.table(table).dtypes != columns:
-        spark.sql(f"DROP TABLE {table}")
-        known = False
+    if known:
+        kind, location = _kind_and_location(spark, name)
+        if kind != "EXTERNAL":
+            raise ValueError(f"{table} exists and is no external table ({kind}); it is left as it is")
+        moved = not _same_folder(location, root)
+        if moved or (merge_schema and spark.table(table).dtypes != columns):
+            spark.sql(f"DROP TABLE {name}")  # external: only the entry goes
+            known = False
     if not known:
-        ddl = ", ".join(f"`{name}` {kind}" for name, kind in columns)
+        ddl = ", ".join(f"`{column}` {kind}" for column, kind in columns)
+        folder = root.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
-            f"CREATE TABLE {table} ({ddl}) USING parquet "
-            f"PARTITIONED BY ({', '.join(DAY_COLUMNS)}) LOCATION '{root}'"
+            f"CREATE TABLE {name} ({ddl}) USING parquet "
+            f"PARTITIONED BY ({', '.join(DAY_COLUMNS)}) LOCATION '{folder}'"
         )
-    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
     return spark.table(table)
+
+
+def _kind_and_location(spark: SparkSession, name: str) -> tuple[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    found = {r.col_name: r.data_type for r in rows}
+    return found.get("Type", ""), found.get("Location", "")
+
+
+def _same_folder(a: str, b: str) -> bool:
+    def plain(path: str) -> tuple[str, str]:
+        parts = urlparse(path)
+        scheme = "" if parts.scheme == "file" else parts.scheme
+        return f"{scheme}//{parts.netloc}", parts.path.rstrip("/")
+
+    return plain(a) == plain(b)

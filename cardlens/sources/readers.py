@@ -8,21 +8,25 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.functions.cleaning import no_nan
-from cardlens.sources.schema import SOURCE_COLUMNS, TRANSACTION_TYPES
+from cardlens.functions.cleaning import finite
+from cardlens.sources.schema import DAY_COLUMNS, SOURCE_COLUMNS, TRANSACTION_TYPES
 
 
 class NoInput(ValueError):
     """There is nothing to read under the given root."""
 
 
-def read_source(spark: SparkSession, path: str, columns=SOURCE_COLUMNS) -> DataFrame:
+def read_source(
+    spark: SparkSession, path: str, columns=SOURCE_COLUMNS, multi_line: bool = False
+) -> DataFrame:
     """Source CSV as text columns, limited to ``columns``.
 
     Columns are picked by header name: the file may hold more than these and a
-    CSV schema binds by position. Large files are split across tasks.
+    CSV schema binds by position. Large files are split across tasks. Quotes inside
+    quoted text are doubled. ``multi_line`` reads line breaks inside quotes; a file is
+    then one task. A record with other than the header's number of fields raises.
     """
-    return _csv(spark, path).select(*[F.col(f"`{name}`") for name in columns])
+    return _csv(spark, path, multi_line=multi_line).select(*[F.col(f"`{name}`") for name in columns])
 
 
 def read_raw_transactions(
@@ -30,19 +34,22 @@ def read_raw_transactions(
     root: str,
     recursive: bool = False,
     extra_types: Mapping[str, str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Typed transactions from header CSV files.
 
     By default ``year=/month=/day=`` folders are discovered, so filters on these
     columns prune folders. ``recursive=True`` instead takes every ``part*.csv``
-    below ``root`` and relies on the columns inside the files. No schema is
-    passed to the reader: files that repeat their partition columns would be
+    below ``root``; day columns that the files lack are taken from their paths. No
+    schema is passed to the reader: files that repeat their partition columns would be
     shifted by one made for all columns.
     """
-    df = _csv(spark, root, recursive)
+    df = _csv(spark, root, recursive, multi_line)
+    if recursive:
+        df = _with_path_days(df)
     types = {**TRANSACTION_TYPES, **(extra_types or {})}
     typed = {name: F.col(name).try_cast(kind) for name, kind in types.items()}
-    typed["amount"] = no_nan(typed["amount"])
+    typed["amount"] = finite(typed["amount"])
     return df.select(*[column.alias(name) for name, column in typed.items()])
 
 
@@ -51,9 +58,25 @@ def read_curated(spark: SparkSession, root: str, merge_schema: bool = False) ->
     return spark.read.option("mergeSchema", merge_schema).parquet(root)
 
 
-def _csv(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+def _with_path_days(df: DataFrame) -> DataFrame:
+    """Day columns from ``name=value`` folders where the files have none."""
+    for name in DAY_COLUMNS:
+        if name not in df.columns:
+            value = F.regexp_extract(F.col("_metadata.file_path"), rf"/{name}=([^/]+)/", 1)
+            missing = F.concat(F.lit(f"neither column nor folder for {name}: "), F.col("_metadata.file_path"))
+            df = df.select("*", F.when(value == "", F.raise_error(missing)).otherwise(value).alias(name))
+    return df
+
+
+def _csv(
+    spark: SparkSession, path: str, recursive: bool = False, multi_line: bool = False
+) -> DataFrame:
     # enforceSchema off: a file whose header differs fails instead of shifting columns
     reader = spark.read.option("header", True).option("enforceSchema", False)
+    # quotes as spreadsheets and data frame libraries write them; columns are not pruned
+    # inside the parser, which would hide records with too many fields
+    reader = reader.option("quote", '"').option("escape", '"').option("mode", "FAILFAST")
+    reader = reader.option("columnPruning", False).option("multiLine", multi_line)
     if recursive:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "part*.csv")
     try:

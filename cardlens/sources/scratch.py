@@ -8,13 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# What Spark gives one task of a file scan by default. A table no larger than this
-# may be handled by one task without further thought.
-ONE_TASK_BYTES = 128 << 20
-
-# Files up to this size are broadcast. Decoded and hashed they take some ten times
-# as much, which every executor can hold.
-BROADCAST_BYTES = 32 << 20
+# Stored facts of so many rows are broadcast: a key and a few numbers each, some 100 MB hashed.
+BROADCAST_ROWS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -52,41 +47,31 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df``; None where it cannot be read."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # no JVM handle, for example over Spark Connect
-        return None
-
+def discard(df: DataFrame, path: str) -> None:
+    """Free the space of what was stored under ``path``: an empty table takes its place."""
+    df.limit(0).write.mode("overwrite").parquet(path)
 
-def fits_one_task(df: DataFrame, limit: int = ONE_TASK_BYTES) -> bool:
-    """Whether all of ``df`` is known to be small; False when nothing is known."""
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
 
-
-def kept(facts: DataFrame, source: DataFrame, small_bytes: int = ONE_TASK_BYTES) -> DataFrame:
-    """``facts`` learnt from ``source``: part of the plan if that is small, else stored."""
-    return facts if fits_one_task(source, small_bytes) else store(facts, "facts")
+def small(stored: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a stored table has few enough rows to be broadcast; its files know their counts."""
+    return stored.count() <= rows
 
 
 def joinable(
-    facts: DataFrame,
-    source: DataFrame,
-    small_bytes: int = ONE_TASK_BYTES,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    facts: DataFrame, lazy: bool = False, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """``facts`` learnt from ``source``, ready to be joined back to it.
+    """``facts``, ready to be joined back to the rows that they were learnt from.
+
+    They are stored, for two reasons. Their size is then known before the join is
+    planned, so a small table is broadcast and the wide rows are not shuffled at all.
+    And where the table is too large for that, both sides of the join are plain
+    shuffles, which adaptive execution needs to split the rows of a heavy key; it
+    cannot when one side is still an aggregate.
 
-    For a large source they are stored, for two reasons. Their size is then known
-    before the join is planned, so a small table is broadcast and the wide rows
-    are not shuffled at all. And where the table is too large for that, both sides
-    of the join are plain shuffles, which adaptive execution needs to split the
-    rows of a heavy key; it cannot when one side is still an aggregate.
+    ``lazy`` leaves them in the plan instead, which saves a job where no key is heavy.
+    Both forms give the same rows.
     """
-    if fits_one_task(source, small_bytes):
+    if lazy:
         return facts
     stored = store(facts, "facts")
-    return F.broadcast(stored) if fits_one_task(stored, broadcast_bytes) else stored
+    return F.broadcast(stored) if small(stored, broadcast_rows) else stored

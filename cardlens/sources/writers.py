@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.sources.schema import DAY_COLUMNS
 
 
+# the default drops microseconds
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+
+
 def by_day(df: DataFrame) -> DataFrame:
     """Bring each day's rows together without trusting days to be alike in size.
 
@@ -18,18 +22,25 @@ def by_day(df: DataFrame) -> DataFrame:
 
 
 def write_raw_partitions(df: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Header CSV under ``year=YYYY/month=MM/day=DD``, each file sorted by time."""
-    padded = {
-        name: F.lpad(F.col(name).cast("string"), width, "0")
-        for name, width in zip(DAY_COLUMNS, (4, 2, 2))
-    }
+    """Header CSV under ``year=YYYY/month=MM/day=DD``, each file sorted by time.
+
+    Replaces the days present in ``df`` and leaves all others. Longer values than the
+    folder names are made for are kept as they are.
+    """
+
+    def padded(name: str, width: int) -> Column:
+        text = F.col(name).cast("string")
+        return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+    names = {name: padded(name, width) for name, width in zip(DAY_COLUMNS, (4, 2, 2))}
     (
         by_day(df)
-        .withColumns(padded)
+        .withColumns(names)
         .sortWithinPartitions(*DAY_COLUMNS, "time")
         .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*DAY_COLUMNS)
-        .option("header", True)
+        .options(header=True, quote='"', escape='"')
         .csv(root)
     )
 
@@ -54,4 +65,4 @@ def write_curated(
 
 def write_scored_csv(df: DataFrame, path: str) -> None:
     """Flat header CSV of the scored table."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, quote='"', escape='"', timestampNTZFormat=MICROSECONDS).csv(path)

@@ -14,7 +14,8 @@ from cardlens.config import RuleConfig
 from cardlens.sources.scratch import new_path
 
 # No card reaches 130 events an hour in the test tables; 1 makes the rule fire.
-CONFIG = RuleConfig(velocity_max=1)
+# All in one plan, as the tables are small and no card is heavy.
+CONFIG = RuleConfig(velocity_max=1, lazy=True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

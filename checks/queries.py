@@ -14,7 +14,7 @@ from cardlens.operators import cleaning, profiling, reports, rules, windows
 from cardlens.operators.history import Slicing
 from cardlens.operators.sampling import sample_keep_fraud
 from cardlens.operators.selection import exact_quantiles
-from cardlens.plans.daily import gold_tables, run_daily_batch
+from cardlens.plans.daily import GOLD_REPORTS, gold_tables, run_daily_batch
 from cardlens.plans.prepare import prepare_dataset
 from cardlens.plans.scoring import score_transactions
 from cardlens.sources import readers, writers
@@ -29,8 +29,8 @@ ID_TYPE = {"txn_id": "bigint"}
 ORDER_YEARS = (1996, 1998, 2000)
 # A sketch finer than the test tables have rows, which makes its answer exact.
 FINE_SKETCH = replace(CONFIG, quantile_mode="approx", quantile_accuracy=10_000_000)
-# Takes the path for large tables with heavy cards, however small the table is.
-HOT = Slicing(small_bytes=-1, heavy_rows=20)
+# Cuts cards that would not be heavy in a large table.
+HOT = Slicing(heavy_rows=20)
 
 
 # --- building blocks ---------------------------------------------------------
@@ -73,6 +73,48 @@ def read_raw_transactions(spark, sf_dir):
     return readers.read_raw_transactions(spark, raw_zone(spark, sf_dir), extra_types=ID_TYPE)
 
 
+def write_raw_partitions(spark, sf_dir):
+    """Two halves of the month in two calls; then folder names and file contents."""
+    root = new_path(spark, "raw")
+    rows = transactions(spark, sf_dir).drop("event_ts")
+    writers.write_raw_partitions(rows.where("day <= 15"), root)
+    writers.write_raw_partitions(rows.where("day > 15"), root)
+    files = spark.read.option("header", True).option("recursiveFileLookup", True).csv(root)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(year=[^/]+/month=[^/]+/day=[^/]+)/", 1)
+    return files.select(
+        folder.alias("folder"), F.col("txn_id").cast("bigint").alias("txn_id"), "time",
+        F.col("amount").cast("double").alias("amount"), "merchant_city", "merchant_state",
+    )
+
+
+def read_raw_transactions_own_recursive(spark, sf_dir):
+    root = raw_zone(spark, sf_dir)
+    return readers.read_raw_transactions(spark, root, recursive=True, extra_types=ID_TYPE)
+
+
+def quoted_city(rows, name):
+    """Cities with quotes, commas and, for one in three, a line break."""
+    k = F.col(name)
+    end = F.when(F.pmod(k.cast("int"), F.lit(3)) == 0, "\nNorth").otherwise(", North")
+    return rows.withColumn(name, F.concat(F.lit('Joe "The Bar"'), k, end))
+
+
+def read_source_quoted(spark, sf_dir):
+    path = new_path(spark, "source")
+    rows = quoted_city(source_rows(spark, sf_dir), "Merchant City").drop("Note")
+    options = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False}
+    rows.write.options(**options).csv(path)
+    return cleaning.clean_source(readers.read_source(spark, path, multi_line=True))
+
+
+def read_raw_transactions_quoted(spark, sf_dir):
+    root = new_path(spark, "raw")
+    rows = quoted_city(transactions(spark, sf_dir).drop("event_ts"), "merchant_city")
+    writers.write_raw_partitions(rows, root)
+    return readers.read_raw_transactions(spark, root, extra_types=ID_TYPE, multi_line=True)
+
+
 def read_raw_transactions_recursive(spark, sf_dir):
     """Daily folders whose files hold the calendar columns themselves."""
     root = new_path(spark, "nested")
@@ -101,15 +143,9 @@ def write_curated_dynamic(spark, sf_dir):
 def write_scored_csv(spark, sf_dir):
     path = new_path(spark, "scored")
     scored = score_transactions(transactions(spark, sf_dir), CONFIG)
-    writers.write_scored_csv(scored.select("txn_id", "amount", "risk_score", "risk_level"), path)
+    writers.write_scored_csv(scored, path)
     back = spark.read.option("header", True).csv(path)
-    return back.withColumns(
-        {
-            "txn_id": F.col("txn_id").cast("bigint"),
-            "amount": F.col("amount").cast("double"),
-            "risk_score": F.col("risk_score").cast("double"),
-        }
-    )
+    return back.select(*[F.col(c).cast(kind).alias(c) for c, kind in scored.dtypes])
 
 
 def register_curated(spark, sf_dir):
@@ -127,8 +163,18 @@ def register_curated_merge_schema(spark, sf_dir):
     writers.write_curated(early, root)
     register_curated_table(spark, table, root)
     writers.write_curated(scored.where(F.col("day") > 15), root, dynamic=True)
-    merged = register_curated_table(spark, table, root, merge_schema=True)
-    return merged.select("txn_id", "day", "r1_amount_anomaly", "risk_score", "risk_level")
+    return register_curated_table(spark, table, root, merge_schema=True)
+
+
+def register_curated_moved(spark, sf_dir):
+    """A name that stood for another folder gets the rows of the new one."""
+    table = new_table()
+    rows = transactions(spark, sf_dir)
+    for part in (rows.where("day <= 10"), rows.where("day > 10")):
+        root = new_path(spark, "curated")
+        writers.write_curated(part, root)
+        registered = register_curated_table(spark, table, root)
+    return registered
 
 
 def daily_batch(spark, sf_dir):
@@ -138,6 +184,16 @@ def daily_batch(spark, sf_dir):
     )
 
 
+def gold_table(name) -> Query:
+    """One report table with all its numbers, read back."""
+
+    def run(spark, sf_dir):
+        scored = score_transactions(transactions(spark, sf_dir), CONFIG)
+        return spark.read.parquet(gold_tables(scored, new_path(spark, "analytics"))[name])
+
+    return run
+
+
 def gold(spark, sf_dir):
     """The four report tables, read back as one list of labelled numbers."""
     scored = score_transactions(transactions(spark, sf_dir), CONFIG)
@@ -163,6 +219,13 @@ def prepare(spark, sf_dir):
     return prepare_dataset(spark, source, new_path(spark, "raw"), years=[2024])
 
 
+def prepare_sampled(spark, sf_dir):
+    """A target below the window's rows: how many of each label remain."""
+    source = source_file(spark, sf_dir)
+    rows = prepare_dataset(spark, source, new_path(spark, "raw"), years=[2024], target=1_000)
+    return rows.groupBy("is_fraud").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- cleaning ------------------------------------------------------------------
 
 
@@ -245,6 +308,24 @@ def rule_alone(rule, column, *args, **kwargs) -> Query:
     return run
 
 
+def rule_velocity_5(spark, sf_dir):
+    """Five coarse cards, of which hours with more than five transactions are common."""
+    rows = transactions(spark, sf_dir).withColumn("coarse", F.pmod("user_id", F.lit(5)))
+    config = rules.RuleConfig(velocity_max=5, card_keys=("coarse",))
+    return rules.rule_velocity(rows, config).select("txn_id", "r2_velocity")
+
+
+def rule_amount_rolling_odd(spark, sf_dir):
+    """Amounts as text with infinities and numbers beyond any decimal among them."""
+    n = F.pmod("txn_id", F.lit(40))
+    text = (
+        F.when(n == 0, "$Infinity").when(n == 1, "1e19").when(n == 2, "1e400").when(n == 3, "NaN")
+        .otherwise(F.col("amount").cast("string"))
+    )
+    rows = transactions(spark, sf_dir).withColumn("amount", parse_amount(text))
+    return rules.rule_amount_rolling(rows, days=3).select("txn_id", "r_amount_rolling")
+
+
 def rule_geo_impossible(spark, sf_dir):
     """The number in ``props`` stands for a place on a diagonal of the globe."""
     k = F.col("mcc")
@@ -309,7 +390,20 @@ def card_previous_txn_sliced(spark, sf_dir):
 
 def amount_quantile_by_cells(spark, sf_dir):
     rows = transactions(spark, sf_dir)
-    return exact_quantiles(rows, F.col("amount"), {"amount_quantile": 0.9}, small_bytes=-1)
+    return exact_quantiles(rows, F.col("amount"), {"amount_quantile": 0.9})
+
+
+def amount_by_label_odd(spark, sf_dir):
+    """A third label whose amounts are all unknown, and infinities and NaN in the others."""
+    label = F.when(F.col("use_chip") == "signup", F.lit(2)).otherwise(F.col("is_fraud"))
+    n = F.pmod("txn_id", F.lit(50))
+    amount = (
+        F.when((label == 2) | (n == 0), None)
+        .when(n == 1, float("nan")).when(n == 2, float("inf")).when(n == 3, float("-inf"))
+        .otherwise(F.col("amount"))
+    )
+    rows = transactions(spark, sf_dir).withColumns({"is_fraud": label, "amount": amount})
+    return profiling.amount_by_label(rows)
 
 
 QUERIES: dict[str, Query] = {
@@ -317,15 +411,21 @@ QUERIES: dict[str, Query] = {
     "read_source": read_source,
     "read_raw_transactions": read_raw_transactions,
     "read_raw_transactions_recursive": read_raw_transactions_recursive,
-    "write_raw_partitions": read_raw_transactions,
+    "read_raw_transactions_own_recursive": read_raw_transactions_own_recursive,
+    "read_raw_transactions_quoted": read_raw_transactions_quoted,
+    "read_source_quoted": read_source_quoted,
+    "write_raw_partitions": write_raw_partitions,
     "write_curated": write_curated,
     "write_curated_dynamic": write_curated_dynamic,
     "write_scored_csv": write_scored_csv,
     "register_curated_table": register_curated,
     "register_curated_table_merge_schema": register_curated_merge_schema,
+    "register_curated_table_moved": register_curated_moved,
     "run_daily_batch": daily_batch,
+    **{f"gold_tables_{name}": gold_table(name) for name in GOLD_REPORTS},
     "gold_tables": gold,
     "prepare_dataset": prepare,
+    "prepare_dataset_sampled": prepare_sampled,
     # cleaning and predicates
     "rename_source_columns": rename_source_columns,
     "clean_source": clean_source,
@@ -350,17 +450,16 @@ QUERIES: dict[str, Query] = {
     "risk_score": scored_columns("risk_score"),
     "risk_level": scored_columns("risk_level"),
     "score_transactions": on_scored(lambda scored: scored),
-    "score_transactions_stored_inputs": scored_with(small_bytes=-1),
-    "score_transactions_shuffled": scored_with(small_bytes=-1, broadcast_bytes=-1),
+    "score_transactions_stored_inputs": scored_with(lazy=False),
+    "score_transactions_shuffled": scored_with(lazy=False, broadcast_rows=-1),
     # rules outside the default score
     "rule_amount_rolling": rule_alone(rules.rule_amount_rolling, "r_amount_rolling"),
     "rule_amount_rolling_3d": rule_alone(rules.rule_amount_rolling, "r_amount_rolling", days=3),
     "rule_amount_rolling_sliced": rule_alone(
         rules.rule_amount_rolling, "r_amount_rolling", days=3, slicing=HOT
     ),
-    "rule_velocity_5": rule_alone(
-        rules.rule_velocity, "r2_velocity", rules.RuleConfig(velocity_max=5)
-    ),
+    "rule_velocity_5": rule_velocity_5,
+    "rule_amount_rolling_odd": rule_amount_rolling_odd,
     "rule_state_change": rule_alone(rules.rule_state_change, "r3_state_change", tiebreak=TIE),
     "rule_geo_impossible": rule_geo_impossible,
     "rule_odd_hour_2_5": rule_alone(
@@ -399,8 +498,14 @@ QUERIES: dict[str, Query] = {
     "state_change_within": on_transactions(
         profiling.state_change_within, tiebreak=TIE, limits=(5, 10, 15, 30, 600)
     ),
+    "state_change_share_sliced": on_transactions(
+        profiling.state_change_share, tiebreak=TIE, slicing=HOT
+    ),
+    "state_change_within_sliced": on_transactions(
+        profiling.state_change_within, tiebreak=TIE, limits=(5, 10, 15, 30, 600), slicing=HOT
+    ),
     "amount_by_label": on_transactions(profiling.amount_by_label),
-    "amount_by_label_by_cells": on_transactions(profiling.amount_by_label, small_bytes=-1),
+    "amount_by_label_by_cells": amount_by_label_odd,
     # windows, order, sampling
     "pick_fraud_window": pick_fraud_window,
     "pick_fraud_window_years": pick_fraud_window_years,

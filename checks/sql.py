@@ -166,6 +166,10 @@ YEARS = (
     + _pct("sum(is_fraud)", "count(*)", 4)
     + " AS fraud_pct FROM od GROUP BY year"
 )
+QUOTED = (
+    """'Joe "The Bar"' || {city} || CASE WHEN CAST({city} AS INTEGER) % 3 = 0 """
+    "THEN chr(10) || 'North' ELSE ', North' END"
+)
 RAW = _with(TX, f"SELECT {TX_COLUMNS} FROM tx")
 CLEAN_COLUMNS = TX_COLUMNS.removeprefix("txn_id, ")
 SCORED_ALL = _with(SCORED, f"SELECT {TX_COLUMNS}, event_ts, {FLAGS} FROM scored")
@@ -237,18 +241,33 @@ SQL: dict[str, str] = {
     "read_source": _with(SOURCE, "SELECT * EXCLUDE (txn_id) FROM src"),
     "read_raw_transactions": RAW,
     "read_raw_transactions_recursive": RAW,
-    "write_raw_partitions": RAW,
+    "read_raw_transactions_own_recursive": RAW,
+    "read_raw_transactions_quoted": _with(
+        TX, f"SELECT * REPLACE ({QUOTED.format(city='merchant_city')} AS merchant_city) FROM (SELECT {TX_COLUMNS} FROM tx)"
+    ),
+    "read_source_quoted": _with(
+        SOURCE,
+        f"SELECT * REPLACE ({QUOTED.format(city='merchant_city')} AS merchant_city) "
+        f"FROM (SELECT {CLEAN_COLUMNS} FROM clean)",
+    ),
+    "write_raw_partitions": _with(
+        TX,
+        "SELECT printf('year=%04d/month=%02d/day=%02d', year, month, day) AS folder, txn_id, time, amount, "
+        "merchant_city, merchant_state FROM tx",
+    ),
+    "register_curated_table_moved": _with(TX, "SELECT * FROM tx WHERE day > 10"),
     "write_curated": SCORED_ALL,
     "write_curated_dynamic": _with(
         TX,
         "SELECT * REPLACE (CASE WHEN day > 20 THEN amount * 2 ELSE amount END AS amount) FROM tx",
     ),
-    "write_scored_csv": _with(SCORED, "SELECT txn_id, amount, risk_score, risk_level FROM scored"),
+    "write_scored_csv": SCORED_ALL,
     "register_curated_table": SCORED_ALL,
     "register_curated_table_merge_schema": _with(
         SCORED,
-        "SELECT txn_id, day, r1_amount_anomaly, CASE WHEN day > 15 THEN risk_score END AS risk_score, "
-        "CASE WHEN day > 15 THEN risk_level END AS risk_level FROM scored",
+        f"SELECT * REPLACE (CASE WHEN day > 15 THEN risk_score END AS risk_score, "
+        f"CASE WHEN day > 15 THEN risk_level END AS risk_level) "
+        f"FROM (SELECT {TX_COLUMNS}, event_ts, {FLAGS} FROM scored)",
     ),
     "run_daily_batch": _with(
         SCORED,
@@ -273,6 +292,17 @@ SQL: dict[str, str] = {
         WHERE day BETWEEN first_day AND last_day
         """,
     ),
+    "prepare_dataset_sampled": _with(
+        SOURCE + "," + DAILY.format(rows="clean") + "," + WINDOW,
+        """
+        , picked AS (SELECT is_fraud FROM clean JOIN best USING (year, month)
+                     WHERE day BETWEEN first_day AND last_day),
+        sizes AS (SELECT count(*) AS n, count(*) FILTER (is_fraud = 1) AS frauds FROM picked)
+        SELECT is_fraud, n FROM (
+          SELECT 1 AS is_fraud, frauds AS n FROM sizes
+          UNION ALL SELECT 0, least(greatest(1000 - frauds, 0), n - frauds) FROM sizes) WHERE n > 0
+        """,
+    ),
     # cleaning and predicates
     "rename_source_columns": _with(
         SOURCE,
@@ -345,7 +375,15 @@ SQL: dict[str, str] = {
     # rules outside the default score
     "rule_amount_rolling": _rolling(30),
     "rule_amount_rolling_3d": _rolling(3),
-    "rule_velocity_5": _velocity(5),
+    "rule_velocity_5": _with(
+        TX,
+        "SELECT txn_id, CASE WHEN count(*) OVER (PARTITION BY user_id % 5, date_trunc('hour', event_ts)) > 5 "
+        "THEN 1 ELSE 0 END AS r2_velocity FROM tx",
+    ),
+    "rule_amount_rolling_odd": _rolling(3).replace(
+        TX.strip(), TX.strip().replace("value AS amount", "CASE WHEN event_id % 40 = 1 THEN 1e19 "
+                                       "WHEN event_id % 40 > 3 THEN value END AS amount")
+    ).replace("avg(amount)", "avg(CASE WHEN amount < 1e18 THEN amount END)"),
     "rule_state_change": _with(
         PREVIOUS,
         "SELECT txn_id, CASE WHEN changed AND gap_min < 60 THEN 1 ELSE 0 END AS r3_state_change "
@@ -460,6 +498,13 @@ SQL: dict[str, str] = {
     "amount_by_label": _with(
         TX, _describe("amount", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, "tx", "is_fraud")
     ),
+    "amount_by_label_by_cells": _with(
+        TX
+        + """, labelled AS (
+          SELECT CASE WHEN use_chip = 'signup' THEN 2 ELSE is_fraud END AS is_fraud,
+                 CASE WHEN use_chip <> 'signup' AND txn_id % 50 > 3 THEN amount END AS amount FROM tx)""",
+        _describe("amount", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, "labelled", "is_fraud"),
+    ),
     # windows, order, sampling
     "pick_fraud_window": _with(
         TX + "," + DAILY.format(rows="tx") + "," + WINDOW, "SELECT * FROM best"
@@ -486,6 +531,11 @@ for _variant, _name in {
     "rule_amount_rolling_sliced": "rule_amount_rolling_3d",
     "state_change_gap_distribution_sliced": "state_change_gap_distribution",
     "amount_quantile_by_cells": "amount_quantile",
-    "amount_by_label_by_cells": "amount_by_label",
+    "state_change_share_sliced": "state_change_share",
+    "state_change_within_sliced": "state_change_within",
+    "gold_tables_risk_level_distribution": "risk_level_distribution",
+    "gold_tables_rule_precision": "rule_precision",
+    "gold_tables_daily_fraud_breakdown": "daily_fraud_breakdown",
+    "gold_tables_fraud_hotspots": "fraud_hotspots",
 }.items():
     SQL[_variant] = SQL[_name]

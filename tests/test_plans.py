@@ -9,7 +9,7 @@ from cardlens.plans.daily import GOLD_REPORTS, gold_tables, run_daily_batch
 from cardlens.plans.prepare import prepare_dataset
 from cardlens.sources.readers import read_raw_transactions
 from cardlens.sources.schema import SOURCE_COLUMNS
-from cardlens.sources.scratch import estimated_bytes, new_path, shared_folder, store
+from cardlens.sources.scratch import discard, new_path, shared_folder, small, store
 
 
 @pytest.fixture
@@ -63,4 +63,11 @@ def test_stored_tables_have_a_known_size(spark):
     df = spark.range(1000).withColumn("g", F.col("id") % 3)
     kept = store(df.groupBy("g").count(), "groups")
     assert kept.schema["count"].dataType.simpleString() == "bigint"
-    assert estimated_bytes(kept) < 10_000
+    assert small(kept, 3) and not small(kept, 2)
+
+
+def test_discarded_tables_take_no_space(spark):
+    path = new_path(spark, "typed")
+    spark.range(10).write.parquet(path)
+    discard(spark.read.parquet(path), path)
+    assert spark.read.parquet(path).count() == 0

@@ -123,20 +123,19 @@ def test_scoring_matches_a_plain_computation(make):
     assert flags(score_transactions(make(rows), config), "risk_score") == expected
 
 
-BIG = 1 << 62
 
 
-@pytest.mark.parametrize("small_bytes, broadcast_bytes", [(BIG, BIG), (-1, BIG), (-1, -1)])
-def test_inputs_in_plan_stored_or_shuffled(spark, make, small_bytes, broadcast_bytes):
+@pytest.mark.parametrize("lazy, broadcast_rows", [(True, 1000), (False, 1000), (False, -1)])
+def test_inputs_in_plan_stored_or_shuffled(spark, make, lazy, broadcast_rows):
     df = make(random_transactions())
     config = RuleConfig(velocity_max=4)
     expected = sorted(map(tuple, score_transactions(df, config).collect()))
-    config = replace(config, small_bytes=small_bytes, broadcast_bytes=broadcast_bytes)
+    config = replace(config, lazy=lazy, broadcast_rows=broadcast_rows)
     assert sorted(map(tuple, score_transactions(df, config).collect())) == expected
 
 
 def test_stored_inputs_keep_wide_rows_in_place(make):
-    config = RuleConfig(velocity_max=4, small_bytes=-1)
+    config = RuleConfig(velocity_max=4)
     scored = score_transactions(make(random_transactions()), config)
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in plan
@@ -160,7 +159,7 @@ def test_a_heavy_card_is_split_between_tasks(spark, tmp_path):
         for key, value in settings.items():
             spark.conf.set(key, value)
         df = spark.read.parquet(str(tmp_path / "t"))
-        config = RuleConfig(small_bytes=-1, broadcast_bytes=-1, amount_limit=1e9)
+        config = RuleConfig(broadcast_rows=-1, amount_limit=1e9)
         flagged = rules.rule_amount_anomaly(df, config)
         assert flagged.select("pad", "r1_amount_anomaly").toPandas()["r1_amount_anomaly"].sum() == 0
         plan = flagged.select("pad", "r1_amount_anomaly")

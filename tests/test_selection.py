@@ -11,7 +11,7 @@ PS = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p90": 0.9, "p99": 0.99, "p100": 1.0}
 
 def both_ways(df, **kwargs):
     return [
-        exact_quantiles(df, F.col("v"), PS, small_bytes=small, **kwargs) for small in (-1, 1 << 40)
+        exact_quantiles(df, F.col("v"), PS, one_task=one, **kwargs) for one in (False, True)
     ]
 
 
@@ -40,12 +40,12 @@ def test_values_inside_one_cell(spark):
 @given(st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=40))
 def test_any_values(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    row = exact_quantiles(df, F.col("v"), PS, small_bytes=-1).first()
+    row = exact_quantiles(df, F.col("v"), PS).first()
     assert list(row) == pytest.approx(list(np.quantile(values, list(PS.values()))), rel=1e-9, abs=1e-9)
 
 
 def test_by_label_without_null_and_nan(spark):
-    rows = [(i % 2, float(i)) for i in range(101)] + [(0, None), (1, float("nan"))]
+    rows = [(i % 2, float(i)) for i in range(101)] + [(0, None), (1, float("nan")), (0, float("inf")), (1, float("-inf"))]
     df = spark.createDataFrame(rows, "g int, v double")
     for result in both_ways(df, by=["g"]):
         got = {r["g"]: r for r in result.collect()}
