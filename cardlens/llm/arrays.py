@@ -40,6 +40,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a task holds less at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def fold_case(data: np.ndarray) -> np.ndarray:
     """A-Z in lower case, all other bytes as they are."""
     return _FOLD[data]

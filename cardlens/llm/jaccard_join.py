@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from cardlens.llm.arrays import fold_case, mixed, row_slices, span_hashes, text_bytes, words
+from cardlens.llm.arrays import (
+    fold_case, mixed, pieces, row_slices, span_hashes, text_bytes, words,
+)
 from cardlens.llm.tables import BROADCAST_ROWS, fresh, joinable, union_find
 from cardlens.sources.scratch import store
 
@@ -70,7 +72,7 @@ def _row_shingles(h: np.ndarray, at: np.ndarray, k: int, chained: np.ndarray, i:
 def _counts(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     by_word = np.zeros(BUCKETS, np.int64)
     by_shingle = np.zeros(BUCKETS, np.int64)
-    for batch in batches:
+    for batch in pieces(batches):
         for _, h, at in _hashes(batch.column(0), k):
             by_word += np.bincount((h >> _SHIFT).astype(np.int64), minlength=BUCKETS)
             chained = _chain(h, k)
@@ -127,7 +129,7 @@ def _signatures(batches, k: int, percent: int, order) -> Iterator[pa.RecordBatch
     ``row`` numbers the rows; the table is stored, so a number stays with its row.
     """
     row = TaskContext.get().partitionId() << 40
-    for batch in batches:
+    for batch in pieces(batches):
         n, s1, s2, g, prefixes, histograms = [], [], [], [], [], []
         for keys in _ordered_sets(batch.column("text"), k, order):
             size = len(keys)
@@ -152,7 +154,7 @@ def _signatures(batches, k: int, percent: int, order) -> Iterator[pa.RecordBatch
 
 def _sets(batches, k: int, order) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()  # classes a task has met, for copies of one text
-    for batch in batches:
+    for batch in pieces(batches):
         classes = batch.column("c").to_pylist()
         new = [i for i, c in enumerate(classes) if not (c in seen or seen.add(c))]
         text = batch.column("text").take(pa.array(new, pa.int64()))

@@ -40,12 +40,12 @@ END = HEAD + TAILS  # the end of a document, also what stands before its first w
 SYMBOLS = END + 1
 CLASSES = HEAD_CLASSES + TAILS + 1
 
-HIDDEN = 16
+HIDDEN = 12
 WINDOW = 16  # steps of truncated backpropagation
 UPDATE_WORDS = 2048  # words whose gradients make one step
 ROUNDS = 3
 CHUNK = 2_000_000  # words laid into lanes together
-COMMON_WORDS = 1_000_000  # most frequent words whose counts go to every task: 12 MB
+COMMON_WORDS = 300_000  # most frequent words whose counts go to every task: some 5 MB
 _LN10 = np.log(10.0)
 
 
@@ -135,26 +135,25 @@ def vocabulary(counts: DataFrame, documents: int, common_words: int = COMMON_WOR
     levels = levels.sort_values("level", ascending=False)
     fit = levels[levels.words.cumsum() <= common_words]
     least = int(fit.level.min()) if len(fit) else 1 << 20
-    common = counts.filter(level >= least).select("h", "n", "kind").toPandas()  # at most common_words
-    smallest = int(common.n.min()) if len(common) else 1 << 62
+    common = counts.filter(level >= least).select("h", "n", "kind").toArrow()  # at most common_words
+    h, n, kind = (common.column(c).to_numpy() for c in ("h", "n", "kind"))
+    h = h.astype(np.int64).view(np.uint64)
+    smallest = int(n.min()) if len(n) else 1 << 62
     kinds = counts.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("words")).toPandas()
-    common["u"] = common.h.to_numpy(np.int64).view(np.uint64)
-    top = common.sort_values(["n", "u"], ascending=[False, True])
-    symbols = HEAD + top.kind.to_numpy(np.int64)
-    head = min(HEAD, len(top))
-    symbols[:head] = np.arange(head)
-    order = np.argsort(top.u.to_numpy())
+    first = np.lexsort((h, -n.astype(np.int64)))[:HEAD]  # by count, then hash
+    symbols = HEAD + kind.astype(np.int64)
+    symbols[first] = np.arange(len(first))
+    order = np.argsort(h)
     tail_n, tail_v = np.zeros(TAILS), np.zeros(TAILS)
     tail_n[kinds.kind.to_numpy(int)] = kinds.n
     tail_v[kinds.kind.to_numpy(int)] = kinds.words
-    kind = top.kind.to_numpy(int)[:head]
-    np.subtract.at(tail_n, kind, top.n.to_numpy(float)[:head])
-    np.subtract.at(tail_v, kind, 1.0)
+    np.subtract.at(tail_n, kind[first].astype(int), n[first])
+    np.subtract.at(tail_v, kind[first].astype(int), 1.0)
     head_counts = np.zeros(HEAD)
-    head_counts[:head] = top.n.to_numpy(float)[:head]
+    head_counts[: len(first)] = n[first]
     return Vocabulary(
-        common=top.u.to_numpy()[order],
-        counts=top.n.to_numpy(np.int64)[order].astype(np.float64),
+        common=h[order],
+        counts=n[order].astype(np.float64),
         symbols=symbols[order].astype(np.int16),
         tail_log=np.log10(tail_n + tail_v + 1),
         head_counts=head_counts,
