@@ -106,3 +106,9 @@ def test_orders(spark, make):
     assert [tuple(r) for r in order_by_day_time(days).collect()] == [
         (1, "09:30"), (1, "23:00"), (2, "01:00"),
     ]
+
+
+@pytest.mark.parametrize("text", ["$Infinity", "-Infinity", "1e400", "NaN"])
+def test_amounts_are_finite(spark, text):
+    df = spark.createDataFrame([(text,)], "a string")
+    assert df.select(parse_amount(F.col("a"))).first()[0] is None

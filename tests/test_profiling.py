@@ -130,3 +130,12 @@ def test_distributions_without_rows(make):
     assert profiling.card_hour_distribution(df).first()["count"] == 0
     assert profiling.amount_by_label(df).count() == 0
     assert profiling.prepared_summary(df).first()["n_rows"] == 0
+
+
+def test_labels_without_values_stay(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, 1.0), (0, 2.0), (0, nan), (0, inf), (1, None), (1, None), (None, 5.0)]
+    got = {r.is_fraud: r for r in profiling.amount_by_label(spark.createDataFrame(rows, "is_fraud int, amount double")).collect()}
+    assert set(got) == {0, 1}
+    assert (got[0]["count"], got[0]["mean"], got[0]["max"], got[0]["p50"]) == (2, 1.5, 2.0, 1.5)
+    assert got[1]["count"] == 0 and got[1]["mean"] is None and got[1]["p50"] is None

@@ -55,3 +55,18 @@ def test_unlabelled_rows_count_as_legitimate(spark):
 
 def test_no_rows(spark):
     assert sample_keep_fraud(rows(spark, 0), 10).count() == 0
+
+
+@pytest.mark.parametrize("ranks", ["id % 3", "7"])
+def test_edges_are_cut_until_small(spark, monkeypatch, ranks):
+    """All ranks in one cell, or one rank for all: what one task orders stays bounded."""
+    monkeypatch.setattr(sampling, "EDGE_ROWS", 10)
+    ordered = []
+    keep = sampling._first_rows
+    monkeypatch.setattr(
+        sampling, "_first_rows", lambda edge, *a: ordered.append(edge.count()) or keep(edge, *a)
+    )
+    df = spark.range(3000).selectExpr("id", f"{ranks} AS r", "cast(id < 20 AS int) AS is_fraud")
+    got = [r["id"] for r in sample_keep_fraud(df, 1000, rank_by=F.col("r").cast("bigint")).collect()]
+    assert len(got) == len(set(got)) == 1000 and set(range(20)) <= set(got)
+    assert all(n <= 10 for n in ordered)

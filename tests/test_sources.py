@@ -127,3 +127,54 @@ def test_scored_csv(spark, tmp_path):
     path = str(tmp_path / "flat")
     writers.write_scored_csv(small(spark), path)
     assert spark.read.option("header", True).csv(path).count() == 3
+
+
+def test_longer_values_are_kept_and_other_days_stay(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    day = F.when(F.col("day") == 14, 123).otherwise(F.col("day"))
+    writers.write_raw_partitions(small(spark).withColumn("day", day), root)
+    later = small(spark).limit(1).withColumns({"month": F.lit(8), "day": F.lit(1)})
+    writers.write_raw_partitions(later, root)
+    names = sorted(str(p.relative_to(root)) for p in Path(root).glob("*/*/*") if p.is_dir())
+    assert names == ["year=2016/month=07/day=03", "year=2016/month=07/day=123", "year=2016/month=08/day=01"]
+
+
+def test_recursive_reading_takes_days_from_folders(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    df = small(spark)
+    for name in set(TRANSACTION_TYPES) - set(df.columns):
+        df = df.withColumn(name, F.lit(1).cast("string"))
+    writers.write_raw_partitions(df, root)
+    back = readers.read_raw_transactions(spark, root, recursive=True)
+    assert sorted((r.year, r.month, r.day, r.amount) for r in back.collect()) == [
+        (2016, 7, 3, 1.0), (2016, 7, 3, 2.0), (2016, 7, 14, 3.0),
+    ]
+    df.drop("day").coalesce(1).write.option("header", True).csv(str(tmp_path / "flat"))
+    with pytest.raises(Exception, match="neither column nor folder for day"):
+        readers.read_raw_transactions(spark, str(tmp_path / "flat"), recursive=True).collect()
+
+
+def test_quotes_and_too_many_fields(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('x,y,z\n"Joe ""The Bar"", North",NY,1\n"a\nb",LA,2\n')
+    rows = readers.read_source(spark, str(path), ["x", "y"], multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [('Joe "The Bar", North', "NY"), ("a\nb", "LA")]
+    path.write_text("x,y,z\n1,2,3\n1,2,3,4\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_source(spark, str(path), ["x"]).collect()
+
+
+def test_a_table_follows_its_folder_and_managed_tables_stay(spark, tmp_path):
+    first, second, table = str(tmp_path / "one's"), str(tmp_path / "two"), "follows_folder"
+    df = small(spark)
+    writers.write_curated(df.where("day = 3"), first)
+    writers.write_curated(df.where("day = 14"), second)
+    assert register_curated_table(spark, table, first).count() == 2
+    assert register_curated_table(spark, table, second).count() == 1
+    assert readers.read_curated(spark, first).count() == 2
+    spark.sql(f"DROP TABLE {table}")
+    df.write.saveAsTable("own_table")
+    with pytest.raises(ValueError, match="no external table"):
+        register_curated_table(spark, "own_table", first, merge_schema=True)
+    assert spark.table("own_table").count() == 3
+    spark.sql("DROP TABLE own_table")
