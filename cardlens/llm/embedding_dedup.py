@@ -7,7 +7,8 @@
    so far, and what a search visits is pruned to a few neighbours in all directions. The
    adjacency lists of a vector from all its parts are united.
 3. Every vector is searched in every part of its clusters: greedily from the medoid, and
-   from what is found in range on along the edges, for as long as there is more in range.
+   from what is found in range on along the edges, in both directions, for as long as there
+   is more in range. A vector that is itself in the part also sets out from there.
    Found pairs are verified by cosine in double precision on the original vectors.
 4. A search gives a count and one edge to the smallest vector of its local component, not
    its pairs. A pair that meets in two clusters counts in the smaller one.
@@ -47,6 +48,7 @@ class Graph:
         self.x = x
         self.medoid = int((x @ x.mean(axis=0)).argmax()) if len(x) else 0
         self.edges = np.full((len(x), DEGREE), -1, np.int64) if edges is None else edges
+        self.both: tuple[np.ndarray, np.ndarray] | None = None
 
     def search(self, queries: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
         """Greedy best-first search of all queries together: ids and similarities, best first."""
@@ -118,9 +120,23 @@ class Graph:
             at += len(batch)
         return self
 
-    def in_range(self, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, vector) with similarity of at least ``least``."""
+    def in_range(self, queries: np.ndarray, least: float, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query, vector) with similarity of at least ``least``.
+
+        ``own`` is a query's place in the graph, or -1.
+        """
+        if self.both is None:
+            a, nth = np.nonzero(self.edges >= 0)
+            b = self.edges[a, nth]
+            key = np.unique(np.concatenate([a * len(self.x) + b, b * len(self.x) + a]))
+            self.both = key % len(self.x), np.searchsorted(key // len(self.x), np.arange(len(self.x) + 1))
+        near_of, starts = self.both
         ids, sims = self.search(queries)
+        there = own >= 0
+        ids = np.concatenate([ids, own[:, None]], axis=1)
+        sims = np.concatenate([sims, np.where(there, 1.0, -np.inf)[:, None]], axis=1)
+        again = (ids[:, :-1] == own[:, None]) & there[:, None]  # found by the search as well
+        ids[:, :-1][again] = -1
         seen = np.zeros((len(queries), len(self.x)), bool)
         line = np.repeat(np.arange(len(queries)), ids.shape[1]).reshape(ids.shape)
         real = ids >= 0
@@ -131,10 +147,12 @@ class Graph:
         while len(new_q):
             next_q, next_v = [], []
             for a in range(0, len(new_q), 8_192):
-                near = self.edges[new_v[a : a + 8_192]]
-                whose = np.repeat(new_q[a : a + 8_192], near.shape[1])
-                near = near.reshape(-1)
-                fresh = (near >= 0) & ~seen[whose, np.maximum(near, 0)]
+                some = new_v[a : a + 8_192]
+                sizes = starts[some + 1] - starts[some]
+                whose = np.repeat(new_q[a : a + 8_192], sizes)
+                ends = np.cumsum(sizes)
+                near = near_of[np.arange(len(whose)) + np.repeat(starts[some] - ends + sizes, sizes)]
+                fresh = ~seen[whose, near]
                 key = np.unique(whose[fresh] * len(self.x) + near[fresh])
                 whose, near = key // len(self.x), key % len(self.x)
                 seen[whose, near] = True
@@ -197,8 +215,10 @@ def _find(left: pa.Table, right: pa.Table, least: float) -> pa.Table:
         cluster = left.column("cluster")[0].as_py()
         asked, ids = _unit(matrix(right.column("v"))), np.asarray(right.column("vec_id"))
         own_homes = matrix(right.column("homes")).astype(np.int64)
+        at = np.minimum(np.searchsorted(names[order], ids), len(names) - 1)
+        own = np.where(names[order][at] == ids, order[at], -1)
         for a in range(0, len(asked), 512):
-            q, v = graph.in_range(asked[a : a + 512], least)
+            q, v = graph.in_range(asked[a : a + 512], least, own[a : a + 512])
             other = names[v] != ids[a + q]
             q, v = q[other], v[other]
             shared = (own_homes[a + q][:, :, None] == homes[v][:, None, :]).any(axis=2)
