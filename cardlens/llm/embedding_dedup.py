@@ -10,8 +10,9 @@
    from what is found in range on along the edges, in both directions, for as long as there
    is more in range. A vector that is itself in the part also sets out from there.
    Found pairs are verified by cosine in double precision on the original vectors.
-4. A search gives a count and one edge to the smallest vector of its local component, not
-   its pairs. A pair that meets in two clusters counts in the smaller one.
+4. A task gives, by vector, the larger ids it found and the smallest id of its local
+   component. A pair counts once for both of its vectors, whichever search, direction or
+   cluster found it.
 
 ``recall`` audits the counts against brute force on a fixed number of vectors.
 """
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from cardlens.llm.tables import union_find
+from cardlens.llm.tables import joinable, union_find
 from cardlens.llm.vectors import distinct_vectors, matrix, usable
 from cardlens.sources.scratch import store
 
@@ -193,9 +194,28 @@ def _build(table: pa.Table) -> pa.Table:
     })
 
 
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest node of the component of each of ``n`` nodes with links (a, b)."""
+    root = np.arange(n)
+    while True:
+        ra, rb = root[a], root[b]
+        low, new = np.minimum(ra, rb), root.copy()
+        np.minimum.at(new, ra, low)
+        np.minimum.at(new, rb, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def _find(left: pa.Table, right: pa.Table, least: float) -> pa.Table:
-    """A part's graph (left) and queries of its cluster (right): links and one edge for each."""
-    out = {"vec_id": [], "links": [], "root": []}
+    """A part's graph (left) and queries of its cluster (right).
+
+    Gives for each vector with a link the larger ids linked to it and the smallest id of
+    its component in this task.
+    """
+    some = np.zeros(0, np.int64)
+    lists, root = pa.array([], pa.list_(pa.int64())), some
     if left.num_rows and right.num_rows:
         names = np.asarray(left.column("vec_id"))
         order = np.argsort(names)
@@ -210,39 +230,38 @@ def _find(left: pa.Table, right: pa.Table, least: float) -> pa.Table:
         edges[owner[fits], nth[fits]] = local[fits]
         x = _unit(matrix(left.column("v")))
         graph = Graph(x, edges)
-        copies = np.asarray(left.column("copies"))
-        homes = matrix(left.column("homes")).astype(np.int64)
-        cluster = left.column("cluster")[0].as_py()
         asked, ids = _unit(matrix(right.column("v"))), np.asarray(right.column("vec_id"))
-        own_homes = matrix(right.column("homes")).astype(np.int64)
         at = np.minimum(np.searchsorted(names[order], ids), len(names) - 1)
         own = np.where(names[order][at] == ids, order[at], -1)
+        everyone = np.unique(np.concatenate([names, ids]))
+        name_at, id_at = np.searchsorted(everyone, names), np.searchsorted(everyone, ids)
+        keys = []
         for a in range(0, len(asked), 512):
             q, v = graph.in_range(asked[a : a + 512], least, own[a : a + 512])
-            other = names[v] != ids[a + q]
-            q, v = q[other], v[other]
-            shared = (own_homes[a + q][:, :, None] == homes[v][:, None, :]).any(axis=2)
-            first = np.where(shared, own_homes[a + q], np.iinfo(np.int64).max).min(axis=1)
-            mine = first == cluster
-            q, v = q[mine], v[mine]
-            n = len(asked[a : a + 512])
-            links = np.bincount(q, copies[v], n).astype(np.int64)
-            root = ids[a : a + n].copy()
-            np.minimum.at(root, q, names[v])
-            some = links > 0
-            out["vec_id"].append(ids[a : a + n][some])
-            out["links"].append(links[some])
-            out["root"].append(root[some])
-            # links to larger vectors also have to hold the component together
-            up = np.flatnonzero(names[v] > ids[a + q])
-            if len(up):
-                high, one = np.unique(v[up], return_index=True)
-                out["vec_id"].append(names[high])
-                out["links"].append(np.zeros(len(high), np.int64))
-                out["root"].append(ids[a + q[up[one]]])
-    return pa.table({
-        name: pa.array(np.concatenate(parts) if parts else [], pa.int64()) for name, parts in out.items()
-    })
+            one, two = id_at[a + q], name_at[v]
+            keys.append(np.unique(np.minimum(one, two) * len(everyone) + np.maximum(one, two)))
+        key = np.unique(np.concatenate(keys))
+        low, high = key // len(everyone), key % len(everyone)
+        low, high = low[low != high], high[low != high]
+        touched = np.unique(np.concatenate([low, high]))
+        cuts = np.append(np.searchsorted(low, touched), len(low)).astype(np.int32)
+        some, root = everyone[touched], everyone[_roots(len(everyone), low, high)[touched]]
+        lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(everyone[high], pa.int64()))
+    return pa.table({"vec_id": pa.array(some, pa.int64()), "larger": lists, "root": pa.array(root, pa.int64())})
+
+
+def _links(found: DataFrame, placed: DataFrame) -> DataFrame:
+    """(vec_id, links): how many rows link to each vector by the pairs of ``found``.
+
+    Pairs are made distinct and then counted for both vectors; only vectors with copies
+    are looked up.
+    """
+    pairs = store(found.select(F.col("vec_id").alias("a"), F.explode("larger").alias("b")).distinct(), "pairs")
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    copied = store(placed.filter("copies > 1").select(F.col("vec_id").alias("b"), "copies"), "copied")
+    return both.join(joinable(copied), "b", "left").groupBy(F.col("a").alias("vec_id")).agg(
+        F.sum(F.coalesce("copies", F.lit(1))).alias("links")
+    )
 
 
 def near_duplicates(rows: DataFrame, least: float = 0.95) -> DataFrame:
@@ -294,22 +313,22 @@ def near_duplicates(rows: DataFrame, least: float = 0.95) -> DataFrame:
     )
     graph = members.join(united, "vec_id").select(
         "cluster", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("asker"),
-        "vec_id", "v", "copies", "homes", "near",
+        "vec_id", "v", "near",
     )
     # aliases make columns of their own, which the cogroup needs to tell both sides apart
     askers = members.select(*[F.col(c).alias(c) for c in members.columns]).select(
         "cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.col("part").alias("asker"), "vec_id", "v", "homes",
+        F.col("part").alias("asker"), "vec_id", "v",
     )
     key = ("cluster", "part", "asker")
     found = store(
         graph.groupBy(*key).cogroup(askers.groupBy(*key)).applyInArrow(
-            partial(_find, least=least), "vec_id bigint, links bigint, root bigint"
+            partial(_find, least=least), "vec_id bigint, larger array<bigint>, root bigint"
         ),
         "found",
     )
     components = union_find(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
+    links = _links(found, placed)
     facts = store(
         placed.join(links, "vec_id", "left")
         .join(components.withColumnRenamed("node", "vec_id"), "vec_id", "left")

@@ -4,6 +4,7 @@ import os
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +164,27 @@ def test_large_part_is_cut(spark, monkeypatch):
     assert all(got[i].n_links >= 0.9 * 149 and got[i].component_id == 0 for i in range(150))
 
 
+def test_links_found_once_count_for_both(spark):
+    found = spark.createDataFrame(
+        [(1, [2, 3], 1), (2, [], 1), (3, [], 1), (1, [2], 1), (2, [5], 2)],  # of three tasks
+        "vec_id bigint, larger array<bigint>, root bigint",
+    )
+    placed = spark.createDataFrame([(1, 1), (2, 1), (3, 4), (5, 1)], "vec_id bigint, copies bigint")
+    got = {r.vec_id: r.links for r in embedding_dedup._links(found, placed).collect()}
+    assert got == {1: 1 + 4, 2: 2, 3: 1, 5: 1}
+
+
+def test_chain_in_one_batch_stays_connected():
+    at = np.deg2rad([0.0, 24.0, 12.0])  # the third links the first two
+    v = pa.array([[np.cos(a), np.sin(a)] for a in at], pa.list_(pa.float64()))
+    near = pa.array([[1, 2], [0, 2], [0, 1]], pa.list_(pa.int64()))
+    column = {"cluster": [0] * 3, "vec_id": [0, 1, 2], "v": v, "copies": [1] * 3, "homes": [[0]] * 3}
+    got = embedding_dedup._find(pa.table(column | {"near": near}), pa.table(column), 0.95)
+    got = {r["vec_id"]: r for r in got.to_pylist()}
+    assert {k: r["larger"] for k, r in got.items()} == {0: [2], 1: [2], 2: []}
+    assert {r["root"] for r in got.values()} == {0}
+
+
 def test_preferences(spark):
     turns = [(0, 0, "system", "be nice"), (0, 1, "user", "hi"), (0, 2, "assistant", "hello"),
              (1, 0, "system", "be nice"), (1, 1, "user", "hi"), (1, 2, "assistant", "go"), (1, 3, "user", "away"),
