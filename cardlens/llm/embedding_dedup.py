@@ -1,12 +1,13 @@
 """Near-duplicate vectors by search in robust-pruned flat graphs.
 
 1. Different vectors are clustered around centroids learnt from a bounded sample. Each
-   goes to its two nearest clusters, so neighbours at a border share one. Clusters of
-   more than ``PART_ROWS`` vectors are cut into parts by hash.
+   goes to its two nearest clusters. Clusters of more than ``PART_ROWS`` vectors are cut
+   into parts by hash.
 2. Each part gets a graph: vectors are inserted in batches, each batch searches the graph
    so far, and what a search visits is pruned to a few neighbours in all directions. The
    adjacency lists of a vector from all its parts are united.
-3. Every vector is searched in every part of its clusters: greedily from the medoid, and
+3. Every vector is searched in every part of every cluster that can be the nearest one of
+   a vector in range (``reach``), whatever the number of clusters: greedily from the medoid, and
    from what is found in range on along the edges, in both directions, for as long as there
    is more in range. A vector that is itself in the part also sets out from there.
    Found pairs are verified by cosine in double precision on the original vectors.
@@ -14,7 +15,10 @@
    component. A pair counts once for both of its vectors, whichever search, direction or
    cluster found it.
 
-``recall`` audits the counts against brute force on a fixed number of vectors.
+5. The stored pairs are audited against brute force on a fixed number of vectors. Below
+   ``LEAST_RECALL`` all is searched again, each vector against the whole parts.
+
+``recall`` makes the same audit of a result.
 """
 
 from __future__ import annotations
@@ -40,6 +44,7 @@ DEGREE = 20
 BEAM = 24
 STRETCH = 1.2  # slack of pruning
 EDGES = OVERLAP * DEGREE
+LEAST_RECALL = 0.995
 
 
 class Graph:
@@ -185,6 +190,23 @@ def centroids(sample: np.ndarray, k: int, sweeps: int = 8, seed: int = 2) -> np.
     return centers
 
 
+def reach(x: np.ndarray, centers: np.ndarray, least: float) -> np.ndarray:
+    """(vectors, clusters): whether a vector within ``least`` may have the cluster as its nearest.
+
+    A neighbour is at least as near to its own center c as to this vector's nearest one d,
+    so its angle to c - d is at most a right one, and the vector's at most larger by the
+    angle between the two vectors.
+    """
+    sims = x @ centers.T
+    if least <= 0:
+        return np.ones(sims.shape, bool)
+    squares = (centers * centers).sum(axis=1)
+    apart = np.sqrt(np.maximum(squares[:, None] + squares - 2 * centers @ centers.T, 0))
+    best = sims.argmax(axis=1)
+    behind = sims[np.arange(len(x)), best][:, None] - sims
+    return behind <= np.sqrt(max(1 - least * least, 0)) * apart[best] + 1e-6
+
+
 def _build(table: pa.Table) -> pa.Table:
     names = np.asarray(table.column("vec_id"))
     edges = Graph(_unit(matrix(table.column("v")))).build().edges
@@ -208,11 +230,11 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _find(left: pa.Table, right: pa.Table, least: float) -> pa.Table:
+def _find(left: pa.Table, right: pa.Table, least: float, whole: bool = False) -> pa.Table:
     """A part's graph (left) and queries of its cluster (right).
 
     Gives for each vector with a link the larger ids linked to it and the smallest id of
-    its component in this task.
+    its component in this task. ``whole``: without the graph, against all vectors.
     """
     some = np.zeros(0, np.int64)
     lists, root = pa.array([], pa.list_(pa.int64())), some
@@ -237,7 +259,10 @@ def _find(left: pa.Table, right: pa.Table, least: float) -> pa.Table:
         name_at, id_at = np.searchsorted(everyone, names), np.searchsorted(everyone, ids)
         keys = []
         for a in range(0, len(asked), 512):
-            q, v = graph.in_range(asked[a : a + 512], least, own[a : a + 512])
+            if whole:
+                q, v = np.nonzero(asked[a : a + 512] @ x.T >= least)
+            else:
+                q, v = graph.in_range(asked[a : a + 512], least, own[a : a + 512])
             one, two = id_at[a + q], name_at[v]
             keys.append(np.unique(np.minimum(one, two) * len(everyone) + np.maximum(one, two)))
         key = np.unique(np.concatenate(keys))
@@ -291,44 +316,66 @@ def near_duplicates(rows: DataFrame, least: float = 0.95) -> DataFrame:
     sample = cells.agg(F.min_by("v", F.struct(F.xxhash64("vec_id"), "vec_id")).alias("v")).select("v").toArrow()
     centers = centroids(_unit(matrix(sample.column("v"))), int(np.clip(-(-count // CLUSTER_ROWS), 1, MAX_CENTROIDS)))
 
-    @arrow_udf("array<int>")
-    def nearest_homes(v: pa.Array) -> pa.Array:
+    @arrow_udf("struct<homes: array<int>, reach: array<int>>")
+    def clusters(v: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.int32())
         if not len(v):
-            return pa.array([], pa.list_(pa.int32()))
-        close = np.argsort(-(_unit(matrix(v)) @ centers.T), axis=1, kind="stable")[:, :OVERLAP]
-        return pa.array(list(close.astype(np.int32)), pa.list_(pa.int32()))
-
-    placed = store(different.withColumn("homes", nearest_homes("v")), "placed-vectors")
-    members = placed.withColumn("cluster", F.explode("homes"))
-    parts = members.groupBy("cluster").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("parts"))
-    members = store(
-        members.join(F.broadcast(parts), "cluster")  # at most MAX_CENTROIDS rows
-        .withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")), "members",
-    )
+            return pa.StructArray.from_arrays([pa.array([], kind)] * 2, ["homes", "reach"])
+        homes, reached = [], []
+        flat = v.flatten()
+        size = len(flat) // len(v)
+        for a in range(0, len(v), 2_048):
+            x = _unit(np.asarray(flat[a * size : (a + 2_048) * size], np.float64).reshape(-1, size))
+            homes += list(np.argsort(-(x @ centers.T), axis=1, kind="stable")[:, :OVERLAP].astype(np.int32))
+            reached += [np.flatnonzero(r).astype(np.int32) for r in reach(x, centers, least)]
+        return pa.StructArray.from_arrays([pa.array(homes, kind), pa.array(reached, kind)], ["homes", "reach"])
+
+    placed = store(different.withColumn("c", clusters("v")).select("vec_id", "v", "copies", "c.*"), "placed-vectors")
+    members = placed.select(F.explode("homes").alias("cluster"), "vec_id", "v")
+
+    def in_parts(rows: DataFrame, name: str) -> DataFrame:
+        # at most MAX_CENTROIDS rows
+        parts = rows.groupBy("cluster").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias(f"{name}s"))
+        return rows.join(F.broadcast(parts), "cluster").withColumn(
+            name, F.pmod(F.xxhash64("vec_id"), F.col(f"{name}s")).cast("int")
+        )
+
+    members = store(in_parts(members, "part"), "members")
     built = members.select("cluster", "part", "vec_id", "v").groupBy("cluster", "part").applyInArrow(
         _build, "vec_id bigint, near array<bigint>"
     )
     united = store(
         built.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "adjacency"
     )
-    graph = members.join(united, "vec_id").select(
-        "cluster", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("asker"),
-        "vec_id", "v", "near",
+    asking = in_parts(placed.select(F.explode("reach").alias("cluster"), "vec_id", "v"), "asker")
+    part_counts = F.broadcast(members.select("cluster", "parts").distinct())  # at most MAX_CENTROIDS rows each
+    asker_counts = F.broadcast(
+        placed.select(F.explode("reach").alias("cluster")).groupBy("cluster")
+        .agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("askers"))
+    )
+    graph = members.join(united, "vec_id").join(asker_counts, "cluster").select(
+        "cluster", "part", F.explode(F.sequence(F.lit(0), F.col("askers") - 1)).alias("asker"), "vec_id", "v", "near",
     )
     # aliases make columns of their own, which the cogroup needs to tell both sides apart
-    askers = members.select(*[F.col(c).alias(c) for c in members.columns]).select(
-        "cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-        F.col("part").alias("asker"), "vec_id", "v",
+    asking = asking.join(part_counts, "cluster")
+    askers = asking.select(*[F.col(c).alias(c) for c in asking.columns]).select(
+        "cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "asker", "vec_id", "v",
     )
     key = ("cluster", "part", "asker")
-    found = store(
-        graph.groupBy(*key).cogroup(askers.groupBy(*key)).applyInArrow(
-            partial(_find, least=least), "vec_id bigint, larger array<bigint>, root bigint"
-        ),
-        "found",
-    )
+    for whole in (False, True):
+        found = store(
+            graph.groupBy(*key).cogroup(askers.groupBy(*key)).applyInArrow(
+                partial(_find, least=least, whole=whole), "vec_id bigint, larger array<bigint>, root bigint"
+            ),
+            "found",
+        )
+        links = store(_links(found, placed), "links")
+        counted = placed.select("vec_id").join(links, "vec_id", "left").select(
+            "vec_id", F.coalesce("links", F.lit(0)).alias("n_links")
+        )
+        if whole or _share(placed.select("vec_id", "v", "copies"), counted, least) >= LEAST_RECALL:
+            break
     components = union_find(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    links = _links(found, placed)
     facts = store(
         placed.join(links, "vec_id", "left")
         .join(components.withColumnRenamed("node", "vec_id"), "vec_id", "left")
@@ -348,17 +395,13 @@ def near_duplicates(rows: DataFrame, least: float = 0.95) -> DataFrame:
     return known.unionByName(others)
 
 
-def recall(rows: DataFrame, result: DataFrame, least: float = 0.95, cells: int = 64) -> float:
-    """Part of the true links that the counts of some vectors hold: one of each cell by hash.
+def _share(points: DataFrame, counted: DataFrame, least: float, cells: int = 64) -> float:
+    """Part of the true links of some of ``points`` (vec_id, v, copies) that ``counted`` holds.
 
-    Brute force of at most ``cells`` vectors against all rows, in blocks.
+    One linked and one unlinked vector of each cell by hash, by brute force in blocks.
     """
-    fine = rows.filter(usable(F.col("embedding"))).select(
-        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")
-    )
     cell = F.pmod(F.xxhash64("vec_id"), F.lit(cells))
-    linked = result.filter("n_links > 0").select("vec_id", "n_links")
-    asked = fine.join(linked, "vec_id").groupBy(cell.alias("cell")).agg(
+    asked = points.join(counted, "vec_id").groupBy(cell.alias("cell"), (F.col("n_links") > 0).alias("linked")).agg(
         F.min_by(F.struct("vec_id", "v", "n_links"), F.struct(F.xxhash64("vec_id"), "vec_id")).alias("r")
     ).select("r.*").toPandas()
     if not len(asked):
@@ -369,8 +412,21 @@ def recall(rows: DataFrame, result: DataFrame, least: float = 0.95, cells: int =
         for b in batches:
             x = _unit(matrix(b.column("v"))) if b.num_rows else np.zeros((0, queries.shape[1]))
             hit = (x @ queries.T >= least) & (np.asarray(b.column("vec_id"))[:, None] != ids)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hit.sum(axis=0))], ["vec_id", "n"])
+            n = (hit * np.asarray(b.column("copies"))[:, None]).sum(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n, pa.int64())], ["vec_id", "n"])
+
+    true = points.mapInArrow(count, "vec_id bigint, n bigint").groupBy("vec_id").agg(F.sum("n").alias("n")).toPandas()
+    true = true.set_index("vec_id").n.reindex(ids).to_numpy()
+    return float(np.minimum(asked.n_links.to_numpy(), true).sum() / true.sum()) if true.sum() else 1.0
 
-    true = fine.mapInArrow(count, "vec_id bigint, n bigint").groupBy("vec_id").agg(F.sum("n").alias("n")).toPandas()
-    total = true.set_index("vec_id").n.reindex(ids).sum()
-    return float(asked.n_links.sum() / total) if total else 1.0
+
+def recall(rows: DataFrame, result: DataFrame, least: float = 0.95, cells: int = 64) -> float:
+    """Part of the true links that the counts of some vectors hold, linked and unlinked ones.
+
+    Brute force of at most ``2 * cells`` vectors against all rows, in blocks.
+    """
+    fine = rows.filter(usable(F.col("embedding"))).select(
+        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"),
+        F.lit(1).alias("copies"),
+    )
+    return _share(fine, result.select("vec_id", "n_links"), least, cells)

@@ -185,6 +185,26 @@ def test_chain_in_one_batch_stays_connected():
     assert {r["root"] for r in got.values()} == {0}
 
 
+def test_neighbours_meet_whatever_the_number_of_clusters(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CLUSTER_ROWS", 12)
+    rng = np.random.default_rng(3)
+    one, shift = rng.normal(size=(2, 300, 32))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    shift -= (shift * one).sum(axis=1, keepdims=True) * one
+    shift /= np.linalg.norm(shift, axis=1, keepdims=True)
+    x = np.vstack([one, 0.951 * one + np.sqrt(1 - 0.951**2) * shift])
+    centers = embedding_dedup.centroids(x, 50)
+    met = embedding_dedup.reach(x[:300], centers, 0.95)[np.arange(300), (x[300:] @ centers.T).argmax(axis=1)]
+    assert met.all()
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df).collect()}
+    close = x @ x.T >= 0.95
+    np.fill_diagonal(close, False)
+    assert [got[i].n_links for i in range(600)] == close.sum(axis=1).tolist()
+    missing = spark.createDataFrame([(i, 0) for i in range(600)], "vec_id bigint, n_links bigint")
+    assert embedding_dedup.recall(df, missing) == 0
+
+
 def test_preferences(spark):
     turns = [(0, 0, "system", "be nice"), (0, 1, "user", "hi"), (0, 2, "assistant", "hello"),
              (1, 0, "system", "be nice"), (1, 1, "user", "hi"), (1, 2, "assistant", "go"), (1, 3, "user", "away"),
