@@ -40,7 +40,7 @@ END = HEAD + TAILS  # the end of a document, also what stands before its first w
 SYMBOLS = END + 1
 CLASSES = HEAD_CLASSES + TAILS + 1
 
-HIDDEN = 12
+HIDDEN = 16
 WINDOW = 16  # steps of truncated backpropagation
 UPDATE_WORDS = 2048  # words whose gradients make one step
 ROUNDS = 3

@@ -221,6 +221,11 @@ def test_language_model(spark, odd_docs, no_docs):
     assert alone.n_known == 0 and alone.base_score == 0 and alone.train_tokens == 0
 
 
+def test_network_is_not_narrowed():
+    assert lm_scoring.HIDDEN >= 16
+    assert lm_scoring.Network.SHAPES["u"] == (lm_scoring.HIDDEN, 3 * lm_scoring.HIDDEN)
+
+
 def test_network_gradient():
     rng = np.random.default_rng(0)
     net = lm_scoring.Network(rng.normal(0, 0.3, lm_scoring.Network.SIZE))
