@@ -8,6 +8,10 @@ texts are scored by table look-ups and sums, without a vector per document.
 Families are told apart by one linear support vector machine each (one against the
 rest); inside the winning family every pair of languages has its own machine, and
 the language with most won duels, then the largest sum of margins, is taken.
+
+Machines only tell learned languages apart. Whether a text is like any of them is judged
+by its likeness: the mean log ratio of the frequency its three-byte n-grams have in a
+language to that by chance, for the most alike language.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ OTHER_FAMILY = "other"
 
 BITS = 12  # n-grams of two and three bytes are hashed to so many bits each
 DIMS = (256, 1 << BITS, 1 << BITS)
+SLACK = 6.0  # by which the likeness of a single n-gram may miss the bound; less by the root of their number
 PACKED = 64.0  # scale of frequencies sent as half floats
 
 # Letters and bytes of longer characters count; all else is a gap.
@@ -59,6 +64,8 @@ class LanguageModel:
     pairs: tuple[tuple[tuple[int, int, int], ...], ...]  # by family
     weights: tuple[np.ndarray, ...]  # by order, one row for each machine
     bias: np.ndarray
+    likeness: np.ndarray  # by language and hashed n-gram of order 3
+    least_likeness: float
 
 
 def _grams(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -140,6 +147,34 @@ def sampled(rows: DataFrame, group: Column, per_group: int) -> DataFrame:
     return found.groupBy("group", "hash").agg(F.min("text").alias("text"))
 
 
+def _log_ratios(frequencies: np.ndarray, letters: float) -> np.ndarray:
+    """Log of the smoothed mean frequency of n-grams to that by chance; 0 for no n-gram."""
+    size = frequencies.shape[1]
+    mean = frequencies.mean(axis=0)
+    mean = (mean * letters + 0.1) / (mean.sum() * letters + 0.1 * size)
+    ratios = np.log(0.99 * size * mean + 0.01).astype(np.float32)
+    ratios[0] = 0
+    return ratios
+
+
+def _likeness(x: np.ndarray, langs: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, float]:
+    """Tables by language, and the likeness that is asked for.
+
+    That is 0, no better than chance, or what all but a hundredth of the training texts
+    reach when one half of a language's texts is judged by the other, if this is less.
+    """
+    tables, reached = [], []
+    for name in sorted(set(langs)):
+        own, size = x[langs == name], letters[langs == name]
+        tables.append(_log_ratios(own, size.sum()))
+        for half in (0, 1):
+            judged, by = own[half::2], own[1 - half :: 2]
+            if len(judged) and len(by):
+                reached.append(judged @ _log_ratios(by, size[1 - half :: 2].sum()))
+    least = float(np.quantile(np.concatenate(reached), 0.01)) if reached else -np.inf
+    return np.array(tables), min(0.0, least)
+
+
 def train(rows: DataFrame, per_language: int = 250) -> LanguageModel | None:
     """Fit on rows with ``text`` and ``lang``: at most ``per_language`` texts a language.
 
@@ -153,12 +188,15 @@ def train(rows: DataFrame, per_language: int = 250) -> LanguageModel | None:
     def vectors(text: pa.Array) -> pa.Array:
         return pa.array([v.astype(np.float16).tobytes() for v in _frequencies(text) * PACKED], pa.binary())
 
-    got = sample.select("group", "hash", vectors(F.lower("text")).alias("v")).toPandas()
+    got = sample.select(
+        "group", "hash", vectors(F.lower("text")).alias("v"), F.length("text").alias("letters")
+    ).toPandas()
     if not len(got):
         return None
     got = got.sort_values(["group", "hash"])
     x = np.stack([np.frombuffer(v, np.float16) for v in got.v]).astype(np.float32)
     cuts = np.cumsum((0,) + DIMS)
+    likeness, least = _likeness(x[:, cuts[2] :] / PACKED, got.group.to_numpy(), got.letters.to_numpy(float))
     scale = []
     for a, b in zip(cuts[:-1], cuts[1:]):  # each order weighs the same
         norm = max(np.linalg.norm(x[:, a:b], axis=1).mean(), 1e-6)
@@ -196,7 +234,7 @@ def train(rows: DataFrame, per_language: int = 250) -> LanguageModel | None:
         table = w[:, a:b] * scale[order]
         table[:, 0] = 0
         tables.append(table.astype(np.float32))
-    return LanguageModel(families, tuple(languages), tuple(pairs), tuple(tables), np.array(rows_b))
+    return LanguageModel(families, tuple(languages), tuple(pairs), tuple(tables), np.array(rows_b), likeness, least)
 
 
 def _sigmoid(margin: np.ndarray) -> np.ndarray:
@@ -243,6 +281,19 @@ def predict(model: LanguageModel, lower: pa.Array) -> tuple[np.ndarray, np.ndarr
     return names, scores
 
 
+def like_learned(model: LanguageModel, lower: pa.Array) -> np.ndarray:
+    """Whether each lower-cased text is like some learned language; few n-grams tell little."""
+    data, offsets = _bounds(lower)
+    alike = np.zeros(len(lower), bool)
+    for first, last in row_slices(offsets):
+        own = offsets[first : last + 1] - offsets[first]
+        index = _grams(data[offsets[first] : offsets[last]], own)[2]
+        n = np.maximum(row_sums(index != 0, own), 1)
+        best = np.max([row_sums(t[index], own) for t in model.likeness], axis=0) / n
+        alike[first:last] = best >= model.least_likeness - SLACK / np.sqrt(n)
+    return alike
+
+
 def identify(text: Column, model: LanguageModel | None) -> Column:
     """Struct (lang_pred, score) of a text.
 
@@ -267,7 +318,7 @@ def identify(text: Column, model: LanguageModel | None) -> Column:
 
 
 def language_stage(docs: DataFrame, least: float = 0.05, held: Column | None = None) -> DataFrame:
-    """Keep the documents whose language is known with a score of at least ``least``.
+    """Keep the documents that are like a learned language, known with a score of at least ``least``.
 
     Columns are those of ``docs``. Learns from the rows of ``docs`` with a language
     (those where ``held`` is not true). Rows that are null or without letters go.
@@ -279,4 +330,11 @@ def language_stage(docs: DataFrame, least: float = 0.05, held: Column | None = N
     if model is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     guess = identify(F.col("text"), model)
-    return docs.filter((guess["lang_pred"] != UNKNOWN) & (guess["score"] >= least))
+
+    @arrow_udf("boolean")
+    def alike(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lower in batches:
+            yield pa.array(like_learned(model, lower), pa.bool_())
+
+    sure = (guess["lang_pred"] != UNKNOWN) & (guess["score"] >= least)
+    return docs.filter(sure & alike(F.lower("text")))

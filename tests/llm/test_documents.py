@@ -1,6 +1,7 @@
 """Language, quality, mixing, pieces, licences and language model on small and odd tables."""
 
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -17,6 +18,8 @@ from cardlens.llm import (
 WORD = re.compile("[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
+SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
+
 
 def split(text):
     return WORD.findall((text or "").translate(LOWER))
@@ -49,6 +52,25 @@ def test_language(spark, odd_docs, no_docs):
     assert language_id.train(odd_docs.filter("doc_id = 100").select("text", "lang")) is None
 
 
+def test_language_stage_drops_what_is_like_no_language(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.filter(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
+    rng = np.random.default_rng(0)
+    gibberish = [
+        " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 9))) for _ in range(60))
+        for _ in range(20)
+    ]
+    unlearned = [
+        "Vanha kettu juoksi metsän läpi ja hyppäsi laiskan koiran yli, koska yöllä oli kylmä ja susi odotti kivien takana.",
+        "Szybki brązowy lis przeskoczył nad leniwym psem i uciekł przed starym szarym wilkiem w ciemną noc nad rzeką.",
+        "Быстрая коричневая лиса перепрыгнула через ленивую собаку и убежала от старого серого волка ночью.",
+    ]
+    odd = spark.createDataFrame([(-1 - i, v, None) for i, v in enumerate(gibberish + unlearned)], docs.schema)
+    kept = language_id.language_stage(docs.unionByName(odd)).select("doc_id")
+    assert kept.filter("doc_id < 0").count() == 0
+    assert kept.filter("doc_id >= 0").count() >= 0.99 * docs.count()
+
+
 def test_linear_machine_separates():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(200, 5)).astype(np.float32)
