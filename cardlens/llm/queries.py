@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlens.llm import (
-    ann_forest, chat_format, embedding_dedup, jaccard_join, language_id, license_scan, lm_scoring,
-    mixing, quality, sentencepiece_codec,
+    ann_forest, centroid_clusters, chat_format, embedding_dedup, fill_in_middle, jaccard_join, language_id,
+    license_scan, line_dedup, lm_scoring, mixing, quality, sentencepiece_codec,
 )
 from cardlens.llm.tables import table
 
@@ -106,6 +106,26 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the rearranged texts, and of what is rebuilt from these."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = docs.select("doc_id", fill_in_middle.fill_in_middle(F.col("text"), F.col("doc_id")).alias("fim"))
+    restored = fill_in_middle.restore(F.col("fim.output"), F.col("fim.form"))
+    return cut.select(
+        "doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+        F.sha2("fim.output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language_id": op2_language_id,
@@ -117,4 +137,7 @@ QUERIES = {
     "op8_ann_forest": op8_ann_forest,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_quality": op10_quality,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_line_dedup": op13_line_dedup,
 }
