@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardlens.config import RuleConfig
 from cardlens.operators import profiling, reports
+from cardlens.operators.cells import ReportCells
 from cardlens.operators.cleaning import clean_source, with_event_ts
 from cardlens.plans.daily import gold_tables, run_daily_batch
 from cardlens.plans.prepare import CANDIDATE_YEARS, TARGET_ROWS, WINDOW_DAYS, prepare_dataset
@@ -44,7 +45,8 @@ def diagnose(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def prepare(spark: SparkSession, args: argparse.Namespace) -> None:
     rows = prepare_dataset(
-        spark, args.input, args.output, args.candidate_years, args.target, args.days
+        spark, args.input, args.output, args.candidate_years, args.target, args.days,
+        approximate=args.approximate,
     )
     show(f"Prepared under {args.output}", profiling.prepared_summary(rows))
 
@@ -63,19 +65,22 @@ def analyze(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
     scored = score_transactions(_raw(spark, args.input), _config(args))
-    scored = store(scored, "scored")  # read by every report below
-    show("Rules", reports.rule_firing_counts(scored))
-    show("Risk levels", reports.risk_level_counts(scored))
-    show("Against the label", reports.overall_alignment(scored))
-    show("Levels by label", reports.risk_fraud_crosstab(scored))
-    show("Precision per rule", reports.rule_precision_simple(scored))
+    if args.save:
+        scored = store(scored, "scored")
+    cells = ReportCells(scored)
+    show("Rules", cells.rule_firing_counts())
+    show("Risk levels", cells.risk_level_counts())
+    show("Against the label", cells.overall_alignment())
+    show("Levels by label", cells.risk_fraud_crosstab())
+    show("Precision per rule", cells.rule_precision_simple())
     if args.save:
         write_scored_csv(scored, args.save)
 
 
 def daily(spark: SparkSession, args: argparse.Namespace) -> None:
     table = run_daily_batch(
-        spark, args.raw, args.curated, args.table, _config(args), dynamic=args.dynamic
+        spark, args.raw, args.curated, args.table, _config(args), dynamic=args.dynamic,
+        staged=not args.in_place,
     )
     show("Risk levels", reports.risk_level_counts(table))
     if args.analytics:
@@ -83,11 +88,11 @@ def daily(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
-    scored = spark.read.parquet(args.curated)
-    show("Risk levels", reports.risk_level_distribution(scored))
-    show("Rules", reports.rule_precision(scored))
-    show("Days", reports.daily_fraud_breakdown(scored))
-    show("Places", reports.fraud_hotspots(scored, all_txns=args.all_txns))
+    cells = ReportCells(spark.table(args.table) if args.table else spark.read.parquet(args.curated))
+    show("Risk levels", cells.risk_level_distribution())
+    show("Rules", cells.rule_precision())
+    show("Days", cells.daily_fraud_breakdown())
+    show("Places", cells.fraud_hotspots(args.all_txns))
 
 
 def _raw(spark: SparkSession, root: str) -> DataFrame:
@@ -119,6 +124,7 @@ def parser() -> argparse.ArgumentParser:
     sub = command(prepare, "input", "output")
     sub.add_argument("--target", type=int, default=TARGET_ROWS)
     sub.add_argument("--days", type=int, default=WINDOW_DAYS)
+    sub.add_argument("--approximate", action="store_true", help="sample in one pass, of about the target's size")
     sub.add_argument("--candidate-years", type=int, nargs="+", default=list(CANDIDATE_YEARS))
     keyed = [command(analyze, "input")]
     sub = command(score, "input")
@@ -127,13 +133,17 @@ def parser() -> argparse.ArgumentParser:
     sub = command(daily, "raw", "curated", "table")
     sub.add_argument("--analytics")
     sub.add_argument("--dynamic", action="store_true")
+    sub.add_argument("--in-place", action="store_true", help="write the curated folder itself, not a folder of the run")
     keyed.append(sub)
     for sub in keyed:
         sub.add_argument("--card-keys", nargs="+", default=list(defaults.card_keys))
     for sub in keyed[1:]:
         sub.add_argument("--velocity-max", type=int, default=defaults.velocity_max)
         sub.add_argument("--quantile-mode", choices=["exact", "approx"], default="exact")
-    sub = command(report, "curated")
+    sub = command(report)
+    scored = sub.add_mutually_exclusive_group(required=True)
+    scored.add_argument("--table")
+    scored.add_argument("--curated", help="a folder of scored days, written in place")
     sub.add_argument("--all-txns", action="store_true")
     return top
 

@@ -1,4 +1,4 @@
-"""An exact-size sample that keeps every fraud."""
+"""Samples that keep every fraud: of exact size, or in one pass of about the size."""
 
 from __future__ import annotations
 
@@ -57,6 +57,45 @@ def sample_keep_fraud(
     return reduce(DataFrame.unionByName, parts)
 
 
+def sample_keep_fraud_approx(
+    df: DataFrame,
+    target: int = 200_000,
+    counts: DataFrame | None = None,
+    seed: int = 42,
+    rank_by: Column | None = None,
+) -> DataFrame:
+    """All rows with ``is_fraud = 1`` plus about as many legitimate ones as fill up ``target``.
+
+    One filter over the rows: a legitimate row stays where its hash lies below a limit that
+    follows from the number of rows and frauds. ``counts`` holds these in one row (``n_rows``,
+    ``n_frauds``), as ``prepared_summary`` gives them or as they are known from day profiles;
+    without it a narrow scan inside the plan counts them. Nothing is run or stored here.
+
+    Rows that differ pass independently, so the legitimate part misses its size by more than
+    ``sample_error_bound`` only once in a million samples. Copies of one row share its hash and
+    stay or go together. The same data gives the same sample however it is split. ``rank_by``
+    replaces the hash by another BIGINT in [0, 2**60), evenly spread.
+    """
+    fraud = F.coalesce(F.col("is_fraud") == 1, F.lit(False))
+    if counts is None:
+        counts = df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(fraud).alias("n_frauds"))
+    frauds = F.coalesce("n_frauds", F.lit(0))
+    legitimate = (F.col("n_rows") - frauds).cast("double")
+    rate = F.greatest(F.lit(float(target)) - frauds, F.lit(0.0)) / F.nullif(legitimate, F.lit(0.0))
+    limit = counts.select(F.floor(F.least(rate, F.lit(1.0)) * float(1 << RANK_BITS)).cast("bigint").alias("n"))
+    own = F.xxhash64(F.lit(seed), *df.columns).bitwiseAND(F.lit((1 << RANK_BITS) - 1))
+    return df.where(fraud | (F.coalesce((own if rank_by is None else rank_by) < limit.scalar(), F.lit(False))))
+
+
+def sample_error_bound(room: int, legitimate: int) -> float:
+    """How far the legitimate part of an approximate sample strays from ``room`` rows of ``legitimate``.
+
+    Five standard deviations of a binomial draw: about one sample in a million strays further.
+    """
+    rate = min(max(room, 0) / legitimate, 1.0) if legitimate else 0.0
+    return 5 * (legitimate * rate * (1 - rate)) ** 0.5
+
+
 def _cut(rows: DataFrame, cell: Column, room: int) -> tuple[int, int] | None:
     """The cell in which ``room`` is passed, and the number of rows in lower ones."""
     counts = rows.groupBy(cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cardlens.sources.schema import DAY_COLUMNS
@@ -47,20 +47,23 @@ def write_raw_partitions(df: DataFrame, root: str, mode: str = "overwrite") -> N
 
 def write_curated(
     df: DataFrame, root: str, dynamic: bool = False, rebalance: bool = True
-) -> None:
-    """Parquet partitioned by day.
+) -> list[tuple[int | None, ...]]:
+    """Parquet partitioned by day; returns the days written, as ``register_days`` takes them.
 
     Replaces everything under ``root``, or with ``dynamic=True`` only the days
     present in ``df``. ``rebalance=False`` saves the shuffle when rows already
-    arrive grouped by day.
+    arrive grouped by day. The days are gathered while the rows are written.
     """
+    written = Observation()
+    seen = df.observe(written, F.collect_set(F.struct(*DAY_COLUMNS)).alias("days"))
     (
-        (by_day(df) if rebalance else df)
+        (by_day(seen) if rebalance else seen)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy(*DAY_COLUMNS)
         .parquet(root)
     )
+    return [tuple(day) for day in written.get["days"]]
 
 
 def write_scored_csv(df: DataFrame, path: str) -> None:

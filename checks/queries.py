@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 
 from cardlens.functions.cleaning import parse_amount, parse_fraud_flag
 from cardlens.operators import cleaning, profiling, reports, rules, windows
+from cardlens.operators.cells import GOLD_REPORTS, ReportCells
 from cardlens.operators.history import Slicing
-from cardlens.operators.sampling import sample_keep_fraud
+from cardlens.operators.sampling import sample_keep_fraud, sample_keep_fraud_approx
 from cardlens.operators.selection import exact_quantiles
-from cardlens.plans.daily import GOLD_REPORTS, gold_tables, run_daily_batch
+from cardlens.plans.daily import gold_tables, run_daily_batch
 from cardlens.plans.prepare import prepare_dataset
 from cardlens.plans.scoring import score_transactions
 from cardlens.sources import readers, writers
-from cardlens.sources.catalog import register_curated_table
+from cardlens.sources.catalog import register_curated_table, register_days
+from cardlens.sources.schema import DAY_COLUMNS
 from cardlens.sources.scratch import new_path
 from checks.adapter import CONFIG, order_days, source_file, source_rows, transactions
 
@@ -177,6 +179,39 @@ def register_curated_moved(spark, sf_dir):
     return registered
 
 
+def register_written_days(spark, sf_dir):
+    """Two writes, each registered by the days it wrote; a day that no write named stays out."""
+    root, table = new_path(spark, "curated"), new_table()
+    rows = transactions(spark, sf_dir)
+    days = writers.write_curated(rows.where("day <= 20"), root)
+    register_days(spark, table, root, days)
+    rows.where("day = 1").drop(*DAY_COLUMNS).write.parquet(f"{root}/year=2023/month=1/day=1")
+    days = writers.write_curated(rows.where("day > 20"), root, dynamic=True)
+    return register_days(spark, table, root, days)
+
+
+def register_days_evolve(spark, sf_dir):
+    """Days up to the 15th lack the risk columns; the later days' files bring them."""
+    root, table = new_path(spark, "curated"), new_table()
+    scored = score_transactions(transactions(spark, sf_dir), CONFIG)
+    early = scored.where(F.col("day") <= 15).drop("risk_score", "risk_level")
+    register_days(spark, table, root, writers.write_curated(early, root))
+    days = writers.write_curated(scored.where(F.col("day") > 15), root, dynamic=True)
+    return register_days(spark, table, root, days, evolve=True)
+
+
+def daily_batch_again(spark, sf_dir):
+    """A run with other weights, then the late days once more with the usual ones."""
+    raw, root, table = raw_zone(spark, sf_dir), new_path(spark, "curated"), new_table()
+    other = replace(CONFIG, weight_amount=20.0)
+    run_daily_batch(spark, raw, root, table, other, extra_types=ID_TYPE)
+    run_daily_batch(spark, raw, root, table, CONFIG, dynamic=True, extra_types=ID_TYPE)
+    late = new_path(spark, "raw")
+    rows = transactions(spark, sf_dir).drop("event_ts").where("day > 20")
+    writers.write_raw_partitions(rows.withColumn("amount", F.lit(1.0)), late)
+    return run_daily_batch(spark, late, root, table, CONFIG, dynamic=True, extra_types=ID_TYPE)
+
+
 def daily_batch(spark, sf_dir):
     return run_daily_batch(
         spark, raw_zone(spark, sf_dir), new_path(spark, "curated"), new_table(),
@@ -364,11 +399,19 @@ def extract_window_days(spark, sf_dir):
     return windows.extract_window(transactions(spark, sf_dir), 2024, 1, range(8, 15))
 
 
-def sample(spark, sf_dir):
-    """Ranked by a digest that SQL can repeat, so that row identity is compared."""
+def digest_rank():
+    """A digest that SQL can repeat, so that row identity is compared."""
     digest = F.md5(F.concat_ws("|", F.lit(42), "txn_id"))
-    rank = F.conv(F.substr(digest, F.lit(1), F.lit(15)), 16, 10).cast("bigint")
-    return sample_keep_fraud(transactions(spark, sf_dir), target=4000, rank_by=rank)
+    return F.conv(F.substr(digest, F.lit(1), F.lit(15)), 16, 10).cast("bigint")
+
+
+def sample(spark, sf_dir):
+    return sample_keep_fraud(transactions(spark, sf_dir), target=4000, rank_by=digest_rank())
+
+
+def sample_approx(spark, sf_dir):
+    """Ranked by the same digest; rows and frauds are counted in the plan."""
+    return sample_keep_fraud_approx(transactions(spark, sf_dir), target=4000, rank_by=digest_rank())
 
 
 def sample_sizes(spark, sf_dir):
@@ -406,6 +449,18 @@ def amount_by_label_odd(spark, sf_dir):
     return profiling.amount_by_label(rows)
 
 
+# Reports that no gold table holds, from the shared cells.
+CELL_REPORTS = ("risk_level_counts", "risk_fraud_crosstab", "rule_precision_simple", "rule_firing_counts", "overall_alignment")
+
+
+def from_cells(name) -> Query:
+    def run(spark, sf_dir):
+        scored = score_transactions(transactions(spark, sf_dir), CONFIG)
+        return getattr(ReportCells(scored), name)()
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "read_source": read_source,
@@ -421,7 +476,10 @@ QUERIES: dict[str, Query] = {
     "register_curated_table": register_curated,
     "register_curated_table_merge_schema": register_curated_merge_schema,
     "register_curated_table_moved": register_curated_moved,
+    "register_days": register_written_days,
+    "register_days_evolve": register_days_evolve,
     "run_daily_batch": daily_batch,
+    "run_daily_batch_again": daily_batch_again,
     **{f"gold_tables_{name}": gold_table(name) for name in GOLD_REPORTS},
     "gold_tables": gold,
     "prepare_dataset": prepare,
@@ -483,6 +541,7 @@ QUERIES: dict[str, Query] = {
     "daily_fraud_breakdown": on_scored(reports.daily_fraud_breakdown),
     "fraud_hotspots": on_scored(reports.fraud_hotspots),
     "fraud_hotspots_all_txns": on_scored(reports.fraud_hotspots, all_txns=True),
+    **{f"{name}_from_cells": from_cells(name) for name in CELL_REPORTS},
     # distributions
     "card_hour_distribution": on_transactions(profiling.card_hour_distribution),
     "card_hour_exceedance": on_transactions(profiling.card_hour_exceedance, limits=(1, 2, 5, 20, 50)),
@@ -513,4 +572,5 @@ QUERIES: dict[str, Query] = {
     "order_by_card_ts": on_transactions(cleaning.order_by_card_ts, tiebreak=TIE),
     "sample_keep_fraud": sample,
     "sample_keep_fraud_sizes": sample_sizes,
+    "sample_keep_fraud_approx": sample_approx,
 }

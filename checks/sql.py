@@ -273,6 +273,27 @@ SQL: dict[str, str] = {
         SCORED,
         f"SELECT {TX_COLUMNS}, date_trunc('minute', event_ts) AS event_ts, {FLAGS} FROM scored",
     ),
+    "register_days": _with(TX, "SELECT * FROM tx"),
+    # days after the 20th come with an amount of 1, with the cuts learnt from them alone
+    "run_daily_batch_again": _with(
+        SCORED
+        + """,
+        late_hours AS (SELECT card_id, date_trunc('hour', event_ts) AS h, count(*) AS n
+                       FROM tx WHERE day > 20 GROUP BY ALL),
+        late_flags AS (
+          SELECT tx.* REPLACE (1.0::DOUBLE AS amount), 0 AS r1_amount_anomaly,
+                 CASE WHEN n > 1 THEN 1 ELSE 0 END AS r2_velocity,
+                 CASE WHEN hour(event_ts) < 5 THEN 1 ELSE 0 END AS r4_odd_hour
+          FROM tx JOIN late_hours l ON l.card_id = tx.card_id AND l.h = date_trunc('hour', tx.event_ts)
+          WHERE day > 20),
+        late AS (SELECT *, CAST(r2_velocity + r4_odd_hour AS DOUBLE) AS risk_score,
+                        CASE WHEN r2_velocity + r4_odd_hour >= 1.5 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
+                 FROM late_flags)""",
+        f"""
+        SELECT {TX_COLUMNS}, date_trunc('minute', event_ts) AS event_ts, {FLAGS} FROM scored WHERE day <= 20
+        UNION ALL SELECT {TX_COLUMNS}, date_trunc('minute', event_ts), {FLAGS} FROM late
+        """,
+    ),
     "gold_tables": _per_rule(
         f"""
         , spots AS ({HOTSPOTS.format(where='WHERE is_fraud = 1')}), days AS ({DAY_BREAKDOWN})
@@ -520,6 +541,16 @@ SQL: dict[str, str] = {
     "order_by_day_time": _with(TX, "SELECT * FROM tx ORDER BY day, time, txn_id"),
     "order_by_card_ts": _with(TX, "SELECT * FROM tx ORDER BY card_id, event_ts, txn_id"),
     "sample_keep_fraud": _with(SAMPLED, "SELECT * EXCLUDE (rn) FROM kept"),
+    "sample_keep_fraud_approx": _with(
+        TX,
+        """
+        , sizes AS (SELECT count(*) AS n, sum(is_fraud) AS frauds FROM tx),
+        limits AS (SELECT CAST(floor(least(CAST(greatest(4000 - frauds, 0) AS DOUBLE)
+                     / CAST(n - frauds AS DOUBLE), 1.0::DOUBLE) * 1152921504606846976.0::DOUBLE) AS BIGINT) AS m FROM sizes)
+        SELECT tx.* FROM tx, limits
+        WHERE is_fraud = 1 OR CAST('0x' || substr(md5('42|' || txn_id), 1, 15) AS BIGINT) < m
+        """,
+    ),
     "sample_keep_fraud_sizes": _with(
         SAMPLED, "SELECT is_fraud, count(*) AS n FROM kept GROUP BY is_fraud"
     ),
@@ -533,6 +564,12 @@ for _variant, _name in {
     "amount_quantile_by_cells": "amount_quantile",
     "state_change_share_sliced": "state_change_share",
     "state_change_within_sliced": "state_change_within",
+    "register_days_evolve": "register_curated_table_merge_schema",
+    "risk_level_counts_from_cells": "risk_level_counts",
+    "risk_fraud_crosstab_from_cells": "risk_fraud_crosstab",
+    "rule_precision_simple_from_cells": "rule_precision_simple",
+    "rule_firing_counts_from_cells": "rule_firing_counts",
+    "overall_alignment_from_cells": "overall_alignment",
     "gold_tables_risk_level_distribution": "risk_level_distribution",
     "gold_tables_rule_precision": "rule_precision",
     "gold_tables_daily_fraud_breakdown": "daily_fraud_breakdown",

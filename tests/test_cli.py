@@ -10,7 +10,11 @@ def test_all_commands(spark, source, tmp_path, capsys):  # noqa: F811
     main(["analyze", "--input", raw])
     main(["score", "--input", raw, "--save", flat, "--velocity-max", "2"])
     main(["daily", "--raw", raw, "--curated", curated, "--table", "cli_table", "--analytics", gold])
-    main(["report", "--curated", curated, "--all-txns"])
+    main(["report", "--table", "cli_table", "--all-txns"])
+    assert spark.table("cli_table").count() == 100
+    main(["daily", "--raw", raw, "--curated", curated, "--table", "cli_table", "--in-place"])
+    main(["report", "--curated", curated])
+    main(["prepare", "--input", source, "--output", f"{raw}2", "--target", "100", "--approximate"])
     shown = capsys.readouterr().out
     assert "|2016|361" not in shown and "|2016|360  |9    |2.5" in shown
     assert "|NULL|361  |10   |" in shown

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardlens.operators import sampling
-from cardlens.operators.sampling import sample_keep_fraud
+from cardlens.operators.profiling import prepared_summary
+from cardlens.operators.sampling import sample_error_bound, sample_keep_fraud, sample_keep_fraud_approx
 
 
 def rows(spark, n=500, frauds=20):
@@ -70,3 +71,35 @@ def test_edges_are_cut_until_small(spark, monkeypatch, ranks):
     got = [r["id"] for r in sample_keep_fraud(df, 1000, rank_by=F.col("r").cast("bigint")).collect()]
     assert len(got) == len(set(got)) == 1000 and set(range(20)) <= set(got)
     assert all(n <= 10 for n in ordered)
+
+
+@pytest.mark.parametrize("target", [0, 20, 300, 2_000, 5_000, 100_000])
+def test_approximate_size_within_the_stated_bound(spark, target):
+    df = rows(spark, 5_000)
+    got = {r["txn_id"] for r in sample_keep_fraud_approx(df, target).collect()}
+    assert set(range(20)) <= got
+    room = max(target - 20, 0)
+    assert abs(len(got) - 20 - min(room, 4_980)) <= sample_error_bound(room, 4_980)
+
+
+def test_approximate_sample_is_one_filter(spark):
+    """Known counts leave a single scan; nothing runs or is stored before the result is asked for."""
+    df = rows(spark)
+    counts = spark.createDataFrame([tuple(prepared_summary(df).first())[:2]], "n_rows bigint, n_frauds bigint")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    first = sample_keep_fraud_approx(df, 100, counts)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    assert "Exchange" not in first._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    pick = lambda d, **k: {r["txn_id"] for r in sample_keep_fraud_approx(d, 100, **k).collect()}
+    assert {r["txn_id"] for r in first.collect()} == pick(df) == pick(df.repartition(7))
+    assert pick(df, seed=43) != pick(df)
+
+
+def test_approximate_sample_of_odd_tables(spark):
+    assert sample_keep_fraud_approx(rows(spark, 0), 10).count() == 0
+    assert sample_keep_fraud_approx(rows(spark, 20), 10).count() == 20  # frauds only
+    assert sample_keep_fraud_approx(rows(spark, 50, 0), 1_000).count() == 50
+    unlabelled = rows(spark).withColumn("is_fraud", F.lit(None).cast("int"))
+    assert sample_keep_fraud_approx(unlabelled, 1_000).count() == 500
+    copies = spark.range(300).select(F.lit(5).alias("txn_id"), F.lit(0).alias("is_fraud"))
+    assert sample_keep_fraud_approx(copies, 100).count() in (0, 300)

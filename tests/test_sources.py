@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardlens.sources import readers, writers
-from cardlens.sources.catalog import register_curated_table
+from cardlens.sources.catalog import ColumnConflict, register_curated_table, register_days, registered_days
 from cardlens.sources.schema import SOURCE_COLUMNS, TRANSACTION_TYPES
 
 HEADER = ",".join(TRANSACTION_TYPES)
@@ -178,3 +178,77 @@ def test_a_table_follows_its_folder_and_managed_tables_stay(spark, tmp_path):
         register_curated_table(spark, "own_table", first, merge_schema=True)
     assert spark.table("own_table").count() == 3
     spark.sql("DROP TABLE own_table")
+
+
+def test_days_register_without_a_listing_of_others(spark, tmp_path):
+    root, table = str(tmp_path / "one's days"), "by_days"
+    df = small(spark)
+    assert writers.write_curated(df.where("day = 3"), root) == [(2016, 7, 3)]
+    register_days(spark, table, root, [(2016, 7, 3)])
+    # a folder that a listing would find, with a file that none may open
+    stray = Path(root) / "year=2016" / "month=7" / "day=5"
+    stray.mkdir()
+    (stray / "part-0.parquet").write_text("no parquet")
+    days = writers.write_curated(df.where("day = 14"), root, dynamic=True)
+    again = register_days(spark, table, root, days)
+    assert days == [(2016, 7, 14)] and again.count() == 3
+    assert register_days(spark, table, root, days).count() == 3
+    assert registered_days(spark, table) == {(2016, 7, 3), (2016, 7, 14)}
+    # days that vanish go where this is asked for
+    assert register_days(spark, table, root, days, only=True).count() == 1
+    assert (Path(root) / "year=2016/month=7/day=3").exists()
+    with pytest.raises(ValueError, match="no day"):
+        register_days(spark, "nothing_yet", root, [])
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_days_without_a_date_and_other_roots(spark, tmp_path):
+    root, table = str(tmp_path / "cur"), "odd_days"
+    df = small(spark).withColumn("year", F.when(F.col("day") == 3, F.col("year")))
+    days = writers.write_curated(df, root)
+    assert sorted(days, key=str) == [(2016, 7, 3), (None, 7, 14)]
+    assert register_days(spark, table, root, days).count() == 3
+    other = str(tmp_path / "other")
+    days = writers.write_curated(small(spark).where("day = 14"), other)
+    moved = register_days(spark, table, other, days)
+    assert [r.amount for r in moved.collect()] == [3.0]
+    spark.sql(f"DROP TABLE {table}")
+    small(spark).write.saveAsTable("own_days")
+    with pytest.raises(ValueError, match="no external table"):
+        register_days(spark, "own_days", other, days)
+    spark.sql("DROP TABLE own_days")
+
+
+def test_new_columns_join_the_entry_and_conflicts_raise(spark, tmp_path):
+    root, table = str(tmp_path / "cur"), "evolving"
+    df = small(spark)
+    register_days(spark, table, root, writers.write_curated(df.where("day = 3"), root))
+    noted = df.where("day = 14").withColumn("Note", F.lit("new"))
+    days = writers.write_curated(noted, root, dynamic=True)
+    assert "Note" not in register_days(spark, table, root, days).columns
+    wide = register_days(spark, table, root, days, evolve=True)
+    assert sorted((r.day, r.Note) for r in wide.where("day = 14").collect()) == [(14, "new")]
+    assert [r.Note for r in wide.where("day = 3").collect()] == [None, None]
+    other = str(tmp_path / "other")
+    days = writers.write_curated(df.where("day = 3").withColumn("amount", F.lit("much")), other)
+    with pytest.raises(ColumnConflict, match="amount is string in the files and double in the table"):
+        register_days(spark, table, root, days, folder=other, evolve=True)
+    assert spark.table(table).count() == 3
+    writers.write_curated(df.where("day = 3").withColumn("amount", F.lit("much")), root, dynamic=True)
+    with pytest.raises(ColumnConflict, match="disagree"):
+        register_curated_table(spark, table, root, merge_schema=True)
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_merging_keeps_the_entry(spark, tmp_path):
+    """Columns are added to the table; it is not declared anew, so its properties stay."""
+    root, table = str(tmp_path / "cur"), "kept_entry"
+    df = small(spark)
+    writers.write_curated(df.where("day = 3"), root)
+    register_curated_table(spark, table, root)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('owner_note' = 'keep')")
+    writers.write_curated(df.where("day = 14").withColumn("note", F.lit("new")), root, dynamic=True)
+    assert register_curated_table(spark, table, root, merge_schema=True).where("note = 'new'").count() == 1
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    assert properties["owner_note"] == "keep"
+    spark.sql(f"DROP TABLE {table}")
