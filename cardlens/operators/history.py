@@ -48,6 +48,7 @@ def previous_row(
     carry: Sequence[str],
     tiebreak: Sequence[str] = (),
     slicing: Slicing = Slicing(),
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``prev_<column>`` for each carried column: its value one row earlier.
 
@@ -55,19 +56,28 @@ def previous_row(
     instant follow ``tiebreak`` if that is one whole number, otherwise a hash of
     the tiebreak columns, or of the whole row if there are none. Rows without a
     key belong to no sequence and get NULL.
+
+    ``before`` holds one earlier row a key (``last_rows``), from which its first row here
+    goes on. They take part in the order as rows of their own, so no join is needed.
     """
     keys, ties = list(keys), list(tiebreak)
-    if len(ties) == 1 and dict(df.dtypes)[ties[0]] in WHOLE_NUMBERS:
-        tie = F.col(ties[0]).cast("bigint")
-    else:
-        tie = F.xxhash64(*(ties or df.columns))
-    rows = df.withColumns({"_at": epoch_us(F.col(at)), "_tie": tie})
+    rows = df.withColumns({"_at": epoch_us(F.col(at)), "_tie": _tie(df, ties)})
+    if before is not None:
+        if not ties:
+            raise ValueError("rows can only go on from earlier ones by a tiebreak that both have")
+        names = dict.fromkeys([*keys, at, *ties, *carry])
+        old = before.select(*names).withColumns({"_at": epoch_us(F.col(at)), "_tie": _tie(before, ties)})
+        rows = rows.withColumn("_old", F.lit(False)).unionByName(
+            old.withColumn("_old", F.lit(True)), allowMissingColumns=True
+        )
     order = [F.col("_at").asc_nulls_last(), "_tie", *ties]
     payload = F.struct(*carry)
 
     names = dict.fromkeys([*keys, "_at", "_tie", *ties, *carry])
-    narrow = store(rows.select(*names), "row-order")
-    cuts = _cuts(narrow, keys, slicing)
+    narrow, cuts = rows.select(*names), []
+    if _any_heavy(narrow, keys, slicing):
+        narrow = store(narrow, "row-order")
+        cuts = _cuts(narrow, keys, slicing)
     rows = _placed(rows, keys, cuts)
     prev = F.lag(payload).over(Window.partitionBy(*keys, "_slice").orderBy(*order))
     rows = rows.withColumn("_prev", prev)
@@ -85,9 +95,42 @@ def previous_row(
             "_prev", F.coalesce("_prev", "_carried")
         )
     prev = F.when(_has_key(keys), F.col("_prev"))
+    if before is not None:
+        rows = rows.where(~F.col("_old"))
     return rows.select(*df.columns, *[prev.getField(c).alias(f"prev_{c}") for c in carry])
 
 
+def last_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    carry: Sequence[str],
+    tiebreak: Sequence[str] = (),
+    before: DataFrame | None = None,
+) -> DataFrame:
+    """The last row of each key in the order of ``previous_row``: keys, ``at``, tiebreak, ``carry``.
+
+    Keys that only ``before`` has keep its row. Rows without a key or a time are left out.
+    Every task keeps one row a key before anything is shuffled.
+    """
+    keys, ties = list(keys), list(tiebreak)
+    names = list(dict.fromkeys([*keys, at, *ties, *carry]))
+    rows = df.select(*names)
+    if before is not None:
+        rows = rows.unionByName(before.select(*names))
+    rows = rows.where(_has_key(keys) & F.col(at).isNotNull())
+    last_first = F.struct(epoch_us(F.col(at)), _tie(rows, ties), *ties)
+    payload = F.struct(*[name for name in names if name not in keys])
+    last = rows.groupBy(*keys).agg(F.max_by(payload, last_first).alias("_last"))
+    return last.select(*keys, "_last.*").select(*names)
+
+
+def _tie(df: DataFrame, ties: list[str]) -> Column:
+    if len(ties) == 1 and dict(df.dtypes)[ties[0]] in WHOLE_NUMBERS:
+        return F.col(ties[0]).cast("bigint")
+    return F.xxhash64(*(ties or df.columns))
+
+
 def trailing_totals(
     df: DataFrame,
     keys: Sequence[str],
@@ -109,16 +152,21 @@ def trailing_totals(
     rows = df.withColumn("_second", second)
     exact = amount.try_cast("decimal(24,6)")
     usable = _has_key(keys) & F.col("_second").isNotNull()
-    moments = store(
+    moments = (
         rows.where(usable)
         .groupBy(*keys, "_second")
         .agg(
             F.coalesce(F.sum(exact), F.lit(0)).cast("decimal(34,6)").alias("_sum"),
             F.count(exact).alias("_count"),
-        ),
-        "moments",
+        )
     )
-    totals = store(_swept(moments, keys, span_seconds, slicing), "trailing")
+    # a moment makes three changes
+    if _any_heavy(rows.where(usable), keys, slicing, each=3):
+        moments = store(moments, "moments")
+        # stored as well: the join can then split the rows of one second
+        totals = store(_swept(moments, keys, span_seconds, slicing, True), "trailing")
+    else:
+        totals = _swept(moments, keys, span_seconds, slicing, False)
     return rows.join(totals, [*keys, "_second"], "left").select(
         *df.columns,
         F.col("_trailing_sum").cast("double").alias("trailing_sum"),
@@ -126,7 +174,9 @@ def trailing_totals(
     )
 
 
-def _swept(moments: DataFrame, keys: list[str], span: int, slicing: Slicing) -> DataFrame:
+def _swept(
+    moments: DataFrame, keys: list[str], span: int, slicing: Slicing, heavy: bool
+) -> DataFrame:
     """A sweep over changes: every moment adds its amount one second later and takes it
     away once the span has passed. A running sum of the changes, read at the moment
     itself, is its trailing total. Running sums, unlike range frames, can be cut
@@ -144,7 +194,7 @@ def _swept(moments: DataFrame, keys: list[str], span: int, slicing: Slicing) ->
     second = F.col("_second")
     events = F.array(event(second + 1, 1), event(second + 1 + span, -1), event(second, 0))
     changes = moments.select(*keys, F.explode(events).alias("_e")).select(*keys, "_e.*")
-    cuts = _cuts(changes, keys, slicing)
+    cuts = _cuts(changes, keys, slicing) if heavy else []
     changes = _placed(changes, keys, cuts)
     so_far = (
         Window.partitionBy(*keys, "_slice")
@@ -196,6 +246,15 @@ def _placed(rows: DataFrame, keys: list[str], cuts: Sequence[DataFrame]) -> Data
     return rows
 
 
+def _any_heavy(rows: DataFrame, keys: list[str], slicing: Slicing, each: int = 1) -> bool:
+    """Whether some key has more than ``heavy_rows`` rows, of which each counts ``each`` times.
+
+    One aggregate over the keys; where it finds none, nothing has to be cut or stored.
+    """
+    counts = rows.where(_has_key(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return not counts.where(F.col("_rows") * each > slicing.heavy_rows).isEmpty()
+
+
 def _cuts(rows: DataFrame, keys: list[str], slicing: Slicing) -> list[DataFrame]:
     """Round by round the short list of groups that are too large and how to cut them.
 

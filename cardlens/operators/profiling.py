@@ -7,11 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.functions.cleaning import finite, trim_flag
+from cardlens.functions.cleaning import trim_flag
 from cardlens.operators.history import Slicing
 from cardlens.operators.rules import card_hour_counts, card_previous_txn, is_state_change
-from cardlens.operators.selection import quantiles_of, value_counts
-from cardlens.sources.scratch import store
+from cardlens.operators.selection import summaries
 
 # Percentiles and limits of the distribution reports.
 CARD_HOUR_PERCENTILES = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
@@ -202,29 +201,14 @@ def describe(
     distinct values; a label with no value left has count 0 and NULLs, and rows without
     a label are left out.
     """
-    by = list(by)
-    rows = df.select(*by, finite(value.cast("double")).alias("v"))
-    rows = rows.dropna(subset=by) if by else rows
-    moments = rows.groupBy(*by).agg(
-        F.count("v").alias("count"),
-        F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-    )
-    counts = store(value_counts(rows, F.col("v"), by), "value-counts")
-    found = quantiles_of(counts, percentiles, by).select(*by, F.struct(*percentiles).alias("_q"))
-    if by:
-        described = moments.join(found, by, "left")
-    else:
-        described = moments.withColumn("_q", found.scalar())
-    return described.select(
+    rows = df.dropna(subset=list(by)) if by else df
+    found = summaries(rows, value, percentiles, by)
+    return found.select(
         *by,
         "count",
-        F.round("mean", 6).alias("mean"),
-        F.round("std", 6).alias("std"),
+        *[F.round(name, 6).alias(name) for name in ("mean", "std")],
         "min",
-        *[F.round(F.col("_q").getField(name), 6).alias(name) for name in percentiles],
+        *[F.round(name, 6).alias(name) for name in percentiles],
         "max",
     )
 

@@ -52,13 +52,18 @@ def with_card_stats(df: DataFrame, config: RuleConfig = DEFAULTS) -> DataFrame:
 
 
 def amount_ceilings(df: DataFrame, config: RuleConfig = DEFAULTS) -> DataFrame:
-    """Per card, the amount above which a transaction is unusual, if below the limit.
+    """Per card, the amount above which a transaction is unusual, if below the limit."""
+    return ceilings_of(card_stats(df, config.card_keys), config)
+
+
+def ceilings_of(stats: DataFrame, config: RuleConfig = DEFAULTS) -> DataFrame:
+    """``amount_ceilings`` of known ``card_stats``, of whatever days they are.
 
     Rounded to a millionth: the last bits of a mean depend on summation order,
     and must not decide over a card that always pays the same amount.
     """
     ceiling = F.col("card_mean") + config.amount_std_factor * F.col("card_std")
-    ceilings = card_stats(df, config.card_keys).select(
+    ceilings = stats.select(
         *config.card_keys, F.round(ceiling, 6).alias("amount_ceiling")
     )
     # from the limit upwards a ceiling changes nothing, so such cards are left out
@@ -234,10 +239,15 @@ def card_previous_txn(
     card_keys: Sequence[str] = ("card_id",),
     tiebreak: Sequence[str] = (),
     slicing: Slicing = Slicing(),
+    before: DataFrame | None = None,
 ) -> DataFrame:
-    """Time and state of the card's previous transaction, and minutes since then."""
+    """Time and state of the card's previous transaction, and minutes since then.
+
+    ``before`` holds the last transactions of the days before (``last_txns``); then ``df`` is
+    only what came after them.
+    """
     rows = previous_row(
-        df, card_keys, "event_ts", ["event_ts", "merchant_state"], tiebreak, slicing
+        df, card_keys, "event_ts", ["event_ts", "merchant_state"], tiebreak, slicing, before
     )
     return rows.withColumnsRenamed(
         {"prev_event_ts": "prev_ts", "prev_merchant_state": "prev_state"}

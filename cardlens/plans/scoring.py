@@ -32,10 +32,10 @@ def rule_inputs(df: DataFrame, config: RuleConfig = rules.DEFAULTS) -> RuleInput
         return joinable(facts, config.lazy, config.broadcast_rows)
 
     quantile = rules.amount_quantile(df, config)
+    if config.quantile_mode == "approx" and not config.lazy:
+        quantile = store(quantile, "quantile")
     return RuleInputs(
-        ready(rules.amount_ceilings(df, config)),
-        ready(rules.busy_hours(df, config)),
-        quantile if config.lazy else store(quantile, "quantile"),
+        ready(rules.amount_ceilings(df, config)), ready(rules.busy_hours(df, config)), quantile
     )
 
 

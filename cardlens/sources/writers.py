@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -69,3 +71,40 @@ def write_curated(
 def write_scored_csv(df: DataFrame, path: str) -> None:
     """Flat header CSV of the scored table."""
     df.write.mode("overwrite").options(header=True, quote='"', escape='"', timestampNTZFormat=MICROSECONDS).csv(path)
+
+
+def write_quarantine(bad: DataFrame, folder: str) -> int:
+    """Add bad records (``Parsed.bad``) to a side folder and return how many they were.
+
+    They are written as Parquet, so that their text stays as it is.
+    """
+    counted = Observation()
+    bad.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(folder)
+    return counted.get["n"]
+
+
+def write_by_card(
+    df: DataFrame,
+    table: str,
+    path: str,
+    card_keys: Sequence[str] = ("card_id",),
+    order: Sequence[str] = ("event_ts",),
+    buckets: int = 200,
+) -> DataFrame:
+    """Store ``df`` as ``table`` with the rows of a card in one bucket, and return the table.
+
+    Joins and windows by the card keys read buckets as they are, without an exchange. Rows
+    are brought together before the write, so a bucket is one file, sorted by card and
+    ``order``. Choose ``buckets`` so that one holds a few hundred MB. A card that holds a large
+    share of all rows makes its bucket large; ``card_previous_txn`` still cuts it into slices,
+    at the price of an exchange.
+    """
+    (
+        df.repartition(buckets, *card_keys)
+        .write.mode("overwrite")
+        .bucketBy(buckets, *card_keys)
+        .sortBy(*card_keys, *order)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return df.sparkSession.table(table)

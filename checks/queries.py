@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlens.functions.cleaning import parse_amount, parse_fraud_flag
-from cardlens.operators import cleaning, profiling, reports, rules, windows
+from cardlens.operators import cleaning, daily_state, profiling, reports, rules, windows
 from cardlens.operators.cells import GOLD_REPORTS, ReportCells
 from cardlens.operators.history import Slicing
 from cardlens.operators.sampling import sample_keep_fraud, sample_keep_fraud_approx
@@ -21,7 +21,7 @@ from cardlens.plans.scoring import score_transactions
 from cardlens.sources import readers, writers
 from cardlens.sources.catalog import register_curated_table, register_days
 from cardlens.sources.schema import DAY_COLUMNS
-from cardlens.sources.scratch import new_path
+from cardlens.sources.scratch import new_path, store
 from checks.adapter import CONFIG, order_days, source_file, source_rows, transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -431,6 +431,91 @@ def card_previous_txn_sliced(spark, sf_dir):
     return rows.select("txn_id", "prev_ts", "prev_state", "gap_min")
 
 
+# Three parts of the month that are learnt one after another.
+PARTS = ("day <= 12", "day BETWEEN 13 AND 20", "day > 20")
+
+
+def learnt_by_days(spark, sf_dir, name, learn):
+    """What ``learn`` keeps of each part, by day; one part is learnt twice."""
+    rows, path = transactions(spark, sf_dir), new_path(spark, name)
+    for part in (*PARTS, PARTS[1]):
+        writers.write_curated(learn(rows.where(part)), path, dynamic=True)
+    return readers.read_curated(spark, path)
+
+
+def card_stats_by_days(spark, sf_dir):
+    stats = daily_state.merged_card_stats(learnt_by_days(spark, sf_dir, "moments", daily_state.card_day_moments))
+    return stats.select(
+        "card_id", F.round("card_mean", 6).alias("card_mean"), F.round("card_std", 6).alias("card_std")
+    )
+
+
+def rule_amount_anomaly_by_days(spark, sf_dir):
+    """All rows against ceilings that were learnt day by day."""
+    stats = daily_state.merged_card_stats(learnt_by_days(spark, sf_dir, "moments", daily_state.card_day_moments))
+    ceilings = rules.ceilings_of(stats, CONFIG)
+    rows = rules.rule_amount_anomaly(transactions(spark, sf_dir), CONFIG, ceilings)
+    return rows.select("txn_id", "r1_amount_anomaly")
+
+
+def amount_quantile_by_days(spark, sf_dir):
+    """The quantile of merged daily sketches, and whether its exact rank is within 1 % of 0.9."""
+    sketches = learnt_by_days(spark, sf_dir, "sketches", daily_state.amount_sketches)
+    bounds = daily_state.rank_bounds(transactions(spark, sf_dir), daily_state.merged_quantile(sketches, 0.9))
+    near = (F.col("below") <= 0.91) & (F.col("up_to") >= 0.89)
+    return bounds.select(F.col("n").alias("n_amounts"), near.alias("within_bound"))
+
+
+def card_previous_txn_by_days(spark, sf_dir):
+    """Each part sees only its own rows and the last transactions that the parts before left."""
+    rows, last, found = transactions(spark, sf_dir), None, []
+    for part in PARTS:
+        own = rows.where(part)
+        found.append(rules.card_previous_txn(own, tiebreak=TIE, before=last))
+        last = store(daily_state.last_txns(own, tiebreak=TIE, before=last), "last-txns")
+    return found[0].unionByName(found[1]).unionByName(found[2]).select("txn_id", "prev_ts", "prev_state", "gap_min")
+
+
+def card_previous_txn_bucketed(spark, sf_dir):
+    path = new_path(spark, "by-card")
+    rows = writers.write_by_card(transactions(spark, sf_dir), new_table(), path, order=("event_ts", "txn_id"), buckets=8)
+    return rules.card_previous_txn(rows, tiebreak=TIE).select("txn_id", "prev_ts", "prev_state", "gap_min")
+
+
+def damaged_file(spark, sf_dir) -> str:
+    """The source file with a field too many in some records and too few in others."""
+    path = new_path(spark, "source")
+    rows = source_rows(spark, sf_dir)
+    names = [c for c in rows.columns if c != "Note"]
+    fields = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in names]
+    at = F.col("Note").cast("bigint")
+    n = F.pmod(at, F.lit(50))
+    line = F.when(n == 0, F.concat_ws(",", *fields, F.lit("more"))).when(n == 1, F.concat_ws(",", *fields[:5]))
+    lines = rows.select(
+        F.pmod(at, F.lit(4)).alias("part"), at.alias("at"), line.otherwise(F.concat_ws(",", *fields)).alias("value")
+    )
+    # every file begins with the header
+    headers = spark.range(4).select(F.col("id").alias("part"), F.lit(-1).alias("at"), F.lit(",".join(names)).alias("value"))
+    files = lines.unionByName(headers).repartition(4, "part").sortWithinPartitions("part", "at")
+    files.select("part", "value").write.partitionBy("part").text(path)
+    return f"{path}/part=*"
+
+
+def parse_source_good(spark, sf_dir):
+    return cleaning.clean_source(readers.parse_source(spark, damaged_file(spark, sf_dir)).good)
+
+
+def parse_source_quarantine(spark, sf_dir):
+    """Bad records in the side folder, and what the writer counted; with the good ones they are all."""
+    parsed = readers.parse_source(spark, damaged_file(spark, sf_dir))
+    folder = new_path(spark, "quarantine")
+    written = writers.write_quarantine(parsed.bad, folder)
+    kept = spark.read.parquet(folder).agg(F.count("record").alias("n_bad"))
+    return parsed.good.agg(F.count(F.lit(1)).alias("n_good")).crossJoin(kept).select(
+        "n_good", "n_bad", F.lit(written).cast("bigint").alias("n_written")
+    )
+
+
 def amount_quantile_by_cells(spark, sf_dir):
     rows = transactions(spark, sf_dir)
     return exact_quantiles(rows, F.col("amount"), {"amount_quantile": 0.9})
@@ -469,6 +554,8 @@ QUERIES: dict[str, Query] = {
     "read_raw_transactions_own_recursive": read_raw_transactions_own_recursive,
     "read_raw_transactions_quoted": read_raw_transactions_quoted,
     "read_source_quoted": read_source_quoted,
+    "parse_source": parse_source_good,
+    "parse_source_quarantine": parse_source_quarantine,
     "write_raw_partitions": write_raw_partitions,
     "write_curated": write_curated,
     "write_curated_dynamic": write_curated_dynamic,
@@ -498,6 +585,9 @@ QUERIES: dict[str, Query] = {
     # rules
     "card_stats": card_stats,
     "card_stats_per_row": card_stats_per_row,
+    "card_stats_by_days": card_stats_by_days,
+    "rule_amount_anomaly_by_days": rule_amount_anomaly_by_days,
+    "amount_quantile_by_days": amount_quantile_by_days,
     "rule_amount_anomaly": rule_alone(rules.rule_amount_anomaly, "r1_amount_anomaly", CONFIG),
     "txns_per_card_hour": txns_per_card_hour,
     "rule_velocity": rule_alone(rules.rule_velocity, "r2_velocity", CONFIG),
@@ -547,6 +637,8 @@ QUERIES: dict[str, Query] = {
     "card_hour_exceedance": on_transactions(profiling.card_hour_exceedance, limits=(1, 2, 5, 20, 50)),
     "card_previous_txn": card_previous_txn,
     "card_previous_txn_sliced": card_previous_txn_sliced,
+    "card_previous_txn_by_days": card_previous_txn_by_days,
+    "card_previous_txn_bucketed": card_previous_txn_bucketed,
     "state_change_gap_distribution": on_transactions(
         profiling.state_change_gap_distribution, tiebreak=TIE
     ),

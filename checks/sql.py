@@ -250,6 +250,12 @@ SQL: dict[str, str] = {
         f"SELECT * REPLACE ({QUOTED.format(city='merchant_city')} AS merchant_city) "
         f"FROM (SELECT {CLEAN_COLUMNS} FROM clean)",
     ),
+    "parse_source": _with(SOURCE, f"SELECT {CLEAN_COLUMNS} FROM clean WHERE txn_id % 50 > 1"),
+    "parse_source_quarantine": _with(
+        SOURCE,
+        "SELECT count(*) FILTER (txn_id % 50 > 1) AS n_good, count(*) FILTER (txn_id % 50 <= 1) AS n_bad, "
+        "count(*) FILTER (txn_id % 50 <= 1) AS n_written FROM clean",
+    ),
     "write_raw_partitions": _with(
         TX,
         "SELECT printf('year=%04d/month=%02d/day=%02d', year, month, day) AS folder, txn_id, time, amount, "
@@ -384,6 +390,7 @@ SQL: dict[str, str] = {
     ),
     "rule_velocity": _velocity(1),
     "amount_quantile": _with(TX, "SELECT quantile_cont(amount, 0.9) AS amount_quantile FROM tx"),
+    "amount_quantile_by_days": _with(TX, "SELECT count(amount) AS n_amounts, TRUE AS within_bound FROM tx"),
     "amount_quantile_approx": _with(
         TX, "SELECT quantile_disc(amount, 0.9) AS amount_quantile FROM tx"
     ),
@@ -559,6 +566,10 @@ SQL: dict[str, str] = {
 # The same results by the paths for large tables.
 for _variant, _name in {
     "card_previous_txn_sliced": "card_previous_txn",
+    "card_previous_txn_by_days": "card_previous_txn",
+    "card_previous_txn_bucketed": "card_previous_txn",
+    "card_stats_by_days": "card_stats",
+    "rule_amount_anomaly_by_days": "rule_amount_anomaly",
     "rule_amount_rolling_sliced": "rule_amount_rolling_3d",
     "state_change_gap_distribution_sliced": "state_change_gap_distribution",
     "amount_quantile_by_cells": "amount_quantile",

@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from cardlens.operators import selection
 from cardlens.operators.selection import exact_quantiles
 
 PS = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p90": 0.9, "p99": 0.99, "p100": 1.0}
@@ -31,9 +32,28 @@ def test_uniform_repeated_and_single(spark):
     check(spark, [-1e300, -1.0, -1e-300, 0.0, 1e-300, 1.0, 1e300])
 
 
-def test_values_inside_one_cell(spark):
-    """All values share a first-round cell, so the second round decides."""
+@pytest.mark.parametrize("few", [1, 10_000])
+def test_values_inside_one_cell(spark, monkeypatch, few):
+    """All values share a first-round cell, so later rounds decide, however many they are."""
+    monkeypatch.setattr(selection, "FEW_VALUES", few)
     check(spark, 1000.0 + np.arange(5000) * 1e-6)
+    check(spark, np.concatenate([np.full(900, -7.5), -7.5 - np.geomspace(1e-9, 1e-3, 300)]))
+
+
+def test_summaries_agree_with_numpy(spark):
+    rng = np.random.default_rng(3)
+    rows = [(g, float(v)) for g, shift in ((0, 1e9), (1, 0.0), (None, -5.0)) for v in rng.normal(shift, 0.5, 400)]
+    df = spark.createDataFrame(rows + [(2, None), (0, float("nan"))], "g int, v double")
+    got = {r["g"]: r for r in selection.summaries(df, F.col("v"), PS, ["g"]).collect()}
+    assert tuple(got[2])[1:] == (0, *[None] * 10)
+    for g in (0, 1, None):
+        x = np.array([v for k, v in rows if k == g])
+        assert got[g]["count"] == 400 and got[g]["min"] == x.min() and got[g]["max"] == x.max()
+        assert got[g]["mean"] == pytest.approx(x.mean(), rel=1e-12)
+        assert got[g]["std"] == pytest.approx(x.std(ddof=1), rel=1e-6 if g == 0 else 1e-12)  # a mean of 1e9 has no more digits
+    lone = selection.summaries(df.limit(1), F.col("v"), PS).first()
+    assert lone["count"] == 1 and lone["std"] is None
+    assert tuple(selection.summaries(df.limit(0), F.col("v"), PS).first()) == (0, *[None] * 10)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -3,6 +3,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from cardlens.operators import rules
 from cardlens.sources import readers, writers
 from cardlens.sources.catalog import ColumnConflict, register_curated_table, register_days, registered_days
 from cardlens.sources.schema import SOURCE_COLUMNS, TRANSACTION_TYPES
@@ -252,3 +253,51 @@ def test_merging_keeps_the_entry(spark, tmp_path):
     properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     assert properties["owner_note"] == "keep"
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_bad_records_are_set_aside(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text('x,y,z\n1,2,3\n1,2,3,4\n"a, ""b""",5,6\nlone\n\n,,\n7,8\n')
+    parsed = readers.parse_source(spark, str(path), ["z", "x"])
+    assert sorted(map(tuple, parsed.good.collect()), key=str) == [("3", "1"), ("6", 'a, "b"'), (None, None)]
+    assert sorted(r.record for r in parsed.bad.collect()) == ["1,2,3,4", "7,8", "lone"]
+    assert parsed.good.count() == 3 and parsed.bad.count() == 3
+    assert {r.file.rsplit("/", 1)[1] for r in parsed.bad.collect()} == {"a.csv"}
+    folder = str(tmp_path / "side")
+    assert writers.write_quarantine(parsed.bad, folder) == 3
+    assert writers.write_quarantine(parsed.bad.limit(0), folder) == 0
+    assert spark.read.parquet(folder).count() == 3
+    with pytest.raises(Exception, match="(?i)malformed"):  # the default stays strict
+        readers.read_source(spark, str(path), ["x"]).collect()
+
+
+def test_bad_records_of_a_raw_zone(spark, nested):
+    file = Path(nested) / "year=2016" / "month=07" / "day=03" / "part.csv"
+    file.write_text(file.read_text() + "8,1,2016\n")
+    parsed = readers.parse_raw_transactions(spark, nested)
+    assert parsed.good.dtypes == list(TRANSACTION_TYPES.items())
+    assert parsed.good.count() == 6
+    bad = parsed.bad.collect()
+    assert [r.record for r in bad] == ["8,1,2016"] and "day=03" in bad[0].file
+    (file.parent / "part2.csv").write_text("y,x\n2,1\n")
+    with pytest.raises(Exception, match="header"):
+        readers.parse_raw_transactions(spark, nested).good.collect()
+
+
+def test_cards_in_buckets_need_no_exchange(spark, tmp_path):
+    rows = spark.range(400).selectExpr(
+        "id AS txn_id", "id % 7 AS card_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id % 90) AS event_ts",
+        "CASE WHEN id % 3 > 0 THEN cast(id % 5 AS string) END AS merchant_state", "cast(id AS double) AS amount",
+    )
+    kept = writers.write_by_card(rows, "by_card", str(tmp_path / "by card"), order=("event_ts", "txn_id"), buckets=4)
+    before = rules.card_previous_txn(kept, tiebreak=("txn_id",))
+    plan = before._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" in plan
+    want = rules.card_previous_txn(rows, tiebreak=("txn_id",))
+    assert sorted(map(str, before.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    stats = rules.card_stats(kept)
+    assert "Exchange" not in stats._jdf.queryExecution().executedPlan().toString()
+    assert len(list((tmp_path / "by card").glob("*.parquet"))) <= 4
+    again = writers.write_by_card(rows.limit(10), "by_card", str(tmp_path / "by card"), buckets=4)
+    assert again.count() == 10
+    spark.sql("DROP TABLE by_card")
