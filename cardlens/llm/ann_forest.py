@@ -80,11 +80,11 @@ class Forest:
 
 def _search(key, left: pa.Table, right: pa.Table, k: int, mean: np.ndarray, share: float) -> pa.Table:
     """One shard (left) and one block of queries (right) to the shard's nearest vectors."""
-    queries, scores, ids = [], [], []
+    queries, asks, scores, ids = [], [], [], []
     if left.num_rows and right.num_rows:
         vectors, asked = matrix(left.column("v")), matrix(right.column("v"))
         names, lists = np.asarray(left.column("vec_id")), left.column("ids").combine_chunks()
-        query_ids = np.asarray(right.column("query_id"))
+        query_ids, ask_ids = np.asarray(right.column("query_id")), np.asarray(right.column("ask"))
         least = max(LEAST, int(np.ceil(share * len(vectors))))
         forest = Forest(vectors, mean)
         for a in range(0, len(asked), 256):
@@ -93,13 +93,14 @@ def _search(key, left: pa.Table, right: pa.Table, k: int, mean: np.ndarray, shar
                 distance = np.sqrt((d * d).sum(axis=1))
                 best = np.lexsort((names[some], distance))[: k + 1]
                 queries += [query_ids[i]] * len(best)
+                asks += [ask_ids[i]] * len(best)
                 scores += distance[best].tolist()
                 ids += some[best].tolist()
         lists = lists.take(pa.array(ids, pa.int64()))
     else:
         lists = pa.array([], pa.list_(pa.int64()))
     return pa.table({
-        "query_id": pa.array(queries, pa.int64()), "score": pa.array(scores, pa.float64()),
+        "query_id": pa.array(queries, pa.int64()), "ask": pa.array(asks, pa.int64()), "score": pa.array(scores, pa.float64()),
         "ids": lists.cast(pa.list_(pa.int64())),
     })
 
@@ -109,11 +110,14 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, share: float = SHARE
 
     Every row where ``is_query`` holds is asked against all other rows; ties go to the
     smaller id. Vectors that are null, zero, or hold null or non-finite components, or
-    whose length is not that of most vectors, take no part. Equal vectors are searched
-    once and listed by id; an id on several rows with equal vectors counts once. With
-    fewer candidates all are returned; an empty table gives none.
+    whose length is not that of most vectors, take no part, nor do rows without id. Equal
+    vectors are searched once and listed by id; rows of one id and one vector are one row.
+    Different vectors of one id are rows of their own: each asks for itself, and finds the
+    others. With fewer candidates all are returned; an empty table gives none.
     """
-    rows = rows.select("vec_id", "embedding", is_query.alias("asks")).filter(usable(F.col("embedding")))
+    rows = rows.select("vec_id", "embedding", is_query.alias("asks")).filter(
+        usable(F.col("embedding")) & F.col("vec_id").isNotNull()
+    )
     sizes = rows.groupBy(F.size("embedding").alias("size")).agg(F.count("*").alias("n"))
     common = sizes.orderBy(F.desc("n"), "size").first()
     spark = rows.sparkSession
@@ -128,6 +132,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, share: float = SHARE
     asking = rows.filter("asks").select(
         F.col("vec_id").cast("bigint").alias("query_id"), F.col("embedding").cast("array<double>").alias("v")
     )
+    # copies of a query ask once; ``ask`` tells different vectors of one id apart
+    asking = asking.distinct().withColumn("ask", F.xxhash64("v"))
     asked = asking.count()
     blocks = max(1, -(-asked // BLOCK_ROWS))
 
@@ -139,12 +145,11 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 10, share: float = SHARE
     to_all = asking.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
     to_all = to_all.withColumn("shard", every(shards))
     found = dealt.groupBy("shard", "block").cogroup(to_all.groupBy("shard", "block")).applyInArrow(
-        partial(_search, k=k, mean=mean, share=share), "query_id bigint, score double, ids array<bigint>"
+        partial(_search, k=k, mean=mean, share=share), "query_id bigint, ask bigint, score double, ids array<bigint>"
     )
-    # copies of a query with one id ask once
-    each = found.select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id != query_id").distinct()
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = each.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    each = found.select("query_id", "ask", "score", F.explode("ids").alias("vec_id"))
+    # the query's own row: its id at no distance
+    others = each.filter((F.col("vec_id") != F.col("query_id")) | (F.col("score") > 0))
+    order = Window.partitionBy("query_id", "ask").orderBy("score", "vec_id")
+    ranked = others.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
-
-

@@ -6,8 +6,8 @@
 2. Each part gets a graph: vectors are inserted in batches, each batch searches the graph
    so far, and what a search visits is pruned to a few neighbours in all directions. The
    adjacency lists of a vector from all its parts are united.
-3. Every vector is searched in every part of every cluster that can be the nearest one of
-   a vector in range (``reach``), whatever the number of clusters: greedily from the medoid, and
+3. Every vector is searched in every part of every cluster that is likely to be the nearest one
+   of a vector in range (``reach``), whatever the number of clusters: greedily from the medoid, and
    from what is found in range on along the edges, in both directions, for as long as there
    is more in range. A vector that is itself in the part also sets out from there.
    Found pairs are verified by cosine in double precision on the original vectors.
@@ -16,18 +16,22 @@
    cluster found it.
 
 5. The stored pairs are audited against brute force on a fixed number of vectors. Below
-   ``LEAST_RECALL`` all is searched again, each vector against the whole parts.
+   ``LEAST_RECALL`` all is searched again with a wider margin, then in every cluster that can
+   at all be the nearest, and in the end each vector against the whole parts.
+
+Vectors are told apart by numbers of their own, not by their ids, which rows may share.
 
 ``recall`` makes the same audit of a result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -45,6 +49,7 @@ BEAM = 24
 STRETCH = 1.2  # slack of pruning
 EDGES = OVERLAP * DEGREE
 LEAST_RECALL = 0.995
+MARGIN = 3.0  # in standard deviations of how far a random neighbour moves along one direction
 
 
 class Graph:
@@ -190,12 +195,13 @@ def centroids(sample: np.ndarray, k: int, sweeps: int = 8, seed: int = 2) -> np.
     return centers
 
 
-def reach(x: np.ndarray, centers: np.ndarray, least: float) -> np.ndarray:
+def reach(x: np.ndarray, centers: np.ndarray, least: float, margin: float = 1.0) -> np.ndarray:
     """(vectors, clusters): whether a vector within ``least`` may have the cluster as its nearest.
 
     A neighbour is at least as near to its own center c as to this vector's nearest one d,
     so its angle to c - d is at most a right one, and the vector's at most larger by the
-    angle between the two vectors.
+    angle between the two vectors. That is the worst case; ``margin`` is the share of it
+    that is allowed for.
     """
     sims = x @ centers.T
     if least <= 0:
@@ -204,14 +210,14 @@ def reach(x: np.ndarray, centers: np.ndarray, least: float) -> np.ndarray:
     apart = np.sqrt(np.maximum(squares[:, None] + squares - 2 * centers @ centers.T, 0))
     best = sims.argmax(axis=1)
     behind = sims[np.arange(len(x)), best][:, None] - sims
-    return behind <= np.sqrt(max(1 - least * least, 0)) * apart[best] + 1e-6
+    return behind <= margin * np.sqrt(max(1 - least * least, 0)) * apart[best] + 1e-6
 
 
 def _build(table: pa.Table) -> pa.Table:
-    names = np.asarray(table.column("vec_id"))
+    names = np.asarray(table.column("node"))
     edges = Graph(_unit(matrix(table.column("v")))).build().edges
     return pa.table({
-        "vec_id": table.column("vec_id"),
+        "node": table.column("node"),
         "near": pa.array([names[e[e >= 0]] for e in edges], pa.list_(pa.int64())),
     })
 
@@ -239,7 +245,7 @@ def _find(left: pa.Table, right: pa.Table, least: float, whole: bool = False) ->
     some = np.zeros(0, np.int64)
     lists, root = pa.array([], pa.list_(pa.int64())), some
     if left.num_rows and right.num_rows:
-        names = np.asarray(left.column("vec_id"))
+        names = np.asarray(left.column("node"))
         order = np.argsort(names)
         lists = left.column("near").combine_chunks()
         flat, sizes = np.asarray(lists.flatten()), np.diff(np.asarray(lists.offsets))
@@ -252,7 +258,7 @@ def _find(left: pa.Table, right: pa.Table, least: float, whole: bool = False) ->
         edges[owner[fits], nth[fits]] = local[fits]
         x = _unit(matrix(left.column("v")))
         graph = Graph(x, edges)
-        asked, ids = _unit(matrix(right.column("v"))), np.asarray(right.column("vec_id"))
+        asked, ids = _unit(matrix(right.column("v"))), np.asarray(right.column("node"))
         at = np.minimum(np.searchsorted(names[order], ids), len(names) - 1)
         own = np.where(names[order][at] == ids, order[at], -1)
         everyone = np.unique(np.concatenate([names, ids]))
@@ -272,19 +278,19 @@ def _find(left: pa.Table, right: pa.Table, least: float, whole: bool = False) ->
         cuts = np.append(np.searchsorted(low, touched), len(low)).astype(np.int32)
         some, root = everyone[touched], everyone[_roots(len(everyone), low, high)[touched]]
         lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(everyone[high], pa.int64()))
-    return pa.table({"vec_id": pa.array(some, pa.int64()), "larger": lists, "root": pa.array(root, pa.int64())})
+    return pa.table({"node": pa.array(some, pa.int64()), "larger": lists, "root": pa.array(root, pa.int64())})
 
 
 def _links(found: DataFrame, placed: DataFrame) -> DataFrame:
-    """(vec_id, links): how many rows link to each vector by the pairs of ``found``.
+    """(node, links): how many rows link to each vector by the pairs of ``found``.
 
     Pairs are made distinct and then counted for both vectors; only vectors with copies
     are looked up.
     """
-    pairs = store(found.select(F.col("vec_id").alias("a"), F.explode("larger").alias("b")).distinct(), "pairs")
+    pairs = store(found.select(F.col("node").alias("a"), F.explode("larger").alias("b")).distinct(), "pairs")
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copied = store(placed.filter("copies > 1").select(F.col("vec_id").alias("b"), "copies"), "copied")
-    return both.join(joinable(copied), "b", "left").groupBy(F.col("a").alias("vec_id")).agg(
+    copied = store(placed.filter("copies > 1").select(F.col("node").alias("b"), "copies"), "copied")
+    return both.join(joinable(copied), "b", "left").groupBy(F.col("a").alias("node")).agg(
         F.sum(F.coalesce("copies", F.lit(1))).alias("links")
     )
 
@@ -295,93 +301,93 @@ def near_duplicates(rows: DataFrame, least: float = 0.95) -> DataFrame:
     Vectors link when their cosine is at least ``least``. Those that are null, zero, hold
     null or non-finite components, or are not as long as most, link with nothing. Equal
     vectors are searched once; each is a link of the others. Rows of one id and one
-    vector are one vector: they get equal answers, and not a link for each other.
+    vector are one vector: they get equal answers, and not a link for each other. Different
+    vectors of one id are vectors of their own; a component is named by the smallest id in it.
+    A row without id links with nothing, has no component and is kept.
     """
     base = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding").withColumn(
-        "fine", usable(F.col("embedding"))
+        "fine", usable(F.col("embedding")) & F.col("vec_id").isNotNull()
     )
     sizes = base.filter("fine").groupBy(F.size("embedding").alias("size")).agg(F.count("*").alias("n"))
     common = sizes.orderBy(F.desc("n"), "size").first()
-    alone = base.select(
-        "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
-    )
+
+    def unlinked(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
+        )
+
     if common is None:
-        return alone
+        return unlinked(base)
     fine = base.filter(F.col("fine") & (F.size("embedding") == common["size"])).select("vec_id", "embedding")
     rest = base.filter(~(F.col("fine") & (F.size("embedding") == common["size"])))
-    different = store(distinct_vectors(fine.dropDuplicates(["vec_id", "embedding"]), 1).drop("ids"), "different")
+    # every different vector gets a number: ids may be shared by vectors that are not alike
+    numbered = distinct_vectors(fine.dropDuplicates(["vec_id", "embedding"]), 1).drop("ids").withColumn(
+        "node", F.monotonically_increasing_id()
+    )
+    different = store(numbered, "different")
     count = different.count()
 
-    cells = different.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(SAMPLE_ROWS)).alias("cell"))
-    sample = cells.agg(F.min_by("v", F.struct(F.xxhash64("vec_id"), "vec_id")).alias("v")).select("v").toArrow()
+    hashed = F.xxhash64("v")
+    cells = different.groupBy(F.pmod(hashed, F.lit(SAMPLE_ROWS)).alias("cell"))
+    sample = cells.agg(F.min_by("v", F.struct(hashed, "v")).alias("v")).select("v").toArrow()
     centers = centroids(_unit(matrix(sample.column("v"))), int(np.clip(-(-count // CLUSTER_ROWS), 1, MAX_CENTROIDS)))
 
-    @arrow_udf("struct<homes: array<int>, reach: array<int>>")
-    def clusters(v: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.int32())
-        if not len(v):
-            return pa.StructArray.from_arrays([pa.array([], kind)] * 2, ["homes", "reach"])
-        homes, reached = [], []
+    def units(v: pa.Array) -> Iterator[np.ndarray]:
         flat = v.flatten()
-        size = len(flat) // len(v)
+        size = len(flat) // max(len(v), 1)
         for a in range(0, len(v), 2_048):
-            x = _unit(np.asarray(flat[a * size : (a + 2_048) * size], np.float64).reshape(-1, size))
-            homes += list(np.argsort(-(x @ centers.T), axis=1, kind="stable")[:, :OVERLAP].astype(np.int32))
-            reached += [np.flatnonzero(r).astype(np.int32) for r in reach(x, centers, least)]
-        return pa.StructArray.from_arrays([pa.array(homes, kind), pa.array(reached, kind)], ["homes", "reach"])
+            yield _unit(np.asarray(flat[a * size : (a + 2_048) * size], np.float64).reshape(-1, size))
 
-    placed = store(different.withColumn("c", clusters("v")).select("vec_id", "v", "copies", "c.*"), "placed-vectors")
-    members = placed.select(F.explode("homes").alias("cluster"), "vec_id", "v")
+    @arrow_udf("array<int>")
+    def homes(v: pa.Array) -> pa.Array:
+        near = [n for x in units(v) for n in np.argsort(-(x @ centers.T), axis=1, kind="stable")[:, :OVERLAP]]
+        return pa.array(near, pa.list_(pa.int32()))
+
+    placed = store(different.withColumn("homes", homes("v")), "placed-vectors")
 
     def in_parts(rows: DataFrame, name: str) -> DataFrame:
         # at most MAX_CENTROIDS rows
         parts = rows.groupBy("cluster").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias(f"{name}s"))
         return rows.join(F.broadcast(parts), "cluster").withColumn(
-            name, F.pmod(F.xxhash64("vec_id"), F.col(f"{name}s")).cast("int")
+            name, F.pmod(F.xxhash64("node"), F.col(f"{name}s")).cast("int")
         )
 
-    members = store(in_parts(members, "part"), "members")
-    built = members.select("cluster", "part", "vec_id", "v").groupBy("cluster", "part").applyInArrow(
-        _build, "vec_id bigint, near array<bigint>"
+    members = store(in_parts(placed.select(F.explode("homes").alias("cluster"), "node", "v"), "part"), "members")
+    built = members.select("cluster", "part", "node", "v").groupBy("cluster", "part").applyInArrow(
+        _build, "node bigint, near array<bigint>"
     )
     united = store(
-        built.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "adjacency"
-    )
-    asking = in_parts(placed.select(F.explode("reach").alias("cluster"), "vec_id", "v"), "asker")
-    part_counts = F.broadcast(members.select("cluster", "parts").distinct())  # at most MAX_CENTROIDS rows each
-    asker_counts = F.broadcast(
-        placed.select(F.explode("reach").alias("cluster")).groupBy("cluster")
-        .agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("askers"))
+        built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "adjacency"
     )
-    graph = members.join(united, "vec_id").join(asker_counts, "cluster").select(
-        "cluster", "part", F.explode(F.sequence(F.lit(0), F.col("askers") - 1)).alias("asker"), "vec_id", "v", "near",
-    )
-    # aliases make columns of their own, which the cogroup needs to tell both sides apart
-    asking = asking.join(part_counts, "cluster")
-    askers = asking.select(*[F.col(c).alias(c) for c in asking.columns]).select(
-        "cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "asker", "vec_id", "v",
-    )
-    key = ("cluster", "part", "asker")
-    for whole in (False, True):
-        found = store(
-            graph.groupBy(*key).cogroup(askers.groupBy(*key)).applyInArrow(
-                partial(_find, least=least, whole=whole), "vec_id bigint, larger array<bigint>, root bigint"
-            ),
-            "found",
-        )
+    graph = store(members.join(united, "node"), "graph-members")
+    part_counts = F.broadcast(members.select("cluster", "parts").distinct())  # at most MAX_CENTROIDS rows
+
+    def reached(margin: float) -> Column:
+        @arrow_udf("array<int>")
+        def clusters(v: pa.Array) -> pa.Array:
+            near = [np.flatnonzero(r) for x in units(v) for r in reach(x, centers, least, margin)]
+            return pa.array(near, pa.list_(pa.int32()))
+
+        return clusters("v")
+
+    for margin, whole in _margins(common["size"]):
+        asking = placed.select("node", "v", reached(margin).alias("reach"))
+        asking = store(asking.select(F.explode("reach").alias("cluster"), "node", "v"), "asking")
+        found = store(_searched(graph, in_parts(asking, "asker").join(part_counts, "cluster"), least, whole), "found")
         links = store(_links(found, placed), "links")
-        counted = placed.select("vec_id").join(links, "vec_id", "left").select(
-            "vec_id", F.coalesce("links", F.lit(0)).alias("n_links")
+        counted = placed.select("node").join(links, "node", "left").select(
+            "node", F.coalesce("links", F.lit(0)).alias("n_links")
         )
-        if whole or _share(placed.select("vec_id", "v", "copies"), counted, least) >= LEAST_RECALL:
+        if whole or _share(placed.select("node", "v", "copies"), counted, least) >= LEAST_RECALL:
             break
-    components = union_find(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
+    linked = placed.join(links, "node", "left").join(
+        union_find(found.select(F.col("node").alias("a"), F.col("root").alias("b"))), "node", "left"
+    )
+    linked = store(linked.withColumn("component", F.coalesce("component", "node")), "linked-vectors")
+    named = store(linked.groupBy("component").agg(F.min("vec_id").alias("component_id")), "component-ids")
     facts = store(
-        placed.join(links, "vec_id", "left")
-        .join(components.withColumnRenamed("node", "vec_id"), "vec_id", "left")
-        .select(
-            "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "vec_id").alias("component_id"),
+        linked.join(joinable(named), "component").select(
+            "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
         ),
         "vector-facts",
     )
@@ -389,44 +395,69 @@ def near_duplicates(rows: DataFrame, least: float = 0.95) -> DataFrame:
     known = own.join(facts, "v").select("vec_id", "n_links", "component_id").withColumn(
         "kept", F.col("vec_id") == F.col("component_id")
     )
-    others = rest.select(
-        "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
+    return known.unionByName(unlinked(rest))
+
+
+def _margins(size: int) -> list[tuple[float, bool]]:
+    """Margins to search with, one after another, until the audit is content; last the whole parts.
+
+    Along a fixed direction a random neighbour moves by a share of 1 / sqrt(size) of what it
+    can move at most.
+    """
+    spread = 1 / np.sqrt(size)
+    return [*[(m, False) for m in (MARGIN * spread, 2 * MARGIN * spread) if m < 1], (1.0, False), (1.0, True)]
+
+
+def _searched(graph: DataFrame, asking: DataFrame, least: float, whole: bool) -> DataFrame:
+    """What ``_find`` gives for every part of the graph and the vectors that ask its cluster."""
+    # at most MAX_CENTROIDS rows
+    asker_counts = F.broadcast(asking.groupBy("cluster").agg(F.max("askers").alias("askers")))
+    parts = graph.join(asker_counts, "cluster").select(
+        "cluster", "part", F.explode(F.sequence(F.lit(0), F.col("askers") - 1)).alias("asker"), "node", "v", "near",
+    )
+    # aliases make columns of their own, which the cogroup needs to tell both sides apart
+    askers = asking.select(*[F.col(c).alias(c) for c in asking.columns]).select(
+        "cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "asker", "node", "v",
+    )
+    key = ("cluster", "part", "asker")
+    return parts.groupBy(*key).cogroup(askers.groupBy(*key)).applyInArrow(
+        partial(_find, least=least, whole=whole), "node bigint, larger array<bigint>, root bigint"
     )
-    return known.unionByName(others)
 
 
 def _share(points: DataFrame, counted: DataFrame, least: float, cells: int = 64) -> float:
-    """Part of the true links of some of ``points`` (vec_id, v, copies) that ``counted`` holds.
+    """Part of the true links of some of ``points`` (node, v, copies) that ``counted`` holds.
 
     One linked and one unlinked vector of each cell by hash, by brute force in blocks.
     """
-    cell = F.pmod(F.xxhash64("vec_id"), F.lit(cells))
-    asked = points.join(counted, "vec_id").groupBy(cell.alias("cell"), (F.col("n_links") > 0).alias("linked")).agg(
-        F.min_by(F.struct("vec_id", "v", "n_links"), F.struct(F.xxhash64("vec_id"), "vec_id")).alias("r")
+    cell = F.pmod(F.xxhash64("node"), F.lit(cells))
+    asked = points.join(counted, "node").groupBy(cell.alias("cell"), (F.col("n_links") > 0).alias("linked")).agg(
+        F.min_by(F.struct("node", "v", "n_links"), F.struct(F.xxhash64("node"), "node")).alias("r")
     ).select("r.*").toPandas()
     if not len(asked):
         return 1.0
-    queries, ids = _unit(np.stack(asked.v.to_list())), asked.vec_id.to_numpy()
+    queries, ids = _unit(np.stack(asked.v.to_list())), asked.node.to_numpy()
 
     def count(batches):
         for b in batches:
             x = _unit(matrix(b.column("v"))) if b.num_rows else np.zeros((0, queries.shape[1]))
-            hit = (x @ queries.T >= least) & (np.asarray(b.column("vec_id"))[:, None] != ids)
+            hit = (x @ queries.T >= least) & (np.asarray(b.column("node"))[:, None] != ids)
             n = (hit * np.asarray(b.column("copies"))[:, None]).sum(axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n, pa.int64())], ["vec_id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n, pa.int64())], ["node", "n"])
 
-    true = points.mapInArrow(count, "vec_id bigint, n bigint").groupBy("vec_id").agg(F.sum("n").alias("n")).toPandas()
-    true = true.set_index("vec_id").n.reindex(ids).to_numpy()
+    true = points.mapInArrow(count, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n")).toPandas()
+    true = true.set_index("node").n.reindex(ids).to_numpy()
     return float(np.minimum(asked.n_links.to_numpy(), true).sum() / true.sum()) if true.sum() else 1.0
 
 
 def recall(rows: DataFrame, result: DataFrame, least: float = 0.95, cells: int = 64) -> float:
     """Part of the true links that the counts of some vectors hold, linked and unlinked ones.
 
-    Brute force of at most ``2 * cells`` vectors against all rows, in blocks.
+    Brute force of at most ``2 * cells`` vectors against all rows, in blocks. Ids are taken to
+    be of one vector each.
     """
-    fine = rows.filter(usable(F.col("embedding"))).select(
-        F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"),
+    fine = rows.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select(
+        F.col("vec_id").cast("bigint").alias("node"), F.col("embedding").cast("array<double>").alias("v"),
         F.lit(1).alias("copies"),
     )
-    return _share(fine, result.select("vec_id", "n_links"), least, cells)
+    return _share(fine, result.select(F.col("vec_id").alias("node"), "n_links"), least, cells)

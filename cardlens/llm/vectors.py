@@ -19,15 +19,15 @@ def usable(vector: Column) -> Column:
 
 
 def distinct_vectors(rows: DataFrame, keep_ids: int) -> DataFrame:
-    """(v, vec_id, copies, ids): every different vector once.
+    """(v, vec_id, copies, ids): every different vector once, of rows that have an id.
 
     ``vec_id`` is the smallest id, ``copies`` the number of rows, ``ids`` the
-    ``keep_ids`` smallest ids. Copies are counted before the shuffle, and only lists of
+    ``keep_ids`` smallest different ids. Copies are counted before the shuffle, and only lists of
     bounded length are merged, so a vector with many copies is no hot spot.
     """
     numbered = rows.select(
         F.col("embedding").cast("array<double>").alias("v"), F.col("vec_id").cast("bigint").alias("vec_id")
-    )
+    ).filter(F.col("vec_id").isNotNull())
 
     def smallest(ids: Column) -> Column:
         return F.slice(F.array_sort(ids), 1, keep_ids)
@@ -35,7 +35,7 @@ def distinct_vectors(rows: DataFrame, keep_ids: int) -> DataFrame:
     # first within slices of the ids, so that no list holds all copies of a vector
     piece = F.pmod(F.xxhash64("vec_id"), F.lit(4096))
     part = numbered.groupBy("v", piece.alias("piece")).agg(
-        F.count("*").alias("copies"), smallest(F.collect_list("vec_id")).alias("ids")
+        F.count("*").alias("copies"), smallest(F.collect_set("vec_id")).alias("ids")
     )
     whole = part.groupBy("v").agg(
         F.sum("copies").alias("copies"), smallest(F.flatten(F.collect_list("ids"))).alias("ids")

@@ -155,6 +155,48 @@ def test_near_vectors(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_shared_and_missing_ids(spark):
+    """Vectors of one id are vectors of their own, and rows without id link with nothing."""
+    near = [0.999, 0.01]
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, near), (3, [-1.0, 0.2]), (4, [0.01, 0.999]), (4, [0.01, 0.999]),
+            (5, [0.7, 0.71]), (5, [0.71, 0.7]), (None, [1.0, 0.0]), (None, None), (6, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(df.filter("vec_id IS NOT NULL")).collect())
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 1, 1, False), (4, 1, 1, False),
+                   (5, 1, 5, True), (5, 1, 5, True), (6, 2, 1, False)]
+    lone = [tuple(r) for r in embedding_dedup.near_duplicates(df).filter("vec_id IS NULL").collect()]
+    assert lone == [(None, 0, None, True)] * 2
+    found = defaultdict(list)
+    for r in ann_forest.nearest(df, F.col("vec_id") <= 5, k=3).orderBy("score", "vec_id").collect():
+        found[r.query_id].append((r.vec_id, round(r.score, 6)))
+    assert found[1].count((6, 0.0)) == 1 and (4, round(float(np.hypot(0.01, 0.001)), 6)) in found[1]
+    assert len(found[1]) == len(found[5]) == 6 and len(found[4]) == 3  # two vectors ask for 1 and 5, one for 4
+    assert (5, round(float(np.hypot(0.01, 0.01)), 6)) in found[5]
+    missing = df.filter("vec_id IS NULL")
+    assert embedding_dedup.near_duplicates(missing).count() == 2
+    assert ann_forest.nearest(missing, F.lit(True)).count() == 0
+
+
+def test_margin_is_widened_until_the_audit_is_content(spark, monkeypatch):
+    """A margin that is far too narrow costs another search, not links."""
+    monkeypatch.setattr(embedding_dedup, "CLUSTER_ROWS", 12)
+    monkeypatch.setattr(embedding_dedup, "OVERLAP", 1)
+    monkeypatch.setattr(embedding_dedup, "MARGIN", 0.0)
+    tried = []
+    monkeypatch.setattr(embedding_dedup, "_margins", lambda size: tried.append(1) or [(0.0, False), (1.0, False), (1.0, True)])
+    rng = np.random.default_rng(3)
+    one, shift = rng.normal(size=(2, 200, 24))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    shift -= (shift * one).sum(axis=1, keepdims=True) * one
+    shift /= np.linalg.norm(shift, axis=1, keepdims=True)
+    x = np.vstack([one, 0.951 * one + np.sqrt(1 - 0.951**2) * shift])
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df).collect()}
+    close = x @ x.T >= 0.95
+    np.fill_diagonal(close, False)
+    assert [got[i] for i in range(400)] == close.sum(axis=1).tolist() and tried
+
+
 def test_large_part_is_cut(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "PART_ROWS", 40)
     rng = np.random.default_rng(5)
@@ -167,10 +209,10 @@ def test_large_part_is_cut(spark, monkeypatch):
 def test_links_found_once_count_for_both(spark):
     found = spark.createDataFrame(
         [(1, [2, 3], 1), (2, [], 1), (3, [], 1), (1, [2], 1), (2, [5], 2)],  # of three tasks
-        "vec_id bigint, larger array<bigint>, root bigint",
+        "node bigint, larger array<bigint>, root bigint",
     )
-    placed = spark.createDataFrame([(1, 1), (2, 1), (3, 4), (5, 1)], "vec_id bigint, copies bigint")
-    got = {r.vec_id: r.links for r in embedding_dedup._links(found, placed).collect()}
+    placed = spark.createDataFrame([(1, 1), (2, 1), (3, 4), (5, 1)], "node bigint, copies bigint")
+    got = {r.node: r.links for r in embedding_dedup._links(found, placed).collect()}
     assert got == {1: 1 + 4, 2: 2, 3: 1, 5: 1}
 
 
@@ -178,9 +220,9 @@ def test_chain_in_one_batch_stays_connected():
     at = np.deg2rad([0.0, 24.0, 12.0])  # the third links the first two
     v = pa.array([[np.cos(a), np.sin(a)] for a in at], pa.list_(pa.float64()))
     near = pa.array([[1, 2], [0, 2], [0, 1]], pa.list_(pa.int64()))
-    column = {"cluster": [0] * 3, "vec_id": [0, 1, 2], "v": v, "copies": [1] * 3, "homes": [[0]] * 3}
+    column = {"cluster": [0] * 3, "node": [0, 1, 2], "v": v, "copies": [1] * 3, "homes": [[0]] * 3}
     got = embedding_dedup._find(pa.table(column | {"near": near}), pa.table(column), 0.95)
-    got = {r["vec_id"]: r for r in got.to_pylist()}
+    got = {r["node"]: r for r in got.to_pylist()}
     assert {k: r["larger"] for k, r in got.items()} == {0: [2], 1: [2], 2: []}
     assert {r["root"] for r in got.values()} == {0}
 
