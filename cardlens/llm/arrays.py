@@ -47,6 +47,17 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
+def byte_pieces(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """The same texts in parts of at most ``limit`` bytes, or of one longer text.
+
+    What Arrow kept for a part is given back before the next one.
+    """
+    sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
+    for first, last in row_slices(np.concatenate([[0], np.cumsum(sizes)]), limit):
+        yield column.slice(first, last - first)
+        pa.default_memory_pool().release_unused()
+
+
 def fold_case(data: np.ndarray) -> np.ndarray:
     """A-Z in lower case, all other bytes as they are."""
     return _FOLD[data]

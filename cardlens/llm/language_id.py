@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from cardlens.llm.arrays import row_slices, row_sums, text_bytes
+from cardlens.llm.arrays import byte_pieces, row_slices, row_sums, text_bytes
 
 UNKNOWN = "und"
 
@@ -43,6 +43,7 @@ OTHER_FAMILY = "other"
 BITS = 12  # n-grams of two and three bytes are hashed to so many bits each
 DIMS = (256, 1 << BITS, 1 << BITS)
 SLACK = 6.0  # by which the likeness of a single n-gram may miss the bound; less by the root of their number
+STAGE_BYTES = 1 << 18  # texts that a filtering task looks at at once
 PACKED = 64.0  # scale of frequencies sent as half floats
 
 # Letters and bytes of longer characters count; all else is a gap.
@@ -329,12 +330,15 @@ def language_stage(docs: DataFrame, least: float = 0.05, held: Column | None = N
     model = train(known.select("text", "lang"))
     if model is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    guess = identify(F.col("text"), model)
 
+    # one function for both questions, so that texts and model are in a worker once
     @arrow_udf("boolean")
-    def alike(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lower in batches:
-            yield pa.array(like_learned(model, lower), pa.bool_())
-
-    sure = (guess["lang_pred"] != UNKNOWN) & (guess["score"] >= least)
-    return docs.filter(sure & alike(F.lower("text")))
+    def sure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = [
+                (predict(model, lower)[1] >= least) & like_learned(model, lower)
+                for lower in byte_pieces(batch, STAGE_BYTES)
+            ]
+            yield pa.array(np.concatenate([np.zeros(0, bool), *parts]), pa.bool_())
+
+    return docs.filter(F.col("text").rlike(r"\p{L}") & sure(F.lower("text")))

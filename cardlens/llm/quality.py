@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from cardlens.llm.arrays import (
-    fold_case, row_of, row_slices, row_sums, span_hashes, text_bytes, words,
+    byte_pieces, fold_case, row_of, row_slices, row_sums, span_hashes, text_bytes, words,
 )
 
+SCORED_BYTES = 1 << 18  # texts whose features are held at once
+
 FEATURES = (
     "log_bytes", "log_words", "word_length", "upper", "digits", "symbols", "stops",
     "line_breaks", "non_ascii", "pipes", "distinct_words", "repeated_neighbours",
@@ -253,7 +255,8 @@ def quality_score(text: Column, model: AdditiveModel) -> Column:
     @arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array(model.score(features(batch)), pa.float64())
+            parts = [model.score(features(part)) for part in byte_pieces(batch, SCORED_BYTES)]
+            yield pa.array(np.concatenate([np.zeros(0), *parts]), pa.float64())
 
     return score(text)
 
