@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,13 @@ def discard(df: DataFrame, path: str) -> None:
     df.limit(0).write.mode("overwrite").parquet(path)
 
 
+def release(stored: DataFrame) -> None:
+    """``discard`` for a result of ``store`` that no query will read again."""
+    files = stored.inputFiles()
+    if files:
+        discard(stored, unquote(files[0].rsplit("/", 1)[0]))
+
+
 def small(stored: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a stored table has few enough rows to be broadcast; its files know their counts."""
     return stored.count() <= rows

@@ -11,7 +11,7 @@ from cardlens.plans.daily import gold_tables, run_daily_batch
 from cardlens.plans.prepare import prepare_dataset
 from cardlens.sources.readers import read_raw_transactions
 from cardlens.sources.schema import SOURCE_COLUMNS
-from cardlens.sources.scratch import discard, new_path, shared_folder, small, store
+from cardlens.sources.scratch import discard, new_path, release, shared_folder, small, store
 
 
 @pytest.fixture
@@ -174,3 +174,11 @@ def test_prepared_with_an_approximate_sample(spark, source, tmp_path):
     assert rows.where("is_fraud = 1").count() == 9 and 55 < rows.count() < 145
     again = prepare_dataset(spark, source, str(tmp_path / "raw2"), target=100, approximate=True)
     assert sorted(map(str, again.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_released_tables_take_no_space(spark):
+    kept = store(spark.range(1000), "released one's")
+    files = kept.inputFiles()
+    release(kept)
+    assert spark.read.parquet(files[0].rsplit("/", 1)[0].replace("%20", " ")).count() == 0
+    release(store(spark.range(0), "nothing"))
