@@ -36,7 +36,7 @@ from cardlens.llm.arrays import (
     fold_case, mixed, pieces, row_slices, span_hashes, text_bytes, words,
 )
 from cardlens.llm.tables import BROADCAST_ROWS, fresh, joinable, union_find
-from cardlens.sources.scratch import store
+from cardlens.sources.scratch import release, store
 
 BUCKETS = 1 << 16  # size of each count table, whatever the corpus has
 _SHIFT = np.uint64(48)
@@ -202,7 +202,9 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, per
     common = F.size(F.array_intersect("keys", "hub_keys"))
     union = F.size("keys") + F.size("hub_keys") - common
     met = sent.filter("c != to").join(hubs, "to").filter(100 * common >= percent * union)
-    return store(met.select(F.col("to").alias("a"), F.col("c").alias("b")).distinct(), "links")
+    links = store(met.select(F.col("to").alias("a"), F.col("c").alias("b")).distinct(), "links")
+    release(sent)  # whole sets, by far the widest rows
+    return links
 
 
 def classes_of(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
@@ -267,9 +269,11 @@ def classes_of(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFram
         .select("c", "rep", "n", F.coalesce("component", "c").alias("component")),
         "placed",
     )
-    rest = _rest(lists, hubs, placed, percent)
+    rest, helpers = _rest(lists, hubs, placed, percent)
     both_ways = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = rest.join(both_ways, ["a", "b"], "left_anti")
+    rest = store(rest.join(both_ways, ["a", "b"], "left_anti"), "rest")
+    for used in (lists, hubs, mass, *helpers):
+        release(used)
     links = links.unionByName(verify(rest))
     final = store(union_find(links), "components")
     ids = filled.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("c"))
@@ -282,8 +286,13 @@ def classes_of(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFram
     return signed.select("doc_id", "tk", "n", "s1", "s2"), store(result, "class-components")
 
 
-def _rest(lists: DataFrame, hubs: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in different components that size and position leave possible."""
+def _rest(
+    lists: DataFrame, hubs: DataFrame, placed: DataFrame, percent: int
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Pairs of classes in different components that size and position leave possible.
+
+    Also the tables stored for that.
+    """
     rows = store(
         lists.join(placed.select("rep", "c", "component"), "rep")
         .select("token", "c", "n", "pos", "component"), "placed-lists",
@@ -308,7 +317,7 @@ def _rest(lists: DataFrame, hubs: DataFrame, placed: DataFrame, percent: int) ->
     same = member.alias("x").join(placed.alias("y"), "rep").filter(
         (F.col("x.component") != F.col("y.component"))
     ).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    return met.unionByName(same).distinct()
+    return met.unionByName(same).distinct(), [rows, minor]
 
 
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
