@@ -41,10 +41,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches, so that a task holds less at once."""
+    """The same rows in smaller batches, so that a task holds less at once.
+
+    What Arrow kept for one is given back before the next.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+            pa.default_memory_pool().release_unused()
 
 
 def byte_pieces(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:

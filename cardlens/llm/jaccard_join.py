@@ -38,6 +38,7 @@ from cardlens.llm.arrays import (
 from cardlens.llm.tables import BROADCAST_ROWS, fresh, joinable, union_find
 from cardlens.sources.scratch import release, store
 
+HASHED_BYTES = 1 << 18  # texts whose words are hashed at once
 BUCKETS = 1 << 16  # size of each count table, whatever the corpus has
 _SHIFT = np.uint64(48)
 
@@ -45,7 +46,7 @@ _SHIFT = np.uint64(48)
 def _hashes(text: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For slices of rows: first row, word hashes, and offsets of the words by row."""
     data, offsets = text_bytes(text)
-    for first, last in row_slices(offsets):
+    for first, last in row_slices(offsets, HASHED_BYTES):
         piece = fold_case(data[offsets[first] : offsets[last]])
         starts, ends, at = words(piece, offsets[first : last + 1] - offsets[first])
         yield first, span_hashes(piece, starts, ends), at
