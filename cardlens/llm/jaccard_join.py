@@ -13,7 +13,8 @@ share last, so that prefixes hardly meet by chance.
    hub, the group that shares most overall. Pairs are expanded to their classes and
    verified on whole sets; links so found give components.
 4. What is left are pairs of different components: the minority of each list against
-   the rest, filtered by size and position. They are expanded and verified too. Pairs
+   the rest, filtered by size and position, and classes of one group, by a prefix of
+   what follows the one that they share. They are expanded and verified too. Pairs
    inside one component need no check, as they cannot change it. No pair is dropped.
 
 Shingles are told apart by 58 bits of hash beside their order; sets by 128 bits.
@@ -35,11 +36,12 @@ from pyspark.sql.types import LongType
 from cardlens.llm.arrays import (
     fold_case, mixed, pieces, row_slices, span_hashes, text_bytes, words,
 )
-from cardlens.llm.tables import BROADCAST_ROWS, fresh, joinable, union_find
+from cardlens.llm.tables import BROADCAST_ROWS, arrow_rows, fresh, joinable, union_find
 from cardlens.sources.scratch import release, store
 
 HASHED_BYTES = 1 << 18  # texts whose words are hashed at once
 BUCKETS = 1 << 16  # size of each count table, whatever the corpus has
+HUB_PAIRS = 256  # pairs that meet one copy of their hub's set
 _SHIFT = np.uint64(48)
 
 
@@ -165,6 +167,23 @@ def _sets(batches, k: int, order) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _further(batches, k: int, percent: int, order) -> Iterator[pa.RecordBatch]:
+    """(c, text) to the shingles behind the prefix of which two sets of this size that link share one."""
+    seen: set[int] = set()
+    for batch in pieces(batches):
+        c, further = [], []
+        for number, keys in zip(batch.column("c").to_pylist(), _ordered_sets(batch.column("text"), k, order)):
+            if number in seen:
+                continue
+            seen.add(number)
+            size = len(keys)
+            prefix = size - _least_overlap(size, percent) + 1
+            missing = -(-2 * percent * size // (100 + percent)) - prefix  # what two such sets share elsewhere
+            c.append(number)
+            further.append(keys[prefix : size - missing + 1].astype(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(further, pa.list_(pa.int64()))], ["c", "further"])
+
+
 @arrow_udf(LongType())
 def _overlap_bound(x: pa.Array, y: pa.Array) -> pa.Array:
     """No two sets share more than the smaller counts of their histograms together."""
@@ -176,6 +195,14 @@ def _overlap_bound(x: pa.Array, y: pa.Array) -> pa.Array:
     return pa.array(np.minimum(a, b).sum(axis=1, dtype=np.int64) + full.sum(axis=1) * (1 << 40))
 
 
+def _texts(docs: DataFrame, involved: DataFrame) -> DataFrame:
+    """(c, text) for the stored classes (c, tk, doc_id)."""
+    named = joinable(involved).select("c", F.col("tk").alias("_tk"), F.col("doc_id").alias("_id"))
+    return docs.join(
+        named, (F.xxhash64("text") == F.col("_tk")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    ).select("c", "text")
+
+
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int, order) -> DataFrame:
     """Pairs of classes (a, b) whose whole sets are similar enough, stored.
 
@@ -188,21 +215,22 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, per
     bounded = pairs.join(y, "b").join(x, "a").withColumn("bound", _overlap_bound("a_h", "b_h"))
     possible = F.lit(100 + percent) * F.col("bound") >= F.lit(percent) * (F.col("a_n") + F.col("b_n"))
     pairs = store(bounded.filter(possible).select("a", "b"), "pairs")
+    # a hub with many pairs has as many copies of its set, so that no task gets them all
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_PAIRS).cast("int").alias("parts"))
+    hubs = joinable(store(parts, "hub-parts"))
+    own = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     wanted = store(
-        pairs.select(F.col("b").alias("c"), F.col("a").alias("to"))
-        .unionByName(pairs.select(F.col("a").alias("c"), F.col("a").alias("to")).distinct()), "wanted",
+        pairs.join(hubs, "a").select(
+            F.col("b").alias("c"), F.col("a").alias("to"), F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part")
+        ).unionByName(hubs.select(F.col("a").alias("c"), F.col("a").alias("to"), own.alias("part"))), "wanted",
     )
     involved = store(wanted.select("c").distinct().join(classes.select("c", "tk", "doc_id"), "c"), "involved")
-    named = joinable(involved).select("c", F.col("tk").alias("_tk"), F.col("doc_id").alias("_id"))
-    texts = docs.join(
-        named, (F.xxhash64("text") == F.col("_tk")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    ).select("c", "text")
-    sets = texts.mapInArrow(partial(_sets, k=k, order=order), "c bigint, keys array<bigint>")
+    sets = _texts(docs, involved).mapInArrow(partial(_sets, k=k, order=order), "c bigint, keys array<bigint>")
     sent = store(sets.join(joinable(wanted), "c"), "sent-sets")
-    hubs = sent.filter("c = to").select("to", F.col("keys").alias("hub_keys"))
+    hub_sets = sent.filter("c = to").select("to", "part", F.col("keys").alias("hub_keys"))
     common = F.size(F.array_intersect("keys", "hub_keys"))
     union = F.size("keys") + F.size("hub_keys") - common
-    met = sent.filter("c != to").join(hubs, "to").filter(100 * common >= percent * union)
+    met = sent.filter("c != to").join(hub_sets, ["to", "part"]).filter(100 * common >= percent * union)
     links = store(met.select(F.col("to").alias("a"), F.col("c").alias("b")).distinct(), "links")
     release(sent)  # whole sets, by far the widest rows
     return links
@@ -215,7 +243,11 @@ def classes_of(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFram
     ids. Null and empty texts have n = 0 and no class. ``component_id`` is the smallest
     non-null id in the component, null where it has none.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    with arrow_rows(docs.sparkSession):
+        return _classes_of(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), k, percent)
+
+
+def _classes_of(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     order = shingle_order(docs.select("text"), k)
     signed = store(
         docs.select("doc_id", F.xxhash64("text").alias("tk"), "text").mapInArrow(
@@ -271,6 +303,7 @@ def classes_of(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFram
         "placed",
     )
     rest, helpers = _rest(lists, hubs, placed, percent)
+    rest = rest.unionByName(_same_prefix(docs, grouped, placed, k, percent, order)).distinct()
     both_ways = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = store(rest.join(both_ways, ["a", "b"], "left_anti"), "rest")
     for used in (lists, hubs, mass, *helpers):
@@ -290,35 +323,55 @@ def classes_of(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFram
 def _rest(
     lists: DataFrame, hubs: DataFrame, placed: DataFrame, percent: int
 ) -> tuple[DataFrame, list[DataFrame]]:
-    """Pairs of classes in different components that size and position leave possible.
+    """Pairs of classes of different groups and components that size and position leave possible.
 
     Also the tables stored for that.
     """
     rows = store(
         lists.join(placed.select("rep", "c", "component"), "rep")
-        .select("token", "c", "n", "pos", "component"), "placed-lists",
+        .select("token", "rep", "c", "n", "pos", "component"), "placed-lists",
     )
     main = hubs.join(
         placed.filter("c = rep").select(F.col("c").alias("hub"), F.col("component").alias("main")), "hub"
     )
     minor = store(
         rows.join(joinable(store(main.select("token", "main"), "main")), "token")
-        .filter("component != main").select("token", "c", "n", "pos", "component"), "minor",
+        .filter("component != main").select("token", "rep", "c", "n", "pos", "component"), "minor",
     )
     both = minor.alias("x").join(rows.alias("y"), "token")
     least = F.ceil(F.lit(percent) * (F.col("x.n") + F.col("y.n")) / F.lit(100 + percent))
     possible = (
-        (F.col("x.component") != F.col("y.component"))
+        (F.col("x.rep") != F.col("y.rep"))
+        & (F.col("x.component") != F.col("y.component"))
         & (F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= least)
     )
     x, y = F.col("x.c"), F.col("y.c")
     met = both.filter(possible).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    # classes of one group have no list in common if no other group shares their prefix
-    member = placed.filter("c != rep").select("rep", "c", "component")
-    same = member.alias("x").join(placed.alias("y"), "rep").filter(
-        (F.col("x.component") != F.col("y.component"))
-    ).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    return met.unionByName(same).distinct(), [rows, minor]
+    return met, [rows, minor]
+
+
+def _same_prefix(docs: DataFrame, grouped: DataFrame, placed: DataFrame, k: int, percent: int, order) -> DataFrame:
+    """Pairs of classes of one group in different components that can link.
+
+    They share the prefix, so they have no list in common if no other group has it too.
+    Of what two linked sets share beyond it, one shingle is among the next few.
+    """
+    several = placed.groupBy("rep").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    apart = joinable(store(several.filter("least != most").select("rep"), "split-groups"))
+    members = store(
+        placed.join(apart, "rep").join(grouped.select("c", "tk", "doc_id"), "c")
+        .select("rep", "c", "component", "tk", "doc_id"), "members",
+    )
+    further = _texts(docs, members.select("c", "tk", "doc_id")).mapInArrow(
+        partial(_further, k=k, percent=percent, order=order), "c bigint, further array<bigint>"
+    )
+    lists = store(
+        further.dropDuplicates(["c"]).join(members, "c").select("rep", "c", "component", F.explode("further").alias("token")),
+        "further-lists",
+    )
+    x, y = F.col("x.c"), F.col("y.c")
+    both = lists.alias("x").join(lists.alias("y"), ["rep", "token"])
+    return both.filter((x < y) & (F.col("x.component") != F.col("y.component"))).select(x.alias("a"), y.alias("b"))
 
 
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
