@@ -2,10 +2,12 @@
 
 Every template has overlapping windows of one and a half times its length laid over a
 text, half a template apart, so that each occurrence is inside one window. A window's
-MinHash bands retrieve the templates that agree in a band. With two rows in each of 24
+MinHash bands retrieve the templates that agree in a band. With two rows in each of 32
 bands, a window that holds four fifths of a template is found with a probability above
-0.998. What is retrieved is verified exactly: the share of the template's word pairs
-that the window contains.
+0.999 (``band_probability``). Windows that hold too few word pairs of any template of
+their length are passed over before that, by running counts. What is retrieved is
+verified exactly: the share of the template's word pairs that a part of the window
+contains, the part with the most of them and the least else.
 
 Shingles are pairs of words, since many licence notes have fewer than five.
 """
@@ -35,7 +37,7 @@ TEMPLATES = (
     ("All rights reserved", "All rights reserved."),
 )
 
-BANDS, ROWS = 24, 2
+BANDS, ROWS = 32, 2
 LEAST = 0.8
 
 _WORD = np.zeros(256, bool)
@@ -69,18 +71,31 @@ def _bands(shingles: np.ndarray) -> np.ndarray:
     return mixed(key + np.arange(BANDS, dtype=np.uint64))
 
 
+def band_probability(words: int, pairs: int, least: float = LEAST) -> float:
+    """Least probability that a window agrees in a band with a template that it just holds.
+
+    The template has ``words`` words and ``pairs`` different pairs of them; all other
+    pairs of the window are taken to be different ones that the template lacks.
+    """
+    held = int(np.ceil(least * pairs - 1e-9))
+    window = words + words // 2 - 1
+    alike = held / (pairs + window - held)
+    return 1 - (1 - alike**ROWS) ** BANDS
+
+
 class Scanner:
     def __init__(self, templates=TEMPLATES, least: float = LEAST):
         self.names = [name for name, _ in templates]
         self.least = least
-        self.sets, self.length, self.by_band = [], [], {}
+        self.sets, self.times, self.length, self.by_band = [], [], [], {}
         for number, (_, text) in enumerate(templates):
             data = _FOLD[np.frombuffer(text.encode(), np.uint8)]
             starts, ends, _ = _words(data, np.array([0, len(data)]))
             if len(starts) < 2:
                 raise ValueError("a template needs two words")
-            own = np.unique(_pairs(span_hashes(data, starts, ends)))
+            own, times = np.unique(_pairs(span_hashes(data, starts, ends)), return_counts=True)
             self.sets.append(own)
+            self.times.append(times)
             self.length.append(len(starts))
             for key in _bands(own).tolist():
                 self.by_band.setdefault(key, set()).add(number)
@@ -89,7 +104,7 @@ class Scanner:
     def scan(self, text: pa.Array) -> list[list[dict]]:
         """By text: licence, byte span and containment of each occurrence, in order."""
         data, offsets = text_bytes(text)
-        out: list[list[dict]] = [[] for _ in range(len(text))]
+        out: list[list[tuple[int, dict]]] = [[] for _ in range(len(text))]
         for a, b in row_slices(offsets):
             base = offsets[a]
             piece = _FOLD[data[base : offsets[b]]]
@@ -121,21 +136,63 @@ class Scanner:
             some = np.unique(window)
             hits = set().union(*(self.by_band.get(k, ()) for k in _bands(some).tolist()))
             for n in hits.intersection(numbers):
-                share = np.isin(self.sets[n], some).mean()
-                if share < self.least:
+                found = self._occurrence(window, n)
+                if found is None:
                     continue
-                inside = low[i] + np.flatnonzero(np.isin(window, self.sets[n]))
-                begin = int(starts[inside[0]] - own[row[i]])
-                end = int(ends[inside[-1] + 1] - own[row[i]])
-                out[first_row + row[i]].append(
-                    {"license": self.names[n], "start": begin, "end": end, "containment": float(share)}
-                )
+                first, last, different, others = found
+                begin = int(starts[low[i] + first] - own[row[i]])
+                end = int(ends[low[i] + last + 1] - own[row[i]])
+                out[first_row + row[i]].append((others, {
+                    "license": self.names[n], "start": begin, "end": end,
+                    "containment": different / len(self.sets[n]),
+                }))
+
+    def _occurrence(self, window: np.ndarray, n: int) -> tuple[int, int, int, int] | None:
+        """First and last shingle of a template's occurrence in a window, how many different
+        ones of the template lie between, if they are enough, and how many others.
+
+        Each shingle of the template, as often as it is there, counts for a span, each
+        other one against it, so that a span does not reach into the next copy. The first
+        best one is taken.
+        """
+        template, times = self.sets[n], self.times[n]
+        at = np.flatnonzero(np.isin(window, template))
+        need = int(np.ceil(self.least * len(template) - 1e-9))
+        kind = np.searchsorted(template, window[at])
+        order = np.argsort(kind, kind="stable")
+        nth = np.arange(len(at)) - np.searchsorted(kind[order], kind[order])
+
+        def earlier(back: np.ndarray) -> np.ndarray:
+            """Where the same shingle stood ``back`` occurrences before, -1 if it did not."""
+            place = np.full(len(at), -1)
+            some = nth >= back
+            place[order[some]] = order[np.flatnonzero(some) - back[some]]
+            return place
+
+        last, surplus = earlier(np.ones(len(at), np.int64)), earlier(times[kind[order]])
+        best, found = 0, None
+        for s in range(len(at)):
+            different = np.cumsum(last[s:] < s)
+            if different[-1] < need:
+                break
+            own, length = np.cumsum(surplus[s:] < s), at[s:] - at[s] + 1
+            worth = np.where(different >= need, 2 * own - length + len(window), 0)
+            e = int(worth.argmax())
+            if worth[e] > best:
+                best, found = worth[e], (int(at[s]), int(at[s + e]), int(different[e]), int(length[e] - own[e]))
+        return found
 
     @staticmethod
-    def _merged(hits: list[dict]) -> list[dict]:
-        """Of overlapping occurrences of one licence the fullest (then shortest, first) stays."""
+    def _merged(hits: list[tuple[int, dict]]) -> list[dict]:
+        """Of overlapping occurrences of one licence the fullest (then with the fewest other
+        shingles, shortest, first) stays."""
         kept: list[dict] = []
-        for hit in sorted(hits, key=lambda x: (-x["containment"], x["end"] - x["start"], x["start"], x["license"])):
+
+        def rank(found: tuple[int, dict]) -> tuple:
+            others, x = found
+            return -x["containment"], others, x["end"] - x["start"], x["start"], x["license"]
+
+        for _, hit in sorted(hits, key=rank):
             if not any(k["license"] == hit["license"] and k["start"] < hit["end"] and hit["start"] < k["end"] for k in kept):
                 kept.append(hit)
         return sorted(kept, key=lambda x: (x["start"], x["end"], x["license"]))
@@ -145,6 +202,7 @@ def find_licenses(text: Column, templates=TEMPLATES, least: float = LEAST) -> Co
     """Array of (license, start, end, containment) of a text; spans are in UTF-8 bytes.
 
     Case and all but letters and digits are ignored. Null and empty texts have none.
+    Copies of a note that follow one another are occurrences of their own.
     """
 
     @arrow_udf("array<struct<license:string,start:bigint,end:bigint,containment:double>>")
