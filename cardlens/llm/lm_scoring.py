@@ -394,6 +394,18 @@ def _train_task(batches: Iterator[pa.RecordBatch], v, start: np.ndarray, rate: f
     m, s = np.zeros(net.SIZE, np.float32), np.zeros(net.SIZE, np.float32)
     total = np.zeros(net.SIZE, np.float32)
     updates = seen = count = 0
+
+    def update(share: float) -> None:
+        nonlocal total, updates
+        total /= count
+        total *= min(1.0, 1.0 / max(float(np.sqrt((total * total).sum())), 1e-9))
+        updates += 1
+        m[:] += 0.1 * (total - m)
+        s[:] += 0.01 * (total * total - s)
+        step = share * rate * min(1.0, updates / 20)
+        net.flat -= step * (m / (1 - 0.9**updates)) / (np.sqrt(s / (1 - 0.99**updates)) + 1e-5)
+        total[:] = 0
+
     slices = (x for b in batches for x in _symbols(b.column(0), v.value))
     for held in _chunks(slices):
         symbols, offsets = _joined(held)
@@ -408,15 +420,11 @@ def _train_task(batches: Iterator[pa.RecordBatch], v, start: np.ndarray, rate: f
             count += int((target[cut][:, live] >= 0).sum())
             if count < UPDATE_WORDS:  # few lanes left: a long document alone must not set the course
                 continue
-            total /= count
-            total *= min(1.0, 1.0 / max(float(np.sqrt((total * total).sum())), 1e-9))
-            updates += 1
-            m += 0.1 * (total - m)
-            s += 0.01 * (total * total - s)
-            step = rate * min(1.0, updates / 20)
-            net.flat -= step * (m / (1 - 0.9**updates)) / (np.sqrt(s / (1 - 0.99**updates)) + 1e-5)
-            total[:], count = 0, 0
+            update(1.0)
+            count = 0
         seen += len(symbols)
+    if count:  # what is left makes a smaller step
+        update(min(1.0, count / UPDATE_WORDS))
     if seen:
         yield pa.RecordBatch.from_arrays(
             [pa.array([float(seen)]), pa.array([net.flat.astype(np.float64)], pa.list_(pa.float64()))], ["words", "weights"]
