@@ -7,6 +7,7 @@ no byte of a longer UTF-8 character is below 0x80.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,26 +41,40 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+
+
+def give_back() -> None:
+    """Return to the system what Arrow and the allocator keep of freed memory.
+
+    A Python worker serves many tasks and stages; else it stays as large as it ever was.
+    """
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that a task holds less at once.
 
-    What Arrow kept for one is given back before the next.
+    What was kept for one is given back before the next.
     """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
-            pa.default_memory_pool().release_unused()
+            give_back()
 
 
 def byte_pieces(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
     """The same texts in parts of at most ``limit`` bytes, or of one longer text.
 
-    What Arrow kept for a part is given back before the next one.
+    What Arrow kept for a part is given back before the next one, all else at the end.
     """
     sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
     for first, last in row_slices(np.concatenate([[0], np.cumsum(sizes)]), limit):
         yield column.slice(first, last - first)
         pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def fold_case(data: np.ndarray) -> np.ndarray:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from cardlens.llm.arrays import mixed, row_slices, text_bytes
+from cardlens.llm.arrays import byte_pieces, mixed, row_slices, text_bytes
 
 # Numbers of the public model format.
 UNIGRAM, BPE = 1, 2
@@ -474,7 +474,8 @@ class SentencePiece:
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             codec = codec_of(data)
             for batch in batches:
-                yield codec.encode(batch)
+                parts = [codec.encode(part) for part in byte_pieces(batch, SLICE)]
+                yield pa.concat_arrays(parts) if parts else codec.encode(batch)
 
         return run(text)
 

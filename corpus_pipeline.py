@@ -5,6 +5,8 @@ what it keeps of ``docs``, in the same columns (the last one: token ids). ``run`
 writes every result below the cluster's checkpoint folder and goes on from there, so a
 lost executor costs no more than a part of one stage.
 
+The stages set the session's ``spark.sql.execution.arrow.maxRecordsPerBatch``.
+
 Rows that are null or empty, repeated, without id or with columns of their own are
 treated as the operators' docstrings say.
 """
@@ -17,14 +19,23 @@ from cardlens.llm import jaccard_join, language_id, mixing, quality, sentencepie
 from cardlens.llm.tables import table
 from cardlens.sources.scratch import store
 
+# Documents can be long: rows that an executor and its Python worker hold at once.
+BATCH_ROWS = 1_000
+
+
+def _short_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without letters, and texts that are like no language with some certainty, go."""
+    _short_batches(spark)
     return language_id.language_stage(docs)
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half go; learns from ``labels`` of ids that are still there."""
+    _short_batches(spark)
     return quality.quality_stage(docs, table(spark, sf_dir, "labels"))
 
 
@@ -40,6 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
+    _short_batches(spark)
     return sentencepiece_codec.sentencepiece_stage(docs, sentencepiece_codec.default_model_path(spark))
 
 
