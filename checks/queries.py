@@ -599,6 +599,7 @@ QUERIES: dict[str, Query] = {
     "risk_level": scored_columns("risk_level"),
     "score_transactions": on_scored(lambda scored: scored),
     "score_transactions_stored_inputs": scored_with(lazy=False),
+    "score_transactions_lazy": scored_with(lazy=True),
     "score_transactions_shuffled": scored_with(lazy=False, broadcast_rows=-1),
     # rules outside the default score
     "rule_amount_rolling": rule_alone(rules.rule_amount_rolling, "r_amount_rolling"),

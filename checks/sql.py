@@ -399,6 +399,7 @@ SQL: dict[str, str] = {
     "risk_level": _with(SCORED, "SELECT txn_id, risk_level FROM scored"),
     "score_transactions": SCORED_ALL,
     "score_transactions_stored_inputs": SCORED_ALL,
+    "score_transactions_lazy": SCORED_ALL,
     "score_transactions_shuffled": SCORED_ALL,
     # rules outside the default score
     "rule_amount_rolling": _rolling(30),
