@@ -276,6 +276,10 @@ def _classes_of(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataF
         "shared-tokens",
     )
     lists = store(postings.join(joinable(shared, 2 * BROADCAST_ROWS), "token"), "lists")
+    # prefixes and histograms of all rows are by far the widest columns; from here on few are wanted
+    rows = store(signed.select("doc_id", "tk", "n", "s1", "s2", "row"), "rows")
+    release(signed)
+    filled = rows.filter("n > 0")
 
     # the hub of a list: the member whose lists are longest altogether
     lengths = store(lists.groupBy("token").agg(F.count("*").alias("length")), "lengths")
@@ -317,7 +321,7 @@ def _classes_of(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataF
     )
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     result = named.join(smallest, "component").select("n", "s1", "s2", "component_id", "component")
-    return signed.select("doc_id", "tk", "n", "s1", "s2"), store(result, "class-components")
+    return rows.select("doc_id", "tk", "n", "s1", "s2"), store(result, "class-components")
 
 
 def _rest(
