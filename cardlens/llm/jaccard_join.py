@@ -272,9 +272,10 @@ def _classes_of(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataF
     prefixes = filled.join(only, F.col("row") == F.col("rep")).select("rep", "n", "prefix")
     postings = prefixes.select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = store(
-        postings.groupBy("token").agg(F.count("*").alias("length")).filter("length > 1").select("token"),
+        postings.groupBy("token").agg(F.count("*").alias("length")).filter("length > 1"),
         "shared-tokens",
     )
+    # every row knows its list's length, which is all of the postings that share its token
     lists = store(postings.join(joinable(shared, 2 * BROADCAST_ROWS), "token"), "lists")
     # prefixes and histograms of all rows are by far the widest columns; from here on few are wanted
     rows = store(signed.select("doc_id", "tk", "n", "s1", "s2", "row"), "rows")
@@ -282,8 +283,7 @@ def _classes_of(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataF
     filled = rows.filter("n > 0")
 
     # the hub of a list: the member whose lists are longest altogether
-    lengths = store(lists.groupBy("token").agg(F.count("*").alias("length")), "lengths")
-    mass = store(lists.join(joinable(lengths), "token").groupBy("rep").agg(F.sum("length").alias("mass")), "mass")
+    mass = store(lists.groupBy("rep").agg(F.sum("length").alias("mass")), "mass")
     hubs = store(
         lists.join(joinable(mass), "rep").groupBy("token")
         .agg(F.max(F.struct("mass", "rep", "n")).alias("hub"))
