@@ -2,15 +2,15 @@
 
 A text is cut into words (blanks, then the rest up to the next blank), since no piece
 has a blank after another character. Different words of a batch are segmented once,
-all words of equal length together: position by position, the hashes of all
-substrings that end there are looked up among the sorted hashes of the pieces, and
-the best arc is kept with a back pointer.
+all together: from every character at once, the trie of the pieces is followed as far
+as it goes, which gives the arcs. Then position by position, for all words that reach
+it, the best arc that ends there is kept with a back pointer.
 
 - Unigram models: an arc's weight is its piece's score, summed along the path.
 - BPE models: merging is local. A sequence of pieces is what merging makes of a word
   exactly when each neighbouring pair is what merging makes of the two. So the arc of
   a piece is open if it and the last piece before it form such a pair, and closed
-  otherwise; one path is open. Pairs are merged once, many together, and remembered.
+  otherwise; one path is open. Pairs are merged many together, and remembered.
 
 BPE gives the very ids of the sentencepiece library for the same file. So does unigram,
 but where two paths are equal up to rounding: scores are summed by word here.
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -41,9 +41,12 @@ BLANK = 0x2581
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _PAIR = np.int64(1 << 24)
+_POINT_BITS = 21
 SLICE = 1 << 20
 REMEMBERED_WORDS = 300_000  # some 15 MB
-REMEMBERED = 4_000_000  # pairs of pieces; beyond that a worker starts anew, some 40 MB
+REMEMBERED_BITS = 21  # places for pairs of pieces, 16 MB; a new pair takes an older one's place
+SEGMENTED = 1 << 17  # characters of words that are segmented together
+MERGED = 1 << 19  # characters of pairs of pieces that are merged together
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -127,11 +130,39 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
 
+class Lookup:
+    """Values of integer keys, for many keys at once; -1 for those it does not have.
+
+    Most keys asked for are absent, and a table of bits of their hashes says so for
+    nearly all of them. The others are searched among the sorted keys.
+    """
+
+    def __init__(self, values: dict[int, int]):
+        self.keys = np.array(sorted(values), np.int64)
+        self.values = np.array([values[k] for k in self.keys.tolist()], np.int64)
+        self.bits = max(10, len(values).bit_length() + 4)
+        self.maybe = np.zeros(1 << self.bits, bool)
+        self.maybe[_places(self.keys, self.bits)] = True
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        flat = keys.reshape(-1)
+        out = np.full(len(flat), -1, np.int64)
+        some = np.flatnonzero(self.maybe[_places(flat, self.bits)])
+        if len(some):
+            asked = flat[some]
+            at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+            out[some] = np.where(self.keys[at] == asked, self.values[at], -1)
+        return out.reshape(keys.shape)
+
+
+def _places(keys: np.ndarray, bits: int) -> np.ndarray:
+    """A number of so many bits for each key: the high ones of a product."""
+    return ((keys.astype(np.uint64) * _MULTIPLIER) >> np.uint64(64 - bits)).astype(np.int64)
+
+
 @dataclass
 class Codec:
     model: PieceModel
-    known: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    allowed: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
 
     def __post_init__(self):
         m = self.model
@@ -147,13 +178,11 @@ class Codec:
         self.longest = max((len(p) for p, _ in symbols), default=1)
         self.text_of = {i: p for p, i in symbols}
         self.id_of = {p: i for p, i in symbols}
-        hashes = np.array([self._hash(_points(p)) for p, _ in symbols], np.uint64)
-        order = np.argsort(hashes)
-        self.keys = hashes[order]
-        self.ids = np.array([i for _, i in symbols], np.int64)[order]
+        self._prepare_trie(symbols)
         self.weights = np.zeros(self.count + len(inner), np.float32)
         self.weights[: self.count] = m.scores
         self.unknown_score = np.float32(m.scores[usable].min() if usable else 0) - UNKNOWN_PENALTY
+        self.weights[self.count :] = self.unknown_score
         self.bytes_ids = np.full(256, -1, np.int64)
         for i, kind in enumerate(m.kinds):
             if kind == BYTE:
@@ -171,12 +200,20 @@ class Codec:
         if m.algorithm == BPE:
             self._prepare_merges(usable)
 
-    @staticmethod
-    def _hash(points: np.ndarray) -> np.uint64:
-        h = 0
-        for c in points.tolist():
-            h = (h * int(_MULTIPLIER) + c + 1) & 0xFFFFFFFFFFFFFFFF
-        return np.uint64(h)
+    def _prepare_trie(self, symbols: list[tuple[str, int]]) -> None:
+        """Edges by node and character, and the symbol of each node's text, -1 for none."""
+        edges, symbol_at = {}, [-1]
+        for text, symbol in symbols:
+            node = 0
+            for c in text:
+                key = node << _POINT_BITS | ord(c)
+                if key not in edges:
+                    edges[key] = len(symbol_at)
+                    symbol_at.append(-1)
+                node = edges[key]
+            symbol_at[node] = symbol
+        self.edges = Lookup(edges)
+        self.symbol_at = np.array(symbol_at, np.int64)
 
     def _prepare_merges(self, usable: list[int]) -> None:
         merges = {}
@@ -186,26 +223,38 @@ class Codec:
                 left, right = self.id_of.get(p[:cut]), self.id_of.get(p[cut:])
                 if left is not None and right is not None:
                     merges[left * int(_PAIR) + right] = i
-        keys = np.array(sorted(merges), np.int64)
-        self.merge_keys = keys
-        self.merge_ids = np.array([merges[k] for k in keys.tolist()], np.int64)
-        self.merge_scores = self.model.scores[self.merge_ids]
+        self.merges = Lookup(merges)
+        # the last place is what an absent pair, -1, finds
+        self.merge_scores = np.append(self.weights, np.float32(-np.inf))
+        self.remembered = np.zeros(1 << REMEMBERED_BITS, np.int64)
+        # each symbol's text as symbols of one character
+        self.spelt_sizes = np.array([len(self.text_of.get(i, "")) for i in range(len(self.weights))], np.int64)
+        self.spelt_starts = np.cumsum(self.spelt_sizes) - self.spelt_sizes
+        self.spelt = np.array([self.id_of[c] for i in sorted(self.text_of) for c in self.text_of[i]], np.int64)
+        self.step = max(1, MERGED // (2 * self.longest))
+        self.alone = np.zeros(len(self.weights), bool)
+        for size in range(1, self.longest + 1):
+            some = np.flatnonzero(self.spelt_sizes == size)
+            for a in range(0, len(some), self.step):
+                part = some[a : a + self.step]
+                rows = self.spelt[self.spelt_starts[part][:, None] + np.arange(size)]
+                self.alone[part] = self._merged(rows)[:, 0] == part
 
     def _merged(self, rows: np.ndarray) -> np.ndarray:
         """Merge each row of symbols (-1 pads at its end): highest score first, then leftmost."""
         rows = rows.copy()
         active = np.arange(len(rows))
-        while len(active) and rows.shape[1] > 1 and len(self.merge_keys):
+        while len(active) and rows.shape[1] > 1:
             s = rows[active]
             pair = np.where((s[:, 1:] >= 0) & (s[:, :-1] >= 0), s[:, :-1] * _PAIR + s[:, 1:], -1)
-            at = np.minimum(np.searchsorted(self.merge_keys, pair), len(self.merge_keys) - 1)
-            score = np.where(self.merge_keys[at] == pair, self.merge_scores[at], -np.inf)
+            merged = self.merges(pair)
+            score = self.merge_scores[merged]
             best = score.argmax(axis=1)
             line = np.arange(len(s))
-            go = np.isfinite(score[line, best])
-            s, best, at, active = s[go], best[go], at[go], active[go]
+            go = merged[line, best] >= 0
+            s, best, merged, active = s[go], best[go], merged[go], active[go]
             line = np.arange(len(s))
-            s[line, best] = self.merge_ids[at[line, best]]
+            s[line, best] = merged[line, best]
             column = np.arange(s.shape[1])
             source = np.minimum(column + (column > best[:, None]), s.shape[1] - 1)
             moved = np.take_along_axis(s, source, axis=1)
@@ -216,117 +265,127 @@ class Codec:
     def _pair_open(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether merging the text of two pieces gives just these two."""
         pair = left * _PAIR + right
-        at = np.searchsorted(self.known, pair)
-        found = at < len(self.known)
-        found[found] = self.known[at[found]] == pair[found]
-        if not found.all():
-            new = np.unique(pair[~found])
-            texts = [self.text_of[a] + self.text_of[b] for a, b in zip((new // _PAIR).tolist(), (new % _PAIR).tolist())]
-            width = max(map(len, texts))
-            rows = np.full((len(new), width), -1, np.int64)
-            for k, t in enumerate(texts):
-                rows[k, : len(t)] = [self.id_of[c] for c in t]
-            got = self._merged(rows)
-            good = (got[:, 0] == new // _PAIR) & (got[:, 1] == new % _PAIR)
-            if width > 2:
-                good &= got[:, 2] == -1
-            place = np.searchsorted(self.known, new)
-            self.known = np.insert(self.known, place, new)
-            self.allowed = np.insert(self.allowed, place, good)
-            at = np.searchsorted(self.known, pair)
-        return self.allowed[at]
-
-    def _alone(self, ids: np.ndarray) -> np.ndarray:
-        """Whether merging the text of a piece gives that piece."""
-        if not hasattr(self, "alone"):
-            self.alone = np.zeros(self.count + len(self.inner), bool)
-            symbols = sorted(self.text_of)
-            for size in range(1, self.longest + 1):
-                some = [i for i in symbols if len(self.text_of[i]) == size]
-                if some:
-                    rows = np.array([[self.id_of[c] for c in self.text_of[i]] for i in some], np.int64)
-                    self.alone[some] = self._merged(rows)[:, 0] == some
-        return self.alone[ids]
-
-    def _paths(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Back pointers (piece length, symbol) at each end position of words of one length.
-
-        A symbol below 0 is a character c without piece: -c - 2.
+        place = _places(pair, REMEMBERED_BITS)
+        kept = self.remembered[place]  # twice the pair's number from 1, and 1 if it is open
+        good = (kept & 1).astype(bool)
+        lost = np.flatnonzero(kept >> 1 != pair + 1)
+        if len(lost):
+            new, back = np.unique(pair[lost], return_inverse=True)
+            steps = range(0, len(new), self.step)
+            fresh = np.concatenate([self._merge_pairs(new[a : a + self.step]) for a in steps])
+            self.remembered[_places(new, REMEMBERED_BITS)] = (new + 1) * 2 + fresh
+            good[lost] = fresh[back]
+        return good
+
+    def _merge_pairs(self, pair: np.ndarray) -> np.ndarray:
+        left, right = pair // _PAIR, pair % _PAIR
+        both = np.stack([left, right], axis=1).reshape(-1)
+        sizes = self.spelt_sizes[both].reshape(-1, 2).sum(axis=1)
+        rows = np.full((len(pair), int(sizes.max())), -1, np.int64)
+        inside = np.arange(rows.shape[1]) < sizes[:, None]
+        rows[inside] = self.spelt[_ranges(self.spelt_starts[both], self.spelt_sizes[both])]
+        got = self._merged(rows)
+        good = (got[:, 0] == left) & (got[:, 1] == right)
+        return good & (got[:, 2] == -1) if got.shape[1] > 2 else good
+
+    def _arcs(self, points: np.ndarray, word: np.ndarray, nth: np.ndarray, columns: np.ndarray, first: int, stop: int):
+        """Character before, last character, length and symbol of arcs, by end, the longest first.
+
+        The n-th character of a word is at ``columns[n] + word``; -1 is before the first.
+        Arcs end at an n-th character from ``first`` to before ``stop``. A character c
+        without piece is an arc of symbol -c - 2.
         """
-        rows, size = points.shape
-        bpe = self.model.algorithm == BPE
-        h = np.zeros((rows, size + 1), np.uint64)
-        for i in range(size):
-            h[:, i + 1] = h[:, i] * _MULTIPLIER + points[:, i] + np.uint64(1)
-        power = np.multiply.accumulate(np.full(self.longest, _MULTIPLIER, np.uint64))
-        best = np.full((rows, size + 1), -np.inf, np.float32)
-        best[:, 0] = 0
-        length = np.zeros((rows, size + 1), np.int32)
-        symbol = np.full((rows, size + 1), -1, np.int64)
-        for i in range(1, size + 1):
-            arcs = min(i, self.longest)
-            j = np.arange(i - arcs, i)  # longest piece first: it wins ties
-            probe = h[:, i, None] - h[:, j] * power[i - j - 1]
-            at = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
-            ids = np.where(self.keys[at] == probe, self.ids[at], -1)
-            lone = ids[:, -1] < 0
-            ids[lone, -1] = -points[lone, i - 1].astype(np.int64) - 2
-            weight = np.full(ids.shape, -np.inf, np.float32)
-            r, c = np.nonzero(ids >= 0)
-            piece = ids[r, c]
-            if bpe:
-                before = symbol[r, j[c]]
-                first = j[c] == 0
-                fine = self._alone(piece)
-                check = fine & ~first & (before >= 0) & (length[r, j[c]] > 0)
-                fine[check] = self._pair_open(before[check], piece[check])
-                weight[r, c] = np.where(fine, 0, -np.inf)
-                weight[lone, -1] = 0
+        found = []
+        start = end = np.arange(columns[max(0, first + 1 - self.longest)], columns[stop])
+        node = np.zeros(len(start), np.int64)
+        for size in range(1, self.longest + 1):
+            node = self.edges(node << _POINT_BITS | points[end])
+            symbol = np.where(node < 0, -1, self.symbol_at[node])
+            keep = end >= columns[first]
+            if size == 1:
+                symbol = np.where(symbol < 0, -points[end] - 2, symbol)
+            elif self.model.algorithm == BPE:
+                keep &= (symbol >= 0) & self.alone[symbol]
             else:
-                weight[r, c] = self.weights[piece]
-                inner = piece >= self.count
-                weight[r[inner], c[inner]] = self.unknown_score
-                weight[lone, -1] = self.unknown_score
-            total = best[:, j] + weight
-            k = total.argmax(axis=1)
-            line = np.arange(rows)
-            best[:, i] = total[line, k]
-            length[:, i] = i - j[k]
-            symbol[:, i] = ids[line, k]
-        return length, symbol
+                keep &= symbol >= 0
+            found.append((start[keep], end[keep], np.full(int(keep.sum()), size), symbol[keep]))
+            n = nth[start] + size
+            # words are there by size, so the next column has this one if it has so many
+            on = np.flatnonzero((node >= 0) & (n < stop))
+            n = n[on]
+            on = on[word[start[on]] < columns[n + 1] - columns[n]]
+            if not len(on):
+                break
+            start, node = start[on], node[on]
+            end = columns[nth[start] + size] + word[start]
+        start, end, length, symbol = map(np.concatenate, zip(*found))
+        order = np.argsort(end * (self.longest + 1) - length)
+        start = start[order]
+        before = np.where(nth[start] > 0, columns[nth[start] - 1] + word[start], -1)
+        return before, end[order], length[order], symbol[order]
+
+    def _paths(self, points: np.ndarray, word: np.ndarray, nth: np.ndarray, columns: np.ndarray):
+        """Back pointers (piece length, symbol) at each character, where an arc ends."""
+        # the last place, which is also -1, is before the first character
+        kept_length = np.zeros(len(points) + 1, np.int32)
+        kept_symbol = np.full(len(points) + 1, -1, np.int64)
+        bpe = self.model.algorithm == BPE
+        total = np.zeros(0 if bpe else len(points) + 1, np.float32)
+        for first, stop in row_slices(columns, SEGMENTED):
+            before, end, length, symbol = self._arcs(points, word, nth, columns, first, stop)
+            if not bpe:
+                weight = np.where(symbol < 0, self.unknown_score, self.weights[np.maximum(symbol, 0)])
+            cuts = np.searchsorted(end, columns[first : stop + 1]).tolist()
+            for n, a, b in zip(range(first, stop), cuts, cuts[1:]):
+                if bpe:
+                    left, right = kept_symbol[before[a:b]], symbol[a:b]
+                    fine = (left < 0) | (right < 0)
+                    check = np.flatnonzero(~fine)
+                    fine[check] = self._pair_open(left[check], right[check])
+                else:
+                    sums = total[before[a:b]] + weight[a:b]
+                    each = end[a:b] - columns[n]
+                    most = np.maximum.reduceat(sums, np.flatnonzero(np.diff(each, prepend=-1)))
+                    total[columns[n] : columns[n + 1]] = most
+                    fine = sums == most[each]
+                some = a + np.flatnonzero(fine)
+                some = some[np.diff(end[some], prepend=-1) > 0]  # the longest piece wins ties
+                kept_length[end[some]] = length[some]
+                kept_symbol[end[some]] = symbol[some]
+        return kept_length, kept_symbol
 
     def _segment(self, points: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
         """Symbols of words, as one array and the number of each word's symbols."""
         counts = np.zeros(len(starts), np.int64)
-        parts, owners = [], []
-        for size in np.unique(sizes):
-            members = np.flatnonzero(sizes == size)
-            step = max(1, (1 << 19) // (int(size) * self.longest))
-            for a in range(0, len(members), step):
-                some = members[a : a + step]
-                length, symbol = self._paths(points[starts[some][:, None] + np.arange(size)].astype(np.uint64))
-                at = np.full(len(some), size)
-                line = np.arange(len(some))
-                steps = []
-                while True:
-                    going = at > 0
-                    if not going.any():
-                        break
-                    steps.append(np.where(going, symbol[line, at], -1))
-                    at = np.where(going, at - length[line, at], 0)
-                back = np.array(steps[::-1]).T.reshape(len(some), -1)
-                real = back != -1
-                counts[some] = real.sum(axis=1)
-                parts.append(back[real])
-                owners.append(some)
-        if not parts:
-            return np.zeros(0, np.int64), counts
-        order = np.concatenate(owners)
-        flat = np.concatenate(parts)
-        placed = np.cumsum(counts[order]) - counts[order]
-        where = np.empty(len(starts), np.int64)
-        where[order] = placed
-        return flat[_ranges(where, counts)], counts
+        owners, turns, flat = [], [], []
+        by_size = np.argsort(-sizes, kind="stable")
+        for a, b in row_slices(np.concatenate([[0], np.cumsum(sizes[by_size])]), SEGMENTED):
+            some = by_size[a:b]
+            size = sizes[some]
+            # first characters of all words, then second ones, and so on; the longest word first
+            reach = np.searchsorted(-size, -np.arange(size[0]))
+            columns = np.concatenate([[0], np.cumsum(reach)])
+            nth = np.repeat(np.arange(size[0]), reach)
+            word = _ranges(np.zeros_like(reach), reach)
+            own = points[starts[some][word] + nth].astype(np.int64)
+            length, symbol = self._paths(own, word, nth, columns)
+            line, at = np.arange(len(some)), size
+            lines, parts = [], []
+            while len(line):
+                last = columns[at - 1] + line
+                lines.append(line)
+                parts.append(symbol[last])
+                at = at - length[last]
+                line, at = line[at > 0], at[at > 0]
+            owner = some[np.concatenate(lines)]
+            counts += np.bincount(owner, minlength=len(starts))
+            owners.append(owner)
+            turns.append(np.repeat(np.arange(len(lines)), [len(x) for x in lines]))
+            flat.append(np.concatenate(parts))
+        out = np.empty(int(counts.sum()), np.int64)
+        if flat:  # they were found from the last one on
+            out[np.cumsum(counts)[np.concatenate(owners)] - 1 - np.concatenate(turns)] = np.concatenate(flat)
+        return out, counts
 
     def _remembered(self, h: np.ndarray, points: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
         """Where in ``pool`` the symbols of the words with hashes ``h`` are; new words are segmented."""
@@ -411,8 +470,6 @@ class Codec:
 
     def encode(self, text: pa.Array) -> pa.Array:
         """Lists of ids; null stays null, the empty text has no ids."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.allowed = self.known[:0], self.allowed[:0]
         _, offsets = text_bytes(text)
         texts = text.to_pylist()
         flats, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -458,8 +515,8 @@ def codec_of(data: bytes) -> Codec:
 class SentencePiece:
     """Encoding and decoding of columns with one model file, which only the driver reads.
 
-    A Python worker remembers the pairs of pieces it has merged, of which natural text
-    has a limited number.
+    A Python worker remembers words it has segmented and pairs of pieces it has merged,
+    of which natural text has a limited number.
     """
 
     def __init__(self, path: str):
@@ -483,12 +540,16 @@ class SentencePiece:
         """Struct of the ids of a text and what they decode to, in one pass."""
         data = self.data
 
+        def both(codec: Codec, part: pa.Array) -> pa.Array:
+            ids = codec.encode(part)
+            return pa.StructArray.from_arrays([ids, codec.decode(ids)], ["ids", "decoded"])
+
         @arrow_udf("ids array<int>, decoded string")
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             codec = codec_of(data)
             for batch in batches:
-                ids = codec.encode(batch)
-                yield pa.StructArray.from_arrays([ids, codec.decode(ids)], ["ids", "decoded"])
+                parts = [both(codec, part) for part in byte_pieces(batch, SLICE)]
+                yield pa.concat_arrays(parts) if parts else both(codec, batch)
 
         return run(text)
 

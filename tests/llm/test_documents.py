@@ -191,6 +191,46 @@ def test_unigram_is_the_best_path():
     assert codec.encode(pa.array(["xy"])).to_pylist()[0] == [names.index("▁"), 0]
 
 
+def test_new_words_take_few_searches(codec, monkeypatch):
+    rng = np.random.default_rng(1)
+    letters = list("etaoinshrdlucmfw" * 3 + "gypbvkxqzéß日")
+    words = ["".join(rng.choice(letters, int(n))) for n in rng.integers(2, 14, 30_000)]
+    searched = []
+    search = np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *more: searched.append(np.size(v)) or search(a, v, *more))
+    texts = [" ".join(words[k : k + 100]) for k in range(0, len(words), 100)]
+    codec.encode(pa.array(texts))
+    assert sum(searched) < 15 * sum(map(len, texts))
+    assert len(searched) < 500
+
+
+@pytest.mark.parametrize("kind", ["BPE", "UNIGRAM"])
+def test_pieces_do_not_depend_on_parts_or_what_is_remembered(kind, monkeypatch):
+    M = sentencepiece_codec
+    model = M.PieceModel.load(MODEL)
+    model.algorithm = getattr(M, kind)
+    rng = np.random.default_rng(2)
+    letters = list("aab cdeilnorstéß日漢▁\n")
+    texts = ["".join(rng.choice(letters, int(n))) for n in rng.integers(0, 80, 60)]
+    texts += ["ab" * 200, "日本語漢字" * 30, "", None, "=" * 150 + " ==", "x" + " " * 90 + "y"]
+    whole = M.Codec(model).encode(pa.array(texts))
+    for name, less in (("SEGMENTED", 40), ("MERGED", 100), ("REMEMBERED_BITS", 4), ("REMEMBERED_WORDS", 50), ("SLICE", 200)):
+        monkeypatch.setattr(M, name, less)
+    codec = M.Codec(model)
+    assert codec.encode(pa.array(texts)).equals(whole)
+    assert codec.encode(pa.array(texts[::-1])).to_pylist() == whole.to_pylist()[::-1]
+
+
+def test_pieces_there_and_back(spark):
+    texts = [None, "", "  a  b ", "日本" * 5, "Ab\n\tc ▁x"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    codec = sentencepiece_codec.SentencePiece(MODEL)
+    rows = docs.select("text", codec.round_trip(F.col("text")).alias("b"), codec.encode(F.col("text")).alias("ids")).collect()
+    assert [r.text for r in rows] == texts
+    assert all(r.b.ids == r.ids and r.b.decoded == (r.text and r.text.replace("▁", " ")) for r in rows)
+    assert docs.filter("doc_id < 0").select(codec.round_trip(F.col("text"))).count() == 0
+
+
 def test_pieces_stage(spark, odd_docs, no_docs):
     got = sentencepiece_codec.sentencepiece_stage(odd_docs, MODEL).collect()
     assert len(got) == odd_docs.count()
